@@ -46,16 +46,17 @@ def attribute_series(
 
 
 def last_n(
-    history: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int = 64
+    history: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int = 256
 ) -> DataFrame:
     """The n newest rows of every entity by ``order`` (latest first, no ties).
 
-    A first round keeps n rows per entity and salt, so an entity with most of the
-    table is sorted by many tasks; the second round sees at most ``n * salts`` rows
-    per entity.
+    Every scan task keeps n rows per entity before anything is shuffled.  A first round
+    then ranks groups of scan tasks, a second one the entity: an entity with most of
+    the table meets at most ``n * salts`` rows in the last step.  The salt decides only
+    where a row is ranked, never whether it is kept.
     """
     newest = [F.desc(c) for c in order]
-    salted = history.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = history.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     per_salt = Window.partitionBy(*keys, "_salt").orderBy(*newest)
     per_key = Window.partitionBy(*keys).orderBy(*newest)
     return (
@@ -90,13 +91,10 @@ def entity_history(
     return rows.orderBy(time, seq)
 
 
-def _with_chunk(history: DataFrame, seq: str, rows_per_chunk: int) -> DataFrame:
+def _with_chunk(history: DataFrame, seq: str, chunks: int) -> DataFrame:
     """Add ``_chunk``, a number that grows with seq and splits the rows about evenly."""
-    wanted = min(MAX_CHUNKS, -(-history.count() // rows_per_chunk))
-    if wanted <= 1:
-        return history.withColumn("_chunk", F.lit(0.0))
-    points = [i / wanted for i in range(1, wanted)]
-    cuts = history.agg(F.percentile_approx(seq, points, 10 * wanted)).first()[0]
+    points = [i / chunks for i in range(1, chunks)]
+    cuts = history.agg(F.percentile_approx(seq, points, 10 * chunks)).first()[0]
     splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     return Bucketizer(splits=splits, inputCol=seq, outputCol="_chunk").transform(history)
 
@@ -110,20 +108,30 @@ def forward_fill(
 ) -> DataFrame:
     """Fill NULLs with the entity's last known value, giving the full row at each seq.
 
-    The rows of an entity are cut into chunks of seq.  The last values of each chunk
-    are aggregated, carried over the chunks, and put before the first row of the next
-    chunk; each chunk is then filled on its own.  No task sorts more than a chunk of
-    an entity, and ``seq`` must not be NULL.
+    A table that fits in one chunk is filled entity by entity.  Otherwise the rows of
+    an entity are cut into chunks of seq; the last values of each chunk are aggregated,
+    carried over the chunks and put before the first row of the next one; each chunk
+    is then filled on its own.  No task sorts more than a chunk of an entity.  ``seq``
+    must be a number and not NULL.
     """
-    rows = _with_chunk(history, seq, rows_per_chunk)
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(F.desc("_carried"), F.asc(seq))
-    so_far = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = (
-        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
+
+    def filled(rows: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
+        so_far = (
+            Window.partitionBy(*groups)
+            .orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return rows.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
+
+    chunks = min(MAX_CHUNKS, -(-history.count() // rows_per_chunk))
+    if chunks <= 1:
+        return filled(history, keys, [F.asc(seq)])
+
+    rows = _with_chunk(history, seq, chunks)
     ends = rows.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in columns]
     )
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
         *keys,
         "_chunk",
@@ -131,5 +139,5 @@ def forward_fill(
         F.lit(True).alias("_carried"),
     )
     both = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    filled = both.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
-    return filled.filter(~F.col("_carried")).select(*history.columns)
+    done = filled(both, [*keys, "_chunk"], [F.desc("_carried"), F.asc(seq)])
+    return done.filter(~F.col("_carried")).select(*history.columns)

@@ -69,7 +69,7 @@ def iso_timestamp(spark, sf):
 
 
 def current_state_long(spark, sf):
-    rows = S.current_state(inputs.attr_events(spark, sf))
+    rows = S.latest_attrs(inputs.attr_events(spark, sf))
     number = A.number_value(F.col("attr_type"), F.col("value"))
     return rows.select("tenant", "entity_id", "attr", number.alias("number"), "ts", "patch_id")
 

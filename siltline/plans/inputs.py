@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from siltline import scratch
 from siltline.functions import attributes as A
@@ -17,10 +18,15 @@ TENANTS = 3
 PATCH_FILE_BYTES = 128 * 1024 * 1024
 
 _landed: dict[tuple[str, str, str], str] = {}
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once, not by every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:

@@ -32,7 +32,7 @@ def star_zone_revenue(spark, sf):
 
 
 def _mix_dim(spark):
-    return spark.createDataFrame(MIX_DIM, "id string, description string")
+    return dims.lookup(spark, MIX_DIM)
 
 
 def star_payment_mix(spark, sf):

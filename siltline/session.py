@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Key-set lookups push IN lists of 50 keys; the default of 10 would only push min/max.
     "spark.sql.parquet.pushdown.inFilterThreshold": "128",
+    # Do not record a Python stack trace for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Streaming state lives on disk beside the executor instead of on its heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

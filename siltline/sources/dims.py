@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The lookup rows that facts are decoded with.
@@ -27,21 +29,26 @@ PAYMENT_TYPES = [
     (6, "Voided trip"),
 ]
 
-LOOKUP_SCHEMA = "id int, description string"
 ZONE_FILE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 ZONE_COLUMNS = {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
 
 
+def lookup(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """A literal (id, description) table.  Its exact size is known to the planner."""
+    values = ", ".join(f"({key!r}, {text!r})" for key, text in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS lookup(id, description)")
+
+
 def vendors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VENDORS, LOOKUP_SCHEMA)
+    return lookup(spark, VENDORS)
 
 
 def rate_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_CODES, LOOKUP_SCHEMA)
+    return lookup(spark, RATE_CODES)
 
 
 def payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, LOOKUP_SCHEMA)
+    return lookup(spark, PAYMENT_TYPES)
 
 
 def zones_from_csv(spark: SparkSession, path: str, schema: str = ZONE_FILE_SCHEMA) -> DataFrame:
