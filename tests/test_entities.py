@@ -1,0 +1,196 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltline.functions import attributes as A
+from siltline.functions import calendar as C
+from siltline.operators import state as S
+from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, notifications
+from siltline.sources import patches as P
+from siltline.streaming import feeds
+
+T0 = dt.datetime(2025, 1, 1)
+
+
+def number(value):
+    return {"type": "Number", "value": value}
+
+
+def patch(patch_id, entity, op="patch", tenant="air", kind="AirQualityObserved", **attrs):
+    return (tenant, patch_id, entity, kind, op, json.dumps(attrs), T0 + dt.timedelta(minutes=patch_id))
+
+
+LOG = [
+    patch(
+        1, "u1", "create", CO=number(1.0), O3=number(2.0),
+        address={"type": "StructuredValue", "value": {"addressCountry": "MX", "addressLocality": "L"}},
+        location={"type": "geo:json", "value": {"type": "Point", "coordinates": [-99.133167, 19.434072]}},
+        source={"type": "Text", "value": "http://x/\"q\""},
+        dateObserved={"type": "DateTime", "value": "2025-01-01T10:00:00+0000"},
+    ),
+    patch(2, "u1", CO=number(18.0), temperature=number(21.5)),
+    patch(3, "u2", "create", CO=number(5)),
+    patch(4, "u2", "delete"),
+    patch(5, "u2", "create", O3=number(7)),
+    patch(6, "u3", "create", CO=number(1)),
+    patch(7, "u3", "delete"),
+    patch(8, "u1", tenant="other", CO=number(99)),
+    patch(9, "u1", note={"type": "Text", "value": "only text"}),
+    patch(10, "u9", kind="Other", CO=number(3)),
+    patch(11, "u1", CO={"type": "Number", "value": "not a number"}),
+]
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    return spark.createDataFrame(LOG, P.PATCH_SCHEMA)
+
+
+def cells(state):
+    return {(r.tenant, r.entity_id, r.attr): (r.value, r.patch_id) for r in state.collect()}
+
+
+LIVE = {
+    ("air", "u1", "CO"): ("not a number", 11),
+    ("air", "u1", "O3"): ("2.0", 1),
+    ("air", "u1", "address"): ('{"addressCountry":"MX","addressLocality":"L"}', 1),
+    ("air", "u1", "dateObserved"): ("2025-01-01T10:00:00+0000", 1),
+    ("air", "u1", "location"): ('{"type":"Point","coordinates":[-99.133167,19.434072]}', 1),
+    ("air", "u1", "note"): ("only text", 9),
+    ("air", "u1", "source"): ('http://x/"q"', 1),
+    ("air", "u1", "temperature"): ("21.5", 2),
+    ("air", "u2", "O3"): ("7", 5),
+    ("air", "u9", "CO"): ("3", 10),
+    ("other", "u1", "CO"): ("99", 8),
+}
+
+
+def test_current_state_after_patches_and_deletes(log):
+    assert cells(S.current_state(P.explode_attrs(log))) == LIVE
+
+
+def test_arrival_order_does_not_matter(log):
+    shuffled = log.orderBy(F.md5(F.col("patch_id").cast("string"))).repartition(5)
+    assert cells(S.current_state(P.explode_attrs(shuffled))) == LIVE
+
+
+def test_state_can_be_continued_from_state(log):
+    events = P.explode_attrs(log)
+    old = S.latest_attrs(events.filter("patch_id <= 5"))
+    new = events.filter("patch_id > 5").select(old.columns)
+    assert cells(S.live_attrs(S.latest_attrs(old.unionByName(new)))) == LIVE
+
+
+def test_typed_values(log):
+    rows = P.typed(P.explode_attrs(log)).filter("entity_id = 'u1' and tenant = 'air'").collect()
+    by = {(r.patch_id, r.attr): r for r in rows}
+    assert by[2, "CO"].number == 18.0 and by[2, "CO"].text is None
+    assert by[11, "CO"].number is None
+    assert by[1, "dateObserved"].time == dt.datetime(2025, 1, 1, 10)
+    assert by[1, "source"].text == 'http://x/"q"'
+
+
+def test_nested_values(log):
+    first = P.with_attrs(log.filter("patch_id = 1"))
+    place, where = F.col("attrs")["location"]["value"], A.address(F.col("attrs")["address"]["value"])
+    got = first.select(A.point_longitude(place), A.point_latitude(place), where.addressCountry).first()
+    assert tuple(got) == (-99.133167, 19.434072, "MX")
+
+
+def test_iso_offsets_and_bad_text(spark):
+    texts = spark.createDataFrame(
+        [("2025-01-01T10:00:00+0200",), ("2025-01-01T10:00:00+0000",), ("yesterday",)], "t string"
+    )
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = [r[0] for r in texts.select(C.iso_to_utc(F.col("t"))).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == [dt.datetime(2025, 1, 1, 8), dt.datetime(2025, 1, 1, 10), None]
+
+
+def test_wide_state_list_and_get(log):
+    state = S.current_state(P.explode_attrs(log))
+    as_number = A.number_value(F.col("attr_type"), F.col("value"))
+    wide = S.wide_state(state, {"": as_number}, ["CO", "O3"]).collect()
+    assert {(r.tenant, r.entity_id): (r.CO, r.O3) for r in wide} == {
+        ("air", "u1"): (None, 2.0), ("air", "u2"): (None, 7.0), ("air", "u9"): (3.0, None),
+        ("other", "u1"): (99.0, None),
+    }
+    listed = [(r.tenant, r.entity_id) for r in S.list_entities(state).collect()]
+    assert listed == [("air", "u1"), ("air", "u2"), ("air", "u9"), ("other", "u1")]
+    assert [r.entity_id for r in S.list_entities(state, "Other").collect()] == ["u9"]
+    assert S.list_entities(state, limit=2).count() == 2
+    assert S.get_entity(state, "u9", "Other").count() == 1
+    assert S.get_entity(state, "u9", "AirQualityObserved").count() == 0
+    assert S.get_entity(state, "u3").count() == 0
+
+
+def test_subscription(log):
+    watch = Subscription("AirQualityObserved")
+    rows = notifications(P.with_attrs(log), watch).orderBy("patch_id").collect()
+    # 4 and 7 are deletes, 9 touches no condition attribute, 10 is of another type
+    assert [r.patch_id for r in rows] == [1, 2, 3, 5, 6, 8, 11]
+    assert set(NOTIFY_ATTRS) < set(rows[0].asDict())
+    assert rows[1].CO == "18.0" and rows[1].O3 is None and rows[1].time_index == T0 + dt.timedelta(minutes=2)
+    only = Subscription("AirQualityObserved", id_pattern="u[23]", condition_attrs=["CO"])
+    assert [r.patch_id for r in notifications(P.with_attrs(log), only).collect()] == [3, 6]
+
+
+def test_id_pattern_matches_the_whole_id(spark):
+    log = spark.createDataFrame([patch(1, "u1", CO=number(1)), patch(2, "u12", CO=number(1))], P.PATCH_SCHEMA)
+    watch = Subscription("AirQualityObserved", id_pattern="u1")
+    assert [r.entity_id for r in notifications(P.with_attrs(log), watch).collect()] == ["u1"]
+
+
+def test_history_table_names(log):
+    name = A.history_table_name(F.col("tenant"), F.col("entity_type"))
+    assert log.select(name).first()[0] == "mtair.etairqualityobserved"
+
+
+def feed(spark, folder, rows):
+    spark.createDataFrame(rows, P.PATCH_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_stream_state_equals_batch_and_restart_adds_nothing(spark, path):
+    folder, out, check = path + "/in", path + "/state", path + "/check"
+    for part in (LOG[6:], LOG[3:6]):  # newest first: order must not matter
+        feed(spark, folder, part)
+
+    def run():
+        feeds.start_state(feeds.patch_stream(spark, folder, files_per_batch=1), out, check).awaitTermination()
+        return spark.read.parquet(out).count()
+
+    written = run()
+    assert run() == written
+    feed(spark, folder, LOG[:3])
+    assert run() > written
+    assert cells(feeds.read_state(spark, out)) == LIVE
+    feeds.compact_state(spark, out, path + "/compact")
+    assert cells(S.live_attrs(spark.read.parquet(path + "/compact"))) == LIVE
+
+
+def test_replayed_batch_overwrites_its_partition(spark, path):
+    folder, out = path + "/in", path + "/counts"
+    feed(spark, folder, LOG)
+    for check in ("/check1", "/check2"):  # a lost checkpoint runs batch 0 again
+        stream = feeds.patch_stream(spark, folder)
+        feeds.start_update_count(stream, out, path + check).awaitTermination()
+        counts = {(r.tenant, r.entity_id): r.n_updates for r in feeds.read_update_count(spark, out).collect()}
+        assert counts == {("air", "u1"): 4, ("air", "u2"): 3, ("air", "u3"): 2, ("air", "u9"): 1, ("other", "u1"): 1}
+        assert spark.read.parquet(out).count() == 5
+
+
+def test_history_stream_appends_each_notification_once(spark, path):
+    folder, out, check = path + "/in", path + "/history", path + "/check"
+    watch = Subscription("AirQualityObserved")
+    for part in (LOG[:5], LOG[5:]):
+        feed(spark, folder, part)
+        for _ in range(2):
+            feeds.start_history(feeds.patch_stream(spark, folder), watch, out, check).awaitTermination()
+    got = spark.read.parquet(out)
+    assert sorted(r.patch_id for r in got.collect()) == [1, 2, 3, 5, 6, 8, 11]
+    assert got.filter("tenant = 'other'").count() == 1
