@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Rows of one entity that may be sorted in one task.
 ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 10_000
+# Up to this n, the rows kept per entity and scan task can be ranked in one round.
+SINGLE_ROUND_N = 32
 # A page without an explicit limit holds at least this many rows.
 DEFAULT_PAGE = 1_000
 
@@ -46,16 +48,22 @@ def attribute_series(
 
 
 def last_n(
-    history: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int = 256
+    history: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, salts: int | None = None
 ) -> DataFrame:
     """The n newest rows of every entity by ``order`` (latest first, no ties).
 
-    Every scan task keeps n rows per entity before anything is shuffled.  A first round
-    then ranks groups of scan tasks, a second one the entity: an entity with most of
-    the table meets at most ``n * salts`` rows in the last step.  The salt decides only
-    where a row is ranked, never whether it is kept.
+    Every scan task keeps n rows per entity before anything is shuffled, so the last
+    step meets at most n rows per scan task, however many the entity has.  For a larger
+    n that is still too much for one task: then a first round ranks groups of scan
+    tasks, and the last one meets ``n * salts`` rows.  The salt decides only where a
+    row is ranked, never whether it is kept.
     """
     newest = [F.desc(c) for c in order]
+    if salts is None:
+        salts = 1 if n <= SINGLE_ROUND_N else 256
+    if salts == 1:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
+        return history.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
     salted = history.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     per_salt = Window.partitionBy(*keys, "_salt").orderBy(*newest)
     per_key = Window.partitionBy(*keys).orderBy(*newest)
@@ -108,11 +116,11 @@ def forward_fill(
 ) -> DataFrame:
     """Fill NULLs with the entity's last known value, giving the full row at each seq.
 
-    A table that fits in one chunk is filled entity by entity.  Otherwise the rows of
-    an entity are cut into chunks of seq; the last values of each chunk are aggregated,
-    carried over the chunks and put before the first row of the next one; each chunk
-    is then filled on its own.  No task sorts more than a chunk of an entity.  ``seq``
-    must be a number and not NULL.
+    Where no entity has more rows than a chunk, the table is filled entity by entity.
+    Otherwise the rows are cut into chunks of seq; the last values of each chunk are
+    aggregated, carried over the chunks and put before the first row of the next one;
+    each chunk is then filled on its own.  No task sorts more than a chunk of an
+    entity.  ``seq`` must be a number and not NULL.  Counts the rows when called.
     """
 
     def filled(rows: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -123,11 +131,15 @@ def forward_fill(
         )
         return rows.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
-    chunks = min(MAX_CHUNKS, -(-history.count() // rows_per_chunk))
-    if chunks <= 1:
+    n_rows = history.count()
+    largest = n_rows
+    if n_rows > rows_per_chunk:
+        sizes = history.groupBy(*keys).agg(F.count("*").alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0]
+    if largest <= rows_per_chunk:
         return filled(history, keys, [F.asc(seq)])
 
-    rows = _with_chunk(history, seq, chunks)
+    rows = _with_chunk(history, seq, min(MAX_CHUNKS, -(-n_rows // rows_per_chunk)))
     ends = rows.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in columns]
     )

@@ -9,17 +9,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from siltline.sources.patches import ENTITY, TOMBSTONE
 
 
+def latest_values(
+    events: DataFrame, keys: Sequence[str], values: Sequence[str], seq: str
+) -> DataFrame:
+    """The row with the highest ``seq`` of every key.
+
+    Values of fixed width (numbers, times) are kept in hash tables; with a text among
+    them Spark sorts each partition instead.  Either way every scan task sends one row
+    per key.
+    """
+    return events.groupBy(*keys).agg(
+        *[F.max_by(c, seq).alias(c) for c in values], F.max(seq).alias(seq)
+    )
+
+
 def latest_attrs(events: DataFrame) -> DataFrame:
     """The last value of every attribute of every entity, and its patch number.
 
     ``events`` are exploded patches.  Disorder does not matter: the highest
     ``patch_id`` wins, and it can be fed its own output plus newer events.
     """
-    newest = F.max_by(F.struct("entity_type", "attr_type", "value", "ts"), "patch_id")
-    return (
-        events.groupBy(*ENTITY, "attr")
-        .agg(newest.alias("last"), F.max("patch_id").alias("patch_id"))
-        .select(*ENTITY, "attr", "last.*", "patch_id")
+    return latest_values(
+        events, [*ENTITY, "attr"], ["entity_type", "attr_type", "value", "ts"], "patch_id"
     )
 
 
@@ -59,7 +70,7 @@ def wide_state(state: DataFrame, columns: dict[str, Column], names: Sequence[str
 def latest_numbers(
     events: DataFrame, keys: Sequence[str], attr: str, number: str, seq: str, names: Sequence[str]
 ) -> DataFrame:
-    """Last number of each named attribute per entity, straight from the events.
+    """Last number of each named attribute as a column, one row per entity.
 
     One hash aggregation over fixed-width buffers; nothing is sorted.
     """

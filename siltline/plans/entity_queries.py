@@ -69,9 +69,8 @@ def iso_timestamp(spark, sf):
 
 
 def current_state_long(spark, sf):
-    rows = S.latest_attrs(inputs.attr_events(spark, sf))
-    number = A.number_value(F.col("attr_type"), F.col("value"))
-    return rows.select("tenant", "entity_id", "attr", number.alias("number"), "ts", "patch_id")
+    events = inputs.attr_events(spark, sf)
+    return S.latest_values(events, [*P.ENTITY, "attr"], ["number", "ts"], "patch_id")
 
 
 def current_state_wide(spark, sf):
@@ -119,7 +118,7 @@ def entity_series(spark, sf):
 
 
 def subscription_filter(spark, sf):
-    return _numbers(notifications(P.with_attrs(inputs.patches(spark, sf)), WATCH))
+    return _numbers(notifications(inputs.patches(spark, sf), WATCH))
 
 
 def tenant_partition(spark, sf):

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltline.operators.state import latest_attrs, live_attrs
 from siltline.operators.subscriptions import Subscription, notifications
-from siltline.sources.patches import PATCH_SCHEMA, explode_attrs, with_attrs
+from siltline.sources.patches import PATCH_SCHEMA, explode_attrs
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -96,7 +96,7 @@ def start_history(
 ) -> StreamingQuery:
     """Append one row per notification, by tenant.  Stateless, each row exactly once."""
     return (
-        notifications(with_attrs(patches), subscription)
+        notifications(patches, subscription)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy("tenant")

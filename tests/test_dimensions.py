@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,22 @@ def test_registered_partitions_are_found(spark, path):
     spark.range(10).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(path + "/t")
     name = f"{lake.new_schema(spark)}.t"
     assert catalogs.register_existing(spark, name, path + "/t", partitioned=True).count() == 10
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3, 4, 50, None])
+def test_daily_revenue_of_the_first_days(spark, limit):
+    day = dt.datetime(2025, 1, 1)
+    rows = [
+        (None, 1, 1.0), (day, 9, 5.0), (day + dt.timedelta(days=1, hours=23, minutes=59), 1, 2.0),
+        (day + dt.timedelta(days=1), 2, 3.0), (day + dt.timedelta(days=2), 2, 4.0),
+        (day + dt.timedelta(days=3), None, 8.0), (day + dt.timedelta(days=9), 1, 6.0),
+    ]
+    fact = spark.createDataFrame(rows, "time timestamp_ntz, id bigint, amount double")
+    names = dim(spark, [(1, "a"), (2, "b")])
+    got = star.daily_revenue(fact, names, "id", "id", "description", "time", "amount", limit)
+    d = day.date()
+    want = [
+        (None, "a", 1.0), (d + dt.timedelta(1), "a", 2.0), (d + dt.timedelta(1), "b", 3.0),
+        (d + dt.timedelta(2), "b", 4.0), (d + dt.timedelta(9), "a", 6.0),
+    ]
+    assert list(map(tuple, got.collect())) == want[:limit]

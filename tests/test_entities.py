@@ -131,19 +131,19 @@ def test_wide_state_list_and_get(log):
 
 def test_subscription(log):
     watch = Subscription("AirQualityObserved")
-    rows = notifications(P.with_attrs(log), watch).orderBy("patch_id").collect()
+    rows = notifications(log, watch).orderBy("patch_id").collect()
     # 4 and 7 are deletes, 9 touches no condition attribute, 10 is of another type
     assert [r.patch_id for r in rows] == [1, 2, 3, 5, 6, 8, 11]
     assert set(NOTIFY_ATTRS) < set(rows[0].asDict())
     assert rows[1].CO == "18.0" and rows[1].O3 is None and rows[1].time_index == T0 + dt.timedelta(minutes=2)
     only = Subscription("AirQualityObserved", id_pattern="u[23]", condition_attrs=["CO"])
-    assert [r.patch_id for r in notifications(P.with_attrs(log), only).collect()] == [3, 6]
+    assert [r.patch_id for r in notifications(log, only).collect()] == [3, 6]
 
 
 def test_id_pattern_matches_the_whole_id(spark):
     log = spark.createDataFrame([patch(1, "u1", CO=number(1)), patch(2, "u12", CO=number(1))], P.PATCH_SCHEMA)
     watch = Subscription("AirQualityObserved", id_pattern="u1")
-    assert [r.entity_id for r in notifications(P.with_attrs(log), watch).collect()] == ["u1"]
+    assert [r.entity_id for r in notifications(log, watch).collect()] == ["u1"]
 
 
 def test_history_table_names(log):

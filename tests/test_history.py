@@ -58,13 +58,15 @@ def test_forward_fill_of_nothing(df):
 
 
 def test_forward_fill_splits_a_hot_entity(df):
+    text = plan(H.forward_fill(df, ["entity"], "seq", ["a"], 150))
+    assert "_chunk" in text and "_chunk" not in plan(H.forward_fill(df, ["entity"], "seq", ["a"], 2000))
     chunked = H._with_chunk(df, "seq", 20)
     sizes = chunked.groupBy("entity", "_chunk").count().agg(F.max("count")).first()[0]
     assert sizes < 150  # of about 1,000 rows of the entity
 
 
 @pytest.mark.parametrize("n", [1, 5, 100, 5000])
-@pytest.mark.parametrize("salts", [1, 3, 256])
+@pytest.mark.parametrize("salts", [None, 3, 256])
 def test_last_n(df, data, n, salts):
     got = H.last_n(df, ["entity"], ["time", "seq"], n, salts)
     per_entity = {}
@@ -75,8 +77,8 @@ def test_last_n(df, data, n, salts):
 
 
 def test_last_n_limits_rows_before_the_first_shuffle(df):
-    text = plan(H.last_n(df, ["entity"], ["time", "seq"], 10))
-    assert text.count("WindowGroupLimit") == 4
+    assert plan(H.last_n(df, ["entity"], ["time", "seq"], 10)).count("WindowGroupLimit") == 2
+    assert plan(H.last_n(df, ["entity"], ["time", "seq"], 100)).count("WindowGroupLimit") == 4
 
 
 def test_range_is_closed_and_may_be_open(df, data):
