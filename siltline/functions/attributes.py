@@ -34,6 +34,11 @@ def attribute(attr_type: str, value: Column) -> Column:
     return F.struct(F.lit(attr_type).alias("type"), value.alias("value"))
 
 
+def document(attrs: dict[str, Column]) -> Column:
+    """The JSON document of an entity or patch; attributes that are NULL are left out."""
+    return F.to_json(F.struct(*[attr.alias(name) for name, attr in attrs.items()]))
+
+
 def geo_point(longitude: Column, latitude: Column) -> Column:
     """Point value: longitude first, then latitude."""
     return F.struct(

@@ -61,6 +61,7 @@ def number_by_key(
     name: str = "trip_id",
     first: int = 1,
     limit: int | None = None,
+    source_bytes: int = 0,
 ) -> DataFrame:
     """Number rows in the order of a unique key, without a global sort in one task.
 
@@ -69,7 +70,7 @@ def number_by_key(
     numbers stable when a task is repeated.
     """
     path = scratch.new_path(spark, f"by-{name}")
-    write_clustered(df, path, order)
+    write_clustered(df, path, order, source_bytes=source_bytes)
     return number_by_file(spark.read.parquet(path), name, first, limit)
 
 

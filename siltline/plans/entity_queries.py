@@ -45,11 +45,8 @@ def geo_point_access(spark, sf):
         F.col("event_type").alias("addressLocality"),
         F.concat(F.lit("Calle "), F.col("user_id")).alias("streetAddress"),
     )
-    body = F.to_json(
-        F.struct(
-            A.attribute(A.GEO_JSON, point).alias("location"),
-            A.attribute(A.STRUCTURED, where).alias("address"),
-        )
+    body = A.document(
+        {"location": A.attribute(A.GEO_JSON, point), "address": A.attribute(A.STRUCTURED, where)}
     )
     parsed = P.with_attrs(events.select("event_id", body.alias("body")))
     place, street = F.col("attrs")["location"]["value"], A.address(F.col("attrs")["address"]["value"])

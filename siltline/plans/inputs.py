@@ -15,7 +15,7 @@ from siltline.sources import files
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 ENTITY_TYPE = "AirQualityObserved"
 TENANTS = 3
-PATCH_FILE_BYTES = 128 * 1024 * 1024
+PATCH_FILE_BYTES = 32 * 1024 * 1024  # of events; the documents are larger
 
 _landed: dict[tuple[str, str, str], str] = {}
 _schemas: dict[str, StructType] = {}
@@ -53,17 +53,20 @@ def monthly_orders(spark: SparkSession, sf_dir: str) -> str:
 
 def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as entity patches: a signup creates, an error deletes, others update."""
-    events = table(spark, sf_dir, "events")
+    return patches_of(table(spark, sf_dir, "events"))
+
+
+def patches_of(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    body = F.to_json(
-        F.struct(
-            *[
-                F.when(kind == name, A.attribute(A.NUMBER, F.col("value"))).alias(name)
-                for name in EVENT_TYPES
-            ],
-            A.attribute(A.DATE_TIME, C.iso_utc_text(F.col("ts"))).alias("dateObserved"),
-            A.attribute(A.TEXT, F.col("props")).alias("source"),
-        )
+    numbers = {
+        name: F.when(kind == name, A.attribute(A.NUMBER, F.col("value"))) for name in EVENT_TYPES
+    }
+    body = A.document(
+        {
+            **numbers,
+            "dateObserved": A.attribute(A.DATE_TIME, C.iso_utc_text(F.col("ts"))),
+            "source": A.attribute(A.TEXT, F.col("props")),
+        }
     )
     return events.select(
         tenant().alias("tenant"),
@@ -117,6 +120,7 @@ def patch_folder(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[st
     n_files = max(batches, -(-size // PATCH_FILE_BYTES))
 
     def write(path: str) -> None:
-        patches(spark, sf_dir).repartitionByRange(n_files, "patch_id").write.parquet(path)
+        events = table(spark, sf_dir, "events").repartitionByRange(n_files, "event_id")
+        patches_of(events).write.parquet(path)
 
     return _once(spark, sf_dir, "patches", write), -(-n_files // batches)

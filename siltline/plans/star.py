@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline.functions import calendar as C
-from siltline.operators.dimensions import revenue_by_attributes
+from siltline.operators.dimensions import require_valid, revenue_by_attributes
 from siltline.operators.keys import number_by_file
 from siltline.sinks.layouts import append_chunked, write_clustered
 
@@ -123,10 +123,26 @@ def star_fact(
 
 
 def load_star_fact(
-    spark: SparkSession, fact: DataFrame, path: str, cluster_by: tuple[str, ...]
+    spark: SparkSession,
+    fact: DataFrame,
+    path: str,
+    cluster_by: tuple[str, ...],
+    source_bytes: int = 0,
 ) -> DataFrame:
     """Write the fact clustered, and read it back."""
-    write_clustered(fact, path, cluster_by, unique=["trip_id"])
+    write_clustered(fact, path, cluster_by, unique=["trip_id"], source_bytes=source_bytes)
+    return spark.read.parquet(path)
+
+
+def load_star_dimension(
+    spark: SparkSession, dim: DataFrame, path: str, key: str, not_null: tuple[str, ...] = ()
+) -> DataFrame:
+    """Copy a dimension into the star, ordered by its key.
+
+    It replaces what was there, and is refused if a key is missing or occurs twice:
+    loading it again cannot multiply revenue.
+    """
+    write_clustered(require_valid(dim, key, not_null), path, [key])
     return spark.read.parquet(path)
 
 

@@ -10,7 +10,7 @@ from siltline.plans import lake, star, synthetic
 from siltline.plans.inputs import table
 from siltline.sinks import upsert
 from siltline.sinks.layouts import land_raw, write_partitioned
-from siltline.sources import catalogs, dims
+from siltline.sources import catalogs, dims, files
 
 # The payment dimension of the mix query; flag N has no row in it.
 MIX_DIM = [("A", "Accepted"), ("R", "Returned")]
@@ -49,10 +49,15 @@ def _registered(spark, sf, schema, name):
 
 
 def federated_daily_revenue(spark, sf):
+    """The lookup has an int key, as lookups do; it is widened to the fact's bigint."""
     facts, lookups = lake.new_schema(spark, "lake"), lake.new_schema(spark, "dim")
+    name = f"spark_catalog.{lookups}.vendor"
+    catalogs.create_managed(spark, name, "id int, description string")
+    suppliers = table(spark, sf, "supplier")
+    suppliers.select(F.col("s_suppkey").cast("int"), "s_name").write.insertInto(name)
     return star.daily_revenue(
-        _registered(spark, sf, facts, "lineitem"), _registered(spark, sf, lookups, "supplier"),
-        "l_suppkey", "s_suppkey", "s_name", "l_shipdate", "l_extendedprice",
+        _registered(spark, sf, facts, "lineitem"), catalogs.table(spark, name),
+        "l_suppkey", "id", "description", "l_shipdate", "l_extendedprice",
     )
 
 
@@ -83,9 +88,18 @@ def star_fact_build(spark, sf):
         "o_totalprice": "total_amount",
         "o_dropoff": "dropoff_datetime",  # not in the files, left out
     }
-    fact = star.star_fact(table(spark, sf, "orders"), names, ints=("vendor_id",), limit=None)
-    path = scratch.new_path(spark, "star-fact")
-    return star.load_star_fact(spark, fact, path, ("pickup_datetime", "vendor_id"))
+    orders = table(spark, sf, "orders")
+    fact = star.star_fact(orders, names, ints=("vendor_id",), limit=None)
+    path, size = scratch.new_path(spark, "star-fact"), files.scan_bytes(orders)
+    return star.load_star_fact(spark, fact, path, ("pickup_datetime", "vendor_id"), size)
+
+
+def star_dim_load(spark, sf):
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("description")
+    )
+    path = scratch.new_path(spark, "star-dim")
+    return star.load_star_dimension(spark, customers, path, "id", ("description",))
 
 
 def capped_load(spark, sf):
@@ -95,8 +109,10 @@ def capped_load(spark, sf):
 
 
 def dense_surrogate_key(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return keys.number_by_key(spark, orders, ["o_orderdate", "o_orderkey"])
+    orders = table(spark, sf, "orders")
+    size = files.scan_bytes(orders)
+    rows = orders.select("o_orderkey", "o_orderdate")
+    return keys.number_by_key(spark, rows, ["o_orderdate", "o_orderkey"], source_bytes=size)
 
 
 def raw_to_silver(spark, sf):
@@ -213,6 +229,7 @@ QUERIES = {
         federated_zone_revenue,
         federated_payment_mix,
         star_fact_build,
+        star_dim_load,
         capped_load,
         dense_surrogate_key,
         raw_to_silver,
@@ -268,6 +285,7 @@ ORACLES = {
                cast(o_custkey AS integer) AS vendor_id, o_orderdate AS pickup_datetime,
                o_orderstatus AS payment_type, o_totalprice AS total_amount
         FROM orders""",
+    "star_dim_load": "SELECT c_custkey AS id, c_name AS description FROM customer",
     "capped_load": """
         SELECT row_number() OVER (ORDER BY o_orderkey) AS trip_id, o_orderkey, o_totalprice
         FROM orders ORDER BY 1 LIMIT 1000000""",

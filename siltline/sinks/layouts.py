@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siltline.sources import files
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+# Input bytes per range of a clustered write; part files sort by name up to MAX_RANGES.
+RANGE_BYTES = 256 * 1024 * 1024
+MAX_RANGES = 99_999
 
 
 def _mode(overwrite: bool) -> str:
@@ -35,20 +38,25 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
 
 
 def write_clustered(
-    df: DataFrame, path: str, by: Sequence[str], unique: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    unique: Sequence[str] = (),
+    source_bytes: int = 0,
 ) -> None:
     """Overwrite ``path`` with files that are sorted by ``by`` within and among them.
 
     Row-group statistics then prune range scans on the leading column.  ``unique``
-    breaks ties, so that one frequent value of ``by`` can span several files.
+    breaks ties, so that one frequent value of ``by`` can span several files.  The
+    session's shuffle partitions are used unless ``source_bytes`` asks for more.
     """
     order = [*by, *[c for c in unique if c not in by]]
-    (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    wanted = min(-(-source_bytes // RANGE_BYTES), MAX_RANGES)
+    if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ranged = df.repartitionByRange(wanted, *order)
+    else:
+        ranged = df.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def land_raw(spark: SparkSession, source: str, raw_root: str, name: str, fmt: str = "parquet") -> str:

@@ -63,3 +63,9 @@ def file_sizes(spark: SparkSession, root: str) -> DataFrame:
 
 def total_bytes(spark: SparkSession, root: str) -> int:
     return file_sizes(spark, root).agg(F.sum("length")).first()[0] or 0
+
+
+def scan_bytes(scan: DataFrame) -> int:
+    """Size of the files of a file scan."""
+    sizes = scan.select(file_path().alias("path"), F.col("_metadata.file_size").alias("length"))
+    return sizes.distinct().agg(F.sum("length")).first()[0] or 0

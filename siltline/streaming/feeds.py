@@ -60,19 +60,34 @@ def start_state(patches: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return _start_changes(latest_attrs(explode_attrs(patches)), path, checkpoint)
 
 
-def _newest(changes: DataFrame) -> DataFrame:
-    """The rows of ``start_state``, one per entity and attribute."""
-    return latest_attrs(changes)
+def _changes(spark: SparkSession, path: str, base: str | None, after: int) -> DataFrame:
+    """What ``start_state`` wrote after a batch, and the compacted table up to it."""
+    changes = spark.read.parquet(path).filter(F.col("batch_id") > after).drop("batch_id")
+    return changes if base is None else changes.unionByName(spark.read.parquet(base))
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """Current state of all live entities from what ``start_state`` wrote."""
-    return live_attrs(_newest(spark.read.parquet(path)))
+def read_state(
+    spark: SparkSession, path: str, base: str | None = None, after: int = -1
+) -> DataFrame:
+    """Current state of all live entities from what ``start_state`` wrote.
+
+    With a compacted ``base``, only the partitions of later batches are read.
+    """
+    return live_attrs(latest_attrs(_changes(spark, path, base, after)))
 
 
-def compact_state(spark: SparkSession, path: str, target: str) -> None:
-    """Write the changes so far as one table with a row per entity and attribute."""
-    _newest(spark.read.parquet(path)).write.parquet(target)
+def compact_state(
+    spark: SparkSession, path: str, target: str, base: str | None = None, after: int = -1
+) -> int:
+    """Write the state so far as a table with a row per entity and attribute.
+
+    Returns the last batch it contains: pass both to ``read_state``, or to the next
+    compaction.  Earlier batches may then be deleted.  Run it between runs of the
+    stream, not beside one.
+    """
+    batches = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    latest_attrs(_changes(spark, path, base, after)).write.parquet(target)
+    return max(after, batches)
 
 
 def start_update_count(patches: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

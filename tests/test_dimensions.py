@@ -33,6 +33,15 @@ def test_bad_dimension_is_refused(spark):
         dimensions.require_valid(dim(spark, [(1, None)]), "id", ["description"])
 
 
+def test_star_dimension_is_replaced_and_checked(spark, path):
+    rows = dim(spark, [(2, "b"), (1, "a")])
+    for _ in range(2):
+        loaded = star.load_star_dimension(spark, rows, path + "/d", "id", ("description",))
+        assert sorted(map(tuple, loaded.collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        star.load_star_dimension(spark, dim(spark, [(1, "a"), (1, "b")]), path + "/e", "id")
+
+
 def test_last_update_wins(spark):
     target = dim(spark, [(1, "a"), (2, "b"), (3, "c")])
     source = spark.createDataFrame(
@@ -120,3 +129,33 @@ def test_daily_revenue_of_the_first_days(spark, limit):
         (d + dt.timedelta(2), "b", 4.0), (d + dt.timedelta(9), "a", 6.0),
     ]
     assert list(map(tuple, got.collect())) == want[:limit]
+
+
+def test_a_frequent_key_is_split_when_the_dimension_is_large(spark, path):
+    """Sort-merge join of a fact with one key in a third of its rows: several tasks share it."""
+    facts_path = path + "/facts"
+    spark.range(0, 600_000, 1, 24).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("client_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("name"),
+    ).write.parquet(facts_path)
+    clients = spark.range(600_000).select(F.col("id").alias("n"), (F.col("id") % 9).alias("company"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        users = spark.read.parquet(facts_path)
+        joined = users.join(clients, F.col("client_id") == F.col("n")).groupBy("company").agg(
+            F.count("*").alias("n"), F.max("name").alias("last")
+        )
+        assert sum(r.n for r in joined.collect()) == 600_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

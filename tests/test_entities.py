@@ -166,11 +166,14 @@ def test_stream_state_equals_batch_and_restart_adds_nothing(spark, path):
 
     written = run()
     assert run() == written
+    last = feeds.compact_state(spark, out, path + "/base")
     feed(spark, folder, LOG[:3])
     assert run() > written
     assert cells(feeds.read_state(spark, out)) == LIVE
-    feeds.compact_state(spark, out, path + "/compact")
-    assert cells(S.live_attrs(spark.read.parquet(path + "/compact"))) == LIVE
+    assert cells(feeds.read_state(spark, out, path + "/base", last)) == LIVE
+    newest = feeds.compact_state(spark, out, path + "/base2", path + "/base", last)
+    assert newest > last
+    assert cells(feeds.read_state(spark, out, path + "/base2", newest)) == LIVE
 
 
 def test_replayed_batch_overwrites_its_partition(spark, path):

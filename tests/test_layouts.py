@@ -124,6 +124,17 @@ def test_clustered_files_do_not_overlap(spark, sf, path):
         assert dates == sorted(dates)
 
 
+def test_large_inputs_get_more_ranges_than_the_session_setting(spark, path, monkeypatch):
+    rows = spark.range(0, 20_000, 1, 4)
+    rows.write.parquet(path + "/in")
+    scan = spark.read.parquet(path + "/in")
+    size = files.scan_bytes(scan)
+    assert size == files.total_bytes(spark, path + "/in")
+    monkeypatch.setattr(layouts, "RANGE_BYTES", -(-size // 20))
+    layouts.write_clustered(scan, path + "/c", ["id"], source_bytes=size)
+    assert files.file_sizes(spark, path + "/c").count() == 20
+
+
 def test_one_frequent_cluster_value_spans_several_files(spark, path):
     hot = spark.range(0, 80_000, 1, 8).select(F.lit(1).alias("day"), F.col("id"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
