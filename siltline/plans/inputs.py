@@ -17,7 +17,6 @@ ENTITY_TYPE = "AirQualityObserved"
 TENANTS = 3
 PATCH_FILE_BYTES = 32 * 1024 * 1024  # of events; the documents are larger
 
-_landed: dict[tuple[str, str, str], str] = {}
 _schemas: dict[str, StructType] = {}
 
 
@@ -29,16 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    """Derive a layout once per application, so that several queries can read it."""
-    key = (spark.conf.get("spark.app.id", "app"), sf_dir, name)
-    if key not in _landed:
-        path = scratch.new_path(spark, name)
-        write(path)
-        _landed[key] = path
-    return _landed[key]
-
-
 def monthly_orders(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the orders in one Parquet folder per month, named like monthly files."""
 
@@ -48,7 +37,7 @@ def monthly_orders(spark: SparkSession, sf_dir: str) -> str:
         name = F.concat(F.lit("orders_tripdata_"), month, F.lit(".parquet"))
         write_partitioned(orders.withColumn("file", name), path, ["file"])
 
-    return _once(spark, sf_dir, "monthly-orders", write)
+    return scratch.write_once(spark, "monthly-orders", sf_dir, write)
 
 
 def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,4 +112,4 @@ def patch_folder(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[st
         events = table(spark, sf_dir, "events").repartitionByRange(n_files, "event_id")
         patches_of(events).write.parquet(path)
 
-    return _once(spark, sf_dir, "patches", write), -(-n_files // batches)
+    return scratch.write_once(spark, "patches", sf_dir, write), -(-n_files // batches)

@@ -11,10 +11,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
+_written: dict[tuple[str, ...], str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,9 +41,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_once(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
+    """Path of a table derived from ``source``, written at the first call of the application."""
+    key = (scratch_root(spark), name, source)
+    if key not in _written:
+        path = new_path(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
 def discard_scratch(spark: SparkSession) -> bool:
     """Delete this application's derived tables (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root = scratch_root(spark)
+    for key in [k for k in _written if k[0] == root]:
+        del _written[key]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.delete(path, True)

@@ -35,6 +35,24 @@ def test_local_session_without_the_setting_gets_a_folder():
     assert scratch.scratch_root(session) == scratch.scratch_root(session)
 
 
+def test_derived_tables_are_written_once_until_discarded(spark, path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: f"file://{path}/app")
+    calls = []
+
+    def write(to):
+        calls.append(to)
+        spark.range(3).write.parquet(to)
+
+    first = scratch.write_once(spark, "t", "in", write)
+    assert scratch.write_once(spark, "t", "in", write) == first and len(calls) == 1
+    assert scratch.write_once(spark, "t", "other", write) != first
+    assert spark.read.parquet(first).count() == 3
+    assert scratch.discard_scratch(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(first)
+    assert scratch.write_once(spark, "t", "in", write) != first
+
+
 STREAMS = {"stream_current_state", "stream_update_count", "history_append"}
 
 
