@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltline.llm import bpe, decontaminate, quality_rules, secrets, simhash
+from siltline import scratch
+from siltline.llm import bpe, decontaminate, html_extract, quality_rules, secrets, simhash, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -41,6 +42,33 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch.new_path(spark, "archive")
+    warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    found = warc.read_pages(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+WARC_ARCHIVE_SQL = """
+    WITH payloads AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), firsts AS (
+        SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+
+def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", html_extract.extract(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_rules.judge(docs).select("_row.doc_id", "quality.*")
@@ -71,9 +99,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": byte_bpe,
     "op3_benchmark_decontamination": benchmark_decontamination,
+    "op4_warc_archive": warc_archive,
     "op5_quality_divergence": quality_divergence,
     "op6_secret_scan": secret_scan,
     "op9_simhash_near_dedup": simhash_near_dedup,
+    "op10_html_main_text": html_main_text,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc_archive": WARC_ARCHIVE_SQL}

@@ -30,8 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from siltline import scratch
 from siltline.llm import text as T
+from siltline.llm.tables import stored
 
 RADIUS = 3
 SHINGLE = 3
@@ -299,14 +299,6 @@ def links(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFr
     return stored(result.distinct(), "links")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read again: it survives lost executors."""
-    spark = df.sparkSession
-    path = scratch.new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, star): the smallest node that is reachable, for all nodes that have a link.
 
