@@ -38,11 +38,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, token_ids, n_tokens) with the digest of the bytes that the ids decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    encode = bpe.encoder(spark, path, public_tokenizers.PATTERN)
-    decode = bpe.decoder(spark, path, public_tokenizers.PATTERN)
-    ids = docs.select("doc_id", encode(F.col("text")).alias("token_ids"))
-    return ids.withColumn("n_tokens", F.size("token_ids").cast("bigint")).withColumn(
-        "decoded_sha256", F.sha2(decode("token_ids"), 256)
+    docs = docs.select("doc_id", "text")
+    found = bpe.encode(docs, "text", path, public_tokenizers.PATTERN, "token_ids", "decoded")
+    return found.select(
+        "doc_id",
+        "token_ids",
+        F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -9,7 +9,7 @@ from which no token leads on is never tried again, so the time is linear in the
 
 Texts are cut by the vocabulary's pattern; each match is encoded separately, and one that is a
 token itself is that token.  NULL is an empty text.  An id that is NULL or not in the vocabulary
-fails the decoding.
+fails the decoding.  Rows are handled on their own, so repeated rows and ties need no rule.
 """
 
 
@@ -19,11 +19,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-CACHED = 200_000  # results in each of two generations, of pieces and of parts, in each Python worker
+ROWS = 512  # that a worker holds at a time
+CACHED = 100_000  # results in each of two generations, of pieces and of parts, in each Python worker
 CACHED_CHARS = 48  # longer ones are rare and are encoded anew
 CACHED_PAIRS = 500_000
 SPACED = re.compile(r" (?=\S)")
@@ -139,7 +140,8 @@ class Vocabulary:
         return np.frombuffer(self._pieces(first) + b"".join(parts), "<i4")
 
     def decode(self, ids) -> bytes:
-        return b"".join([self.tokens[i] for i in ids])
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 class Cache:
@@ -170,38 +172,53 @@ def vocabulary(content: bytes, pattern: str) -> Vocabulary:
     return Vocabulary({base64.b64decode(p[0]): int(p[1]) for p in lines if p}, pattern)
 
 
-def encoder(spark: SparkSession, path: str, pattern: str):
-    """Function of a text column that gives its ids.
-
-    The rank file is read by the driver and sent to the executors; its size does not depend on
-    the data.
-    """
+def _shared(spark: SparkSession, path: str):
+    """The rank file, read by the driver; its size does not depend on the data."""
     with open(path, "rb") as ranks:
-        shared = spark.sparkContext.broadcast(ranks.read())
+        return spark.sparkContext.broadcast(ranks.read())
 
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
-        own = vocabulary(shared.value, pattern)
-        for texts in batches:
-            yield pd.Series([own.encode(t or "") for t in texts], dtype=object)
+def _mapped(df: DataFrame, column: str, more: dict[str, DataType], make) -> DataFrame:
+    """``df`` without ``column``, with the arrays that ``make`` derives from it, in small batches."""
+    names = [c for c in df.columns if c != column]
+    schema = StructType([df.schema[c] for c in names] + [StructField(n, t, False) for n, t in more.items()])
 
-    return lambda text: encode(F.coalesce(text, F.lit("")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(start, ROWS)
+                arrays = [rows.column(rows.schema.get_field_index(c)) for c in names]
+                arrays += make(rows.column(rows.schema.get_field_index(column)))
+                yield pa.RecordBatch.from_arrays(arrays, [*names, *more])
 
+    return df.mapInArrow(run, schema)
+
+
+def encode(df: DataFrame, text: str, path: str, pattern: str, ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with its ``text`` replaced by the ids, and by the bytes they decode to if asked for."""
+    ranks = _shared(df.sparkSession, path)
+
+    def make(texts: pa.Array) -> list[pa.Array]:
+        own = vocabulary(ranks.value, pattern)
+        found = [own.encode(t or "") for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        arrays = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))]
+        if decoded:
+            arrays.append(pa.array([own.decode(x) for x in found], pa.binary()))
+        return arrays
+
+    return _mapped(df, text, {ids: ArrayType(IntegerType())} | ({decoded: BinaryType()} if decoded else {}), make)
 
-def decoder(spark: SparkSession, path: str, pattern: str):
-    """Function of a column of ids that gives the bytes."""
-    with open(path, "rb") as ranks:
-        shared = spark.sparkContext.broadcast(ranks.read())
 
-    @F.pandas_udf(BinaryType())
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def decode(df: DataFrame, ids: str, path: str, pattern: str, decoded: str = "decoded") -> DataFrame:
+    """``df`` with its ``ids`` replaced by the bytes they stand for; NULL ids stand for none."""
+    ranks = _shared(df.sparkSession, path)
 
-        own = vocabulary(shared.value, pattern)
-        for many in batches:
-            yield pd.Series([own.decode(ids.tolist()) for ids in many], dtype=object)
+    def make(many: pa.Array) -> list[pa.Array]:
+        own = vocabulary(ranks.value, pattern)
+        return [pa.array([own.decode(x or []) for x in many.to_pylist()], pa.binary())]
 
-    return decode
+    return _mapped(df, ids, {decoded: BinaryType()}, make)
 
 
 def digest(ids: Column) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import scratch
-from siltline.llm import bpe, decontaminate, html_extract, quality_rules, secrets, simhash, warc
+from siltline.llm import bpe, decontaminate, html_extract, line_crf, quality_rules, secrets, simhash, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,12 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(VOCABULARY)
-    encode = bpe.encoder(spark, path, public_tokenizers.PATTERN)
-    decode = bpe.decoder(spark, path, public_tokenizers.PATTERN)
-    docs = _table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", encode(F.col("text")).alias("ids"))
-    return ids.withColumn("decoded", decode("ids")).select(
+    found = bpe.encode(docs, "text", path, public_tokenizers.PATTERN, "ids", "decoded")
+    return found.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         bpe.digest(F.col("ids")).alias("ids_sha256"),
@@ -90,6 +88,14 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(~line_crf.held_out(F.col("doc_id")))
+    score = line_crf.scorer(line_crf.train(docs, labels))
+    found = docs.select("doc_id", line_crf.held_out(F.col("doc_id")).alias("held_out"), score(F.col("text")).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
@@ -102,6 +108,7 @@ QUERIES = {
     "op4_warc_archive": warc_archive,
     "op5_quality_divergence": quality_divergence,
     "op6_secret_scan": secret_scan,
+    "op8_line_crf_quality": line_crf_quality,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_html_main_text": html_main_text,
 }
