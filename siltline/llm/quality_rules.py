@@ -7,13 +7,16 @@ document is rejected if it fails the base rules or if one of its Jensen-Shannon
 root of the divergence to base 2, between 0 and 1) is above a threshold.  Texts with fewer
 words than the guard of a histogram are not judged by it: they have too few to compare.
 
-Plan: two scans of the texts and no shuffle of them.  The first sums integer parts per million
-by language, so the reference does not depend on the order of addition; it has one row for each
-language of ``COMMON_WORDS`` and one for all others, so it can be broadcast.
-
-NULL and empty texts have no words and fail the base rules.  A language that is NULL or not
-listed has the reference of the others.  Without any document that is long enough there is no
-reference, and the base rules decide alone.  Repeated rows are judged like any other.
+Plan: no text is shuffled.  ``assess`` scans the texts once and keeps the counts of each, a few
+hundred bytes, in the shared folder; ``keep_good`` scans them twice, for the reference and for
+the verdict.  The reference sums integer parts per million by language, so it does not depend on
+the order of addition; it has one row for each language of ``COMMON_WORDS`` and one for all
+others, so it can be broadcast.
+
+NULL and empty texts have no words and fail the base rules.  Languages that are NULL or not listed
+have one reference together, and no frequent words: only their characters are judged.  Without
+any document that is long enough there is no reference, and the base rules decide alone.
+Repeated rows are judged like any other.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siltline.llm import text as T
+from siltline.llm.tables import stored
 
 # Frequent words of four languages, by ISO 639-1 code.
 COMMON_WORDS = {
@@ -31,7 +35,8 @@ COMMON_WORDS = {
     "es": ("de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una"),
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"),
 }
-BINS = tuple(sorted({w for words in COMMON_WORDS.values() for w in words}))
+ANY_COMMON = tuple(sorted({w for words in COMMON_WORDS.values() for w in words}))
+BINS = 17  # the frequent words of a language, and all other words
 SYMBOLS = "#*$%&|<>"
 POINTS = ".,;:!?'\"()-"
 MILLION = 1_000_000
@@ -41,8 +46,8 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 CHAR_GUARD = 50  # words below which the histogram of characters is not judged
 WORD_GUARD = 100  # words below which the histogram of frequent words is not judged
-MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.45
+MAX_CHAR_DISTANCE = 0.3
+MAX_WORD_DISTANCE = 0.3
 
 _COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -51,10 +56,11 @@ def _removed(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def _with_histograms(docs: DataFrame, text: str) -> DataFrame:
-    """Adds struct ``_q``: words and both histograms as counts."""
+def _with_histograms(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """Adds the language, the words and both histograms as counts."""
     raw = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumn("_rest", F.regexp_replace(raw, "[a-z]+", ""))
+    df = docs.withColumn("_language", F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("other"))
+    df = df.withColumn("_rest", F.regexp_replace(raw, "[a-z]+", ""))
     df = df.withColumn("_lower", F.length(raw) - F.length("_rest"))
     df = df.withColumn("_words", T.words(F.col(text)))
     rest = F.col("_rest")
@@ -75,14 +81,16 @@ def _with_histograms(docs: DataFrame, text: str) -> DataFrame:
         F.array(F.col("_lower").cast("bigint"), c["upper"], c["digit"], c["space"], c["symbol"], c["point"], other),
     )
     plain = F.split(F.lower(raw), r"[^\p{L}]+")
-    df = df.withColumn("_common", F.filter(plain, lambda w: w.isin(*BINS)))
+    df = df.withColumn("_common", F.filter(plain, lambda w: w.isin(*ANY_COMMON)))
+    lists = F.array().cast("array<string>")
+    for language, words in COMMON_WORDS.items():
+        lists = F.when(F.col("_language") == language, F.array(*[F.lit(w) for w in words])).otherwise(lists)
     found = F.size("_common")
-    hits = F.transform(
-        F.array(*[F.lit(w) for w in BINS]),
-        lambda w: (found - F.size(F.array_remove("_common", w))).cast("bigint"),
+    df = df.withColumn(
+        "_hits", F.transform(lists, lambda w: (found - F.size(F.array_remove("_common", w))).cast("bigint"))
     )
-    others = F.greatest(F.size("_words") - found, F.lit(0)).cast("bigint")
-    return df.withColumn("_bins", F.concat(hits, F.array(others)))
+    others = F.greatest(F.size("_words") - T.total(F.col("_hits")), F.lit(0)).cast("bigint")
+    return df.withColumn("_bins", F.when(F.size("_hits") > 0, F.concat("_hits", F.array(others))))
 
 
 def _with_total(df: DataFrame, histogram: str) -> DataFrame:
@@ -94,25 +102,26 @@ def _share(histogram: str, i: int) -> Column:
     return F.floor(F.col(histogram)[i] * MILLION / F.greatest(f"{histogram}_n", F.lit(1))).cast("bigint")
 
 
-def _language(lang: str) -> Column:
-    return F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("other")
-
-
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def _references(df: DataFrame, words: Column) -> DataFrame:
     """(language, chars, bins): the mean histograms of each language, five rows at most."""
-    df = _with_histograms(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), "text")
-    df = T.where_late(df, F.size("_words") >= CHAR_GUARD).withColumn("_language", _language("lang"))
+    df = T.where_late(df, words >= CHAR_GUARD)
     df = _with_total(_with_total(df, "_chars"), "_bins")
-    sizes = {"_chars": 7, "_bins": len(BINS) + 1}
+    sizes = {"_chars": 7, "_bins": BINS}
     sums = [F.sum(_share(n, i)).alias(f"{n}{i}") for n, size in sizes.items() for i in range(size)]
     df = df.groupBy("_language").agg(*sums)
     return df.select(
         "_language",
         F.array(*[f"_chars{i}" for i in range(sizes["_chars"])]).alias("_ref_chars"),
-        F.array(*[f"_bins{i}" for i in range(sizes["_bins"])]).alias("_ref_bins"),
+        F.when(F.col("_bins0").isNotNull(), F.array(*[f"_bins{i}" for i in range(BINS)])).alias("_ref_bins"),
     )
 
 
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The reference histograms of a table of documents."""
+    df = _with_histograms(docs.select(F.col(lang).alias("_lang"), F.col(text).alias("_text")), "_text", "_lang")
+    return _references(df, F.size("_words"))
+
+
 def distance(counts: str, reference: str) -> Column:
     """Jensen-Shannon distance of two histograms with their totals; NULL if one is empty."""
     p_n, q_n = F.col(f"{counts}_n"), F.col(f"{reference}_n")
@@ -161,18 +170,16 @@ def _with_repeats(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", reference: DataFrame | None = None) -> DataFrame:
-    """``docs`` with struct column ``quality``: counts, both distances, base_failed and kept.
+def _measured(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """Struct ``_row`` with the columns of ``docs``, and all that is counted."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    df = docs.select(F.struct(*columns).alias("_row"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
+    return _with_repeats(_with_histograms(df, "_text", "_lang"), "_text")
+
 
-    ``reference`` is a table made by ``references``; by default it is made of ``docs``.
-    """
-    if reference is None:
-        reference = references(docs, text, lang)
-    names = docs.columns
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
-    df = inner.withColumn("_language", _language("_lang"))
-    df = df.join(F.broadcast(reference), "_language", "left")  # five rows at most
-    df = _with_repeats(_with_histograms(df, "_text"), "_text")
+def _verdict(measured: DataFrame, reference: DataFrame) -> DataFrame:
+    """``_row`` and struct ``quality``."""
+    df = measured.join(F.broadcast(reference), "_language", "left")  # five rows at most
     n = F.col("n_words")
     base_failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
     for histogram in ("_chars", "_ref_chars", "_bins", "_ref_bins"):
@@ -188,6 +195,16 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", reference: Da
     return df.select("_row", verdict.alias("quality"))
 
 
-def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents that pass, with their columns."""
-    return T.where_late(judge(docs, text, lang), F.col("quality.kept")).select("_row.*")
+def assess(docs: DataFrame, keys: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
+    """Columns ``keys`` of the documents and struct ``quality``: counts, distances, base_failed, kept."""
+    row = F.struct(*[F.col("_row")[k].alias(k) for k in keys]).alias("_row")
+    measured = _measured(docs, text, lang).select(row, "_language", "_chars", "_bins", *_COLUMNS)
+    measured = stored(measured, "quality-counts")
+    return _verdict(measured, _references(measured, F.col("n_words"))).select("_row.*", "quality")
+
+
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", reference: DataFrame | None = None) -> DataFrame:
+    """The documents that pass, with their columns; ``reference`` is made of them by default."""
+    reference = references(docs, text, lang) if reference is None else reference
+    judged = _verdict(_measured(docs, text, lang), reference)
+    return T.where_late(judged, F.col("quality.kept")).select("_row.*")

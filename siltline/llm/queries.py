@@ -69,7 +69,7 @@ def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_rules.judge(docs).select("_row.doc_id", "quality.*")
+    return quality_rules.assess(docs, ["doc_id"]).select("doc_id", "quality.*")
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
