@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import scratch
-from siltline.llm import bpe, decontaminate, html_extract, line_crf, quality_rules, secrets, simhash, warc
+from siltline.llm import bpe, decontaminate, html_extract, line_crf, lm_score, quality_rules, secrets, simhash, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -27,6 +27,48 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lm_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    log10 = F.col("micro_log10") / F.lit(1e6)
+    return found.select(
+        "doc_id", "n_words", "n_backoff", log10.alias("log10_score"),
+        F.when(F.col("n_words") > 0, log10 / F.col("n_words")).alias("log10_per_word"),
+    )
+
+
+LM_STUPID_BACKOFF_SQL = r"""
+    WITH lists AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS l
+        FROM documents
+    ), words AS (
+        SELECT doc_id, unnest(l) AS w, unnest(range(len(l))) AS i FROM lists
+    ), pairs AS (
+        SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM words
+    ), singles AS (SELECT w, count(*) AS n FROM words GROUP BY w),
+    doubles AS (SELECT p, w, count(*) AS n FROM pairs WHERE p IS NOT NULL GROUP BY p, w),
+    total AS (SELECT count(*) AS n FROM words),
+    terms AS (
+        SELECT pairs.doc_id, pairs.p IS NOT NULL AND doubles.n < 2 AS backed,
+            CASE WHEN pairs.p IS NULL THEN own.n / total.n
+                WHEN doubles.n >= 2 THEN doubles.n / before.n
+                ELSE 0.4::DOUBLE * (own.n / total.n) END AS s
+        FROM pairs CROSS JOIN total JOIN singles own ON own.w = pairs.w
+        LEFT JOIN singles before ON before.w = pairs.p
+        LEFT JOIN doubles ON doubles.p = pairs.p AND doubles.w = pairs.w
+    ), sums AS (
+        SELECT doc_id, count(*) AS n_words, count(*) FILTER (backed) AS n_backoff,
+            sum(round_even(1000000 * log10(s), 0)::BIGINT)::BIGINT AS micro
+        FROM terms GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff,
+        coalesce(micro, 0) / 1e6::DOUBLE AS log10_score,
+        CASE WHEN n_words > 0 THEN micro / 1e6::DOUBLE / n_words END AS log10_per_word
+    FROM lists LEFT JOIN sums USING (doc_id)
+"""
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
@@ -104,6 +146,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe,
+    "op2_lm_stupid_backoff": lm_stupid_backoff,
     "op3_benchmark_decontamination": benchmark_decontamination,
     "op4_warc_archive": warc_archive,
     "op5_quality_divergence": quality_divergence,
@@ -113,4 +156,7 @@ QUERIES = {
     "op10_html_main_text": html_main_text,
 }
 
-ORACLES: dict[str, str] = {"op4_warc_archive": WARC_ARCHIVE_SQL}
+ORACLES: dict[str, str] = {
+    "op2_lm_stupid_backoff": LM_STUPID_BACKOFF_SQL,
+    "op4_warc_archive": WARC_ARCHIVE_SQL,
+}
