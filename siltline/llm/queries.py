@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import scratch
-from siltline.llm import bpe, decontaminate, html_extract, line_crf, lm_score, quality_rules, secrets, simhash, warc
+from siltline.llm import bpe, chat, decontaminate, html_extract, line_crf, lm_score, quality_rules, secrets, simhash, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -130,6 +130,33 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(_table(spark, sf_dir, "conversations"))
+
+
+CHAT_SNAPSHOTS_SQL = r"""
+    WITH turns AS (
+        SELECT DISTINCT conv_id, coalesce(turn, -1) AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), whole AS (
+        SELECT conv_id, list({'p': place, 'r': role, 't': text} ORDER BY place, role, text) AS l FROM turns GROUP BY conv_id
+    ), firsts AS (
+        SELECT l, min(conv_id) AS conv_id FROM whole GROUP BY l
+    ), prefixes AS (
+        SELECT DISTINCT l[:k] AS l FROM (SELECT l, unnest(range(1, len(l))) AS k FROM whole)
+        WHERE l[k].p < l[k + 1].p
+    ), kept AS (
+        SELECT conv_id FROM firsts ANTI JOIN prefixes USING (l)
+    ), numbered AS (
+        SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY floor(place / 1024)) - 1 AS part
+        FROM turns SEMI JOIN kept USING (conv_id)
+    )
+    SELECT conv_id, part::BIGINT AS part, count(*)::BIGINT AS n_turns,
+        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place, role, text) AS text
+    FROM numbered GROUP BY conv_id, part
+"""
+
+
 def line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").where(~line_crf.held_out(F.col("doc_id")))
@@ -151,6 +178,7 @@ QUERIES = {
     "op4_warc_archive": warc_archive,
     "op5_quality_divergence": quality_divergence,
     "op6_secret_scan": secret_scan,
+    "op7_chat_snapshots": chat_snapshots,
     "op8_line_crf_quality": line_crf_quality,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_html_main_text": html_main_text,
@@ -159,4 +187,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_lm_stupid_backoff": LM_STUPID_BACKOFF_SQL,
     "op4_warc_archive": WARC_ARCHIVE_SQL,
+    "op7_chat_snapshots": CHAT_SNAPSHOTS_SQL,
 }
