@@ -179,8 +179,12 @@ def _shared(spark: SparkSession, path: str):
 
 
 def _mapped(df: DataFrame, column: str, more: dict[str, DataType], make) -> DataFrame:
-    """``df`` without ``column``, with the arrays that ``make`` derives from it, in small batches."""
-    names = [c for c in df.columns if c != column]
+    """``df`` with the arrays that ``make`` derives from ``column`` in its place, in small batches.
+
+    Columns of ``df`` that have the name of a new one are replaced by it.
+    """
+    names = [c for c in df.columns if c != column and c not in more]
+    df = df.select(*[F.col(f"`{c}`") for c in [*names, column]])
     schema = StructType([df.schema[c] for c in names] + [StructField(n, t, False) for n, t in more.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

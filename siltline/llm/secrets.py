@@ -28,9 +28,9 @@ STRONG = {
 LEAST = {ASSIGN: 8, ACCESS: 16, HEX: 32}
 # The forms of weak candidates.
 WEAK = {
-    "weak_id": r"""(?i:\b(?:user(?:_?name|_?id)?|login|account|client_?id|access_?key(?:_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""",
-    "weak_secret": r"""(?i:\b(?:pwd|pass|passphrase|auth|credential|client_?secret|private_?key|secret_?(?:access_?)?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}""",
-    "endpoint": r"(?i:\b(?:https?|ftp|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@!&=%+-]+)",
+    "weak_id": r"""(?<![A-Za-z0-9_])(?i:(?:user(?:_?name|_?id)?|login|account|client_?id|access_?key(?:_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""",
+    "weak_secret": r"""(?<![A-Za-z0-9_])(?i:(?:pwd|pass|passphrase|auth|credential|client_?secret|private_?key|secret_?(?:access_?)?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}""",
+    "endpoint": r"(?<![A-Za-z0-9_])(?i:(?:https?|ftp|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@!&=%+-]+)",
 }
 KINDS = (ASSIGN, ACCESS, HEX, *WEAK)
 IDENTIFIERS = (ACCESS, "weak_id")

@@ -164,6 +164,7 @@ def thresholds(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
 
 def allocate(n: int, ones: np.ndarray, correlation: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
     """Parts with their thresholds, at the smallest estimated cost."""
+    n = max(n, 1)
     plans = []
     for m in range(1, MOST_PARTS + 1):
         parts = parts_of(correlation, m)

@@ -1,0 +1,90 @@
+import random
+
+from pyspark.sql import functions as F
+
+from siltline.llm import decontaminate
+from tests.llm import brute
+
+
+def found(docs, items):
+    got = decontaminate.contaminated(docs, items).groupBy("_row.doc_id", "item_id").agg(F.max("similarity").alias("s"))
+    return {(r.doc_id, r.item_id): r.s for r in got.collect()}
+
+
+def same(got, want):
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_table_equals_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("length(text) < 3000")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    want = brute.leaks([tuple(r) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert want
+    same(found(docs, items), want)
+
+
+def test_copies_near_copies_and_edges(spark):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(2, 6)))
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([3, 5, 8, 20, 45, 60, 60, 90])]
+    items += [(8, items[5][1] + " tail of its own"), (9, None), (10, ""), (11, "go " * 40), (4, "another text with the same id as before, yes")]
+    docs, k = [(1000, None), (1001, ""), (1002, "go " * 500), (1003, "go " * 3)], 0
+    filler = lambda n: " ".join(word() for _ in range(n))
+    for _, text in items:
+        if not text:
+            continue
+        ws = text.split()
+        for change in ("none", "marks", "word", "insert", "drop", "half", "start", "end", "twice"):
+            if change == "marks":
+                t = " ".join(w.upper() + "***!" for w in ws)
+            elif change == "word":
+                t = " ".join([*ws[: len(ws) // 2], "zzz", *ws[len(ws) // 2 + 1 :]])
+            elif change == "insert":
+                t = " ".join([*ws[:2], "zzz", *ws[2:]])
+            elif change == "drop":
+                t = " ".join(ws[1:])
+            elif change == "half":
+                t = " ".join(ws[: len(ws) // 2])
+            else:
+                t = text
+            before, after = (0, 50) if change == "start" else (50, 0) if change == "end" else (30, 30)
+            body = f"{filler(before)} {t} {filler(after)}" + (f" {text}" if change == "twice" else "")
+            docs.append((k, body))
+            k += 1
+    frame = spark.createDataFrame([(d, t, "x", 1) for d, t in docs], "doc_id long, text string, item_id string, text_digest int")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got, want = found(frame, table), brute.leaks(docs, items)
+    same(got, want)
+    bad = {d for d, _ in want}
+    clean = decontaminate.keep_clean(frame.union(frame), table)
+    assert clean.columns == frame.columns
+    assert sorted(x.doc_id for x in clean.collect()) == sorted([d for d, _ in docs if d not in bad] * 2)
+    assert decontaminate.leaks(frame.where("false"), table).count() == 0
+    assert decontaminate.leaks(frame, table.where("false")).count() == 0
+    assert decontaminate.keep_clean(frame, table.where("false")).count() == len(docs)
+
+
+def test_no_broadcast_gives_the_same(spark, monkeypatch, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id < 300")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    want = found(docs, items)
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+    assert found(docs, items) == want
+
+
+def test_fingerprints_and_blocks(spark):
+    r = random.Random(7)
+    rows = [[r.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 3, 8, 41)]
+    df = spark.createDataFrame([(x,) for x in rows], "h array<long>")
+    for row in df.select("h", decontaminate.fingerprint(F.col("h")).alias("fp")).collect():
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in row.h) > len(row.h))
+        assert row.fp & (1 << 64) - 1 == want
+    df = spark.createDataFrame([(r.getrandbits(64) - (1 << 63),) for _ in range(20)], "fp long")
+    for row in df.select("fp", decontaminate._blocks("fp").alias("b")).collect():
+        at = 0
+        for i, block in enumerate(row.b):
+            size = 64 * (i + 1) // len(row.b) - 64 * i // len(row.b)
+            assert block.bits == (row.fp & (1 << 64) - 1) >> at & (1 << size) - 1
+            at += size
+        assert at == 64 and len(row.b) == decontaminate.RADIUS + 1
