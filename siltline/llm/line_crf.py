@@ -65,7 +65,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     kinds = CLASSES[np.minimum(codes, (1 << 16) - 1)]
     at = np.cumsum(codes == 10)
     counts = np.bincount(at * 7 + kinds, minlength=7 * len(lines)).reshape(-1, 7)
-    counts[:-1, SPACE] -= 1  # the line feed itself
+    counts[1:, SPACE] -= 1  # the line feed before the line
     kept, rows, seen = [], [], set()
     for i, line in enumerate(lines):
         words = line.split()
@@ -195,15 +195,20 @@ def _expected(evidence: np.ndarray, held: np.ndarray, size: np.ndarray, steps: n
     return good, taken
 
 
-def _sampled(batches):
-    for batch in batches:
-        rows = []
-        for key, text, label in zip(batch["key"], batch["text"], batch["label"]):
-            x, _ = features(text or "")
-            begin = int(key) % max(len(x) - TRAIN_LINES + 1, 1)
-            run = np.ascontiguousarray(x[begin : begin + TRAIN_LINES])
-            rows.append((key, int(label), run.astype("<f4").tobytes()))
-        yield pd.DataFrame(rows, columns=["key", "label", "lines"])
+def _sampled(most: int):
+    """Function for mapInPandas: a run of ``most`` lines at most of each text."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, text, label in zip(batch["key"], batch["text"], batch["label"]):
+                x, _ = features(text or "")
+                begin = int(key) % max(len(x) - most + 1, 1)
+                lines = np.ascontiguousarray(x[begin : begin + most])
+                rows.append((key, int(label), lines.astype("<f4").tobytes()))
+            yield pd.DataFrame(rows, columns=["key", "label", "lines"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", quality: str = "quality") -> Field:
@@ -214,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     chosen = chosen.orderBy("key", "id").limit(TRAIN_DOCS)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     found = texts.join(F.broadcast(chosen), "id").select("key", "text", "label")  # TRAIN_DOCS rows at most
-    found = found.mapInPandas(_sampled, "key bigint, label int, lines binary")
+    found = found.mapInPandas(_sampled(TRAIN_LINES), "key bigint, label int, lines binary")
     rows = found.orderBy("key", "lines").limit(2 * TRAIN_DOCS).collect()
     return fit([(np.frombuffer(r["lines"], "<f4").reshape(-1, 3 * OWN - 2), r["label"]) for r in rows])
 

@@ -1,0 +1,74 @@
+"""Queries with SQL equal it, and the pipeline equals its stages by definition."""
+
+import base64
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from siltline.llm import queries
+from tests import oracle
+from tests.llm import brute
+
+PATH = public_tokenizers.path(corpus_pipeline.VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, sf, name):
+    assert oracle.compare(spark, oracle.connect(sf), name, sf) > 0
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_byte_bpe_query(spark, sf, encoding):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in queries.byte_bpe(spark, sf).collect():
+        ids = encoding.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_secret_scan_query(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in queries.secret_scan(spark, sf).collect():
+        base = brute.base_spans(texts[r.doc_id])
+        told = ",".join(f"{queries.secrets.KINDS[k]}:{s}:{e}" for s, e, k in base)
+        assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, _, k in base) for i in range(3))
+        assert r.spans == ",".join(f"{queries.secrets.KINDS[k]}:{s}:{e}" for s, e, k in brute.all_spans(texts[r.doc_id]))
+
+
+def test_pipeline_equals_brute_force(spark, sf, path, encoding):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 6000")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    extra = spark.createDataFrame([(90001, None, "en", "s", 0), (90002, "", None, None, None)], docs.schema)
+    docs.union(extra).write.parquet(f"{path}/documents.parquet")
+    items.write.parquet(f"{path}/benchmark.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    verdicts = brute.verdicts(rows)
+    rows = [(d, t) for d, t, _ in rows if verdicts[d][-1]]
+    groups = brute.near_duplicates(rows)
+    rows = [(d, t) for d, t in rows if groups[d][1] == d]
+    bad = {d for d, _ in brute.leaks(rows, [(r.item_id, r.text) for r in items.collect()])}
+    want = {d: brute.masked(t) for d, t in rows if d not in bad}
+    assert bad and len(want) < len(verdicts)
+    got = corpus_pipeline.run(spark, path).collect()
+    assert {r.doc_id for r in got} == set(want) and len(got) == len(want)
+    for r in got:
+        assert r.token_ids == encoding.encode_ordinary(want[r.doc_id]) and r.n_tokens == len(r.token_ids)
+        assert r.decoded_sha256 == hashlib.sha256(want[r.doc_id].encode()).hexdigest()
+    assert any(brute.masked(t) != t for _, t in rows)
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "simhash_near_dedup", "benchmark_decontamination", "secret_scans", "byte_bpe"
+    ]
