@@ -5,9 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# Amounts are added in units of this part of one; a sum beyond 9 * 10^14 is an error.
+UNIT = 10_000
+
+
+def money_units(amount: Column) -> Column:
+    """Amounts as whole numbers of units, whose sums do not depend on the order of addition."""
+    return F.round(amount * UNIT).cast("bigint")
+
+
+def money_of(units: Column) -> Column:
+    """Sum of units, to the cent."""
+    return F.round(units / UNIT, 2)
+
+
 def money_sum(amount: Column) -> Column:
-    """Sum to the cent, so that the order in which partitions are added cannot show."""
-    return F.round(F.sum(amount), 2)
+    """Sum to the cent, the same for any order and partitioning."""
+    return money_of(F.sum(money_units(amount)))
 
 
 def share_pct(part: Column, whole: Column) -> Column:

@@ -17,8 +17,6 @@ ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 10_000
 # Up to this n, the rows kept per entity and scan task can be ranked in one round.
 SINGLE_ROUND_N = 32
-# A page without an explicit limit holds at least this many rows.
-DEFAULT_PAGE = 1_000
 
 
 def in_range(
@@ -86,13 +84,8 @@ def entity_history(
     last: int | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """History of one entity: time range, newest ``last`` rows, row limit, oldest first.
-
-    With ``last`` and no ``limit`` the page holds ``max(last, 1000)`` rows at most.
-    """
+    """History of one entity: time range, newest ``last`` rows, row limit, oldest first."""
     rows = in_range(history.filter(entity), time, from_time, to_time)
-    if limit is None and last is not None:
-        limit = max(last, DEFAULT_PAGE)
     bounds = [b for b in (last, limit) if b is not None]
     if bounds:
         rows = latest_page(rows, time, seq, min(bounds))

@@ -10,10 +10,9 @@ from siltline import scratch
 from siltline.sinks.layouts import write_clustered
 from siltline.sources import files
 
-# The per-file offsets are broadcast up to this many files (about 20 MB).
-BROADCAST_FILES = 100_000
-# Key sets up to this size are sent to the scan as an IN list.
-MAX_IN_LIST = 1_000
+# The offsets of the files are broadcast up to this size; a file takes about OFFSET_BYTES of it.
+BROADCAST_BYTES = 512 * 1024 * 1024
+OFFSET_BYTES = 400
 
 
 def number_by_file(
@@ -23,9 +22,12 @@ def number_by_file(
 
     Parquet stores the rows per file, and the scan gives each row its position, so
     no row is moved.  Only the running sum over files passes through one task: a row
-    per file.  With ``limit``, files that start beyond it are not opened.
+    per file.  With ``limit``, files that start beyond it are not opened.  Part files
+    are in the order of their number.  Anything but a scan is refused: its rows have
+    gaps between their positions.
     """
-    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    _require_scan(scan)
+    before = Window.orderBy(files.file_order("path")).rowsBetween(Window.unboundedPreceding, -1)
 
     def offsets(rows: DataFrame) -> DataFrame:
         running = F.coalesce(F.sum("n_rows").over(before), F.lit(0))
@@ -34,10 +36,11 @@ def number_by_file(
     n_files = len(scan.inputFiles())
     if n_files > 1:
         if limit is not None:
-            last = offsets(scan).filter(F.col("rows_before") < limit).agg(F.max("path")).first()[0]
-            scan = scan.filter(files.file_path() <= F.lit(last))
+            last = offsets(scan).filter(F.col("rows_before") < limit)
+            last = last.agg(F.max(files.file_order("path"))).first()[0]
+            scan = scan.filter(files.file_order(files.file_path()) <= F.lit(last))
         start = offsets(scan)
-        if n_files <= BROADCAST_FILES:
+        if n_files * OFFSET_BYTES <= BROADCAST_BYTES:
             start = F.broadcast(start)
         rows = _with_position(scan).join(start, "path")
     else:
@@ -48,6 +51,14 @@ def number_by_file(
     return rows.select((number + first).cast("bigint").alias(name), *scan.columns)
 
 
+def _require_scan(scan: DataFrame) -> None:
+    node = scan._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "SubqueryAlias"):
+        node = node.child()
+    if node.nodeName() != "LogicalRelation":
+        raise ValueError(f"only the rows of a file scan can be numbered by position, not of {node.nodeName()}")
+
+
 def _with_position(scan: DataFrame) -> DataFrame:
     return scan.select(
         "*", files.file_path().alias("path"), F.col("_metadata.row_index").alias("position")
@@ -85,15 +96,11 @@ def sample_keys(df: DataFrame, key: str, k: int = 50) -> DataFrame:
     )
 
 
-def count_in_key_set(df: DataFrame, key: str, keys: DataFrame, size: int) -> DataFrame:
-    """How many rows of ``df`` have one of at most ``size`` keys.
+def count_in_key_set(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """How many rows of ``df`` have one of the keys; repeated keys count once.
 
-    A small set is read to the driver and pushed to the Parquet scan as an IN list;
-    a larger one is joined with the counts per key.
+    Rows are counted per key before the join, so a frequent key is one row there.
     """
-    if size <= MAX_IN_LIST:
-        ids = [row[0] for row in keys.select(key).take(size)]
-        return df.filter(F.col(key).isin(ids)).agg(F.count("*").alias("count"))
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    hits = counts.join(keys.select(key), key, "left_semi")
+    hits = counts.join(keys.select(key).distinct(), key, "left_semi")
     return hits.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))

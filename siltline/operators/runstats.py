@@ -36,10 +36,16 @@ def method_totals(stats: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def pivot_methods(stats: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """One row per analysis, one column per method; NULL where it did not finish."""
-    return (
-        stats.groupBy("analysis")
-        .pivot("method", list(methods))
-        .agg(F.max("avg_time_seconds"))
-    )
+def pivot_methods(stats: DataFrame, methods: Sequence[str] | None = None) -> DataFrame:
+    """One row per analysis, one column per method; NULL where it did not finish.
+
+    The methods are those that occur; a list gives their order and must have them all.
+    """
+    if methods is not None:
+        others = stats.where(~F.col("method").isin(list(methods))).select("method").distinct()
+        missing = sorted(row.method for row in others.limit(10).collect())
+        if missing:
+            raise ValueError(f"methods that are not listed: {missing}")
+    grouped = stats.groupBy("analysis")
+    pivoted = grouped.pivot("method") if methods is None else grouped.pivot("method", list(methods))
+    return pivoted.agg(F.max("avg_time_seconds"))

@@ -82,18 +82,30 @@ def latest_numbers(
     )
 
 
-def list_entities(state: DataFrame, entity_type: str | None = None, limit: int = 100) -> DataFrame:
-    """Entities by optional type, in order of id, at most ``limit``."""
-    rows = state if entity_type is None else state.filter(F.col("entity_type") == entity_type)
-    return (
-        rows.groupBy(*ENTITY)
-        .agg(F.count("*").alias("n_attrs"))
-        .orderBy(*ENTITY)
-        .limit(limit)
-    )
+def list_entities(
+    state: DataFrame,
+    entity_type: str | None = None,
+    tenant: str | None = None,
+    after: str | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """Entities of a tenant (or of all) by optional type, in order of id.
+
+    ``after`` and ``limit`` give pages: those behind the last id of the page before.
+    """
+    rows = _scoped(state, tenant, entity_type)
+    rows = rows if after is None else rows.filter(F.col("entity_id") > after)
+    listed = rows.groupBy(*ENTITY).agg(F.count("*").alias("n_attrs")).orderBy(*ENTITY)
+    return listed if limit is None else listed.limit(limit)
+
+
+def get_entity(
+    state: DataFrame, entity_id: str, entity_type: str | None = None, tenant: str | None = None
+) -> DataFrame:
+    """The live attributes of one entity, optionally only if it is of a type or tenant."""
+    return _scoped(state, tenant, entity_type).filter(F.col("entity_id") == entity_id)
 
 
-def get_entity(state: DataFrame, entity_id: str, entity_type: str | None = None) -> DataFrame:
-    """The live attributes of one entity, optionally only if it is of a type."""
-    rows = state.filter(F.col("entity_id") == entity_id)
+def _scoped(state: DataFrame, tenant: str | None, entity_type: str | None) -> DataFrame:
+    rows = state if tenant is None else state.filter(F.col("tenant") == tenant)
     return rows if entity_type is None else rows.filter(F.col("entity_type") == entity_type)

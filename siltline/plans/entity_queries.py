@@ -17,7 +17,8 @@ from siltline.sources import patches as P
 from siltline.streaming import feeds
 
 FROM, TO = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
-SERIES_ENTITY = "user-7"
+SERIES_USER, SERIES_ENTITY, SERIES_TENANT = 7, "user-7", "t1"
+TENANT, PAGE = "t0", 20
 WATCH = Subscription(
     entity_type=ENTITY_TYPE,
     id_pattern="user-[0-9]+",
@@ -83,7 +84,30 @@ def entity_delete(spark, sf):
 
 def entity_list(spark, sf):
     state = S.current_state(inputs.attr_events(spark, sf))
-    return S.list_entities(state, ENTITY_TYPE, 100)
+    return S.list_entities(state, ENTITY_TYPE)
+
+
+def entity_page(spark, sf):
+    """The second page of one tenant's entities."""
+    state = S.current_state(inputs.attr_events(spark, sf))
+    return S.list_entities(state, ENTITY_TYPE, TENANT, after="user-2", limit=PAGE)
+
+
+def get_entity(spark, sf):
+    """The attributes of one entity of one tenant, by id and type."""
+    state = S.current_state(inputs.attr_events(spark, sf, SERIES_USER))
+    rows = S.get_entity(state, SERIES_ENTITY, ENTITY_TYPE, SERIES_TENANT)
+    return rows.select("tenant", "entity_id", "attr", "value", "patch_id")
+
+
+def entity_history(spark, sf):
+    """The newest rows of one entity of one tenant within a range, oldest first."""
+    entity = (F.col("entity_id") == SERIES_ENTITY) & (F.col("tenant") == SERIES_TENANT)
+    rows = H.entity_history(
+        inputs.history(spark, sf, SERIES_USER), entity, "time_index", "patch_id",
+        F.expr(f"TIMESTAMP_NTZ'{FROM}'"), F.expr(f"TIMESTAMP_NTZ'{TO}'"), last=5,
+    )
+    return rows.select("tenant", "entity_id", "patch_id", "time_index", *EVENT_TYPES)
 
 
 def history_forward_fill(spark, sf):
@@ -109,7 +133,8 @@ def history_page(spark, sf):
 
 def entity_series(spark, sf):
     return H.attribute_series(
-        inputs.history(spark, sf), F.col("entity_id") == SERIES_ENTITY,
+        inputs.history(spark, sf, SERIES_USER),
+        (F.col("entity_id") == SERIES_ENTITY) & (F.col("tenant") == SERIES_TENANT),
         "time_index", "patch_id", F.col("click"), "click",
     )
 
@@ -161,6 +186,9 @@ QUERIES = {
         current_state_wide,
         entity_delete,
         entity_list,
+        entity_page,
+        get_entity,
+        entity_history,
         history_forward_fill,
         last_n_per_entity,
         history_range,
@@ -227,7 +255,21 @@ ORACLES = {
     "entity_delete": _STATE_AFTER_DELETES,
     "entity_list": f"""
         SELECT tenant, entity_id, count(DISTINCT event_type) AS n_attrs
-        FROM (SELECT *, {_WHO} FROM events) GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100""",
+        FROM (SELECT *, {_WHO} FROM events) GROUP BY 1, 2""",
+    "entity_page": f"""
+        SELECT tenant, entity_id, count(DISTINCT event_type) AS n_attrs
+        FROM (SELECT *, {_WHO} FROM events) WHERE tenant = '{TENANT}' AND entity_id > 'user-2'
+        GROUP BY 1, 2 ORDER BY 1, 2 LIMIT {PAGE}""",
+    "get_entity": f"""
+        SELECT tenant, entity_id, event_type AS attr, cast(arg_max(value, event_id) AS varchar) AS value,
+               max(event_id) AS patch_id
+        FROM (SELECT *, {_WHO} FROM events)
+        WHERE entity_id = '{SERIES_ENTITY}' AND tenant = '{SERIES_TENANT}' GROUP BY 1, 2, 3""",
+    "entity_history": f"""
+        SELECT tenant, entity_id, patch_id, time_index, {', '.join(f'"{n}"' for n in EVENT_TYPES)}
+        FROM ({_HISTORY}) WHERE entity_id = '{SERIES_ENTITY}' AND tenant = '{SERIES_TENANT}'
+            AND time_index BETWEEN '{FROM}' AND '{TO}'
+        ORDER BY time_index DESC, patch_id DESC LIMIT 5""",
     "history_forward_fill": "SELECT tenant, entity_id, patch_id, time_index, "
     + ", ".join(
         f'last_value("{n}" IGNORE NULLS) OVER (PARTITION BY tenant, entity_id ORDER BY patch_id '
@@ -245,7 +287,7 @@ ORACLES = {
     "history_page": f"{_HISTORY} ORDER BY ts DESC, event_id DESC LIMIT 20",
     "entity_series": f"""
         SELECT time_index AS time, click FROM ({_HISTORY})
-        WHERE entity_id = '{SERIES_ENTITY}' ORDER BY time_index, patch_id""",
+        WHERE entity_id = '{SERIES_ENTITY}' AND tenant = '{SERIES_TENANT}' ORDER BY time_index, patch_id""",
     "subscription_filter": f"SELECT *, '{ENTITY_TYPE}' AS entity_type FROM ({_NOTIFIED})",
     "tenant_partition": f"""
         SELECT tenant, 'mt' || tenant || '.et{ENTITY_TYPE.lower()}' AS table_name,

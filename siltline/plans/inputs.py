@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from siltline import scratch
 from siltline.functions import attributes as A
@@ -17,15 +16,10 @@ ENTITY_TYPE = "AirQualityObserved"
 TENANTS = 3
 PATCH_FILE_BYTES = 32 * 1024 * 1024  # of events; the documents are larger
 
-_schemas: dict[str, StructType] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the files once, not by every query."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def monthly_orders(spark: SparkSession, sf_dir: str) -> str:
@@ -76,9 +70,11 @@ def entity_id():
     return F.concat(F.lit("user-"), F.col("user_id"))
 
 
-def attr_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as attribute events: one per event, named by its type."""
-    return table(spark, sf_dir, "events").select(
+def attr_events(spark: SparkSession, sf_dir: str, user: int | None = None) -> DataFrame:
+    """Events as attribute events: one per event, named by its type; of one entity if asked for."""
+    events = table(spark, sf_dir, "events")
+    events = events if user is None else events.filter(F.col("user_id") == user)
+    return events.select(
         tenant().alias("tenant"),
         F.col("event_id").alias("patch_id"),
         entity_id().alias("entity_id"),
@@ -92,9 +88,14 @@ def attr_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as history rows: one attribute column is set, the others are NULL."""
-    return table(spark, sf_dir, "events").select(
+def history(spark: SparkSession, sf_dir: str, user: int | None = None) -> DataFrame:
+    """Events as history rows: one attribute column is set, the others are NULL.
+
+    With ``user`` only those of one entity, chosen by the column that the files hold.
+    """
+    events = table(spark, sf_dir, "events")
+    events = events if user is None else events.filter(F.col("user_id") == user)
+    return events.select(
         tenant().alias("tenant"),
         entity_id().alias("entity_id"),
         F.col("event_id").alias("patch_id"),

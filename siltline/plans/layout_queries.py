@@ -5,35 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from siltline import scratch
-from siltline.functions.numeric import money_sum
+from siltline.functions import calendar as C
 from siltline.operators import combine, keys, runstats
 from siltline.plans.inputs import monthly_orders, table
 from siltline.sinks import layouts
-from siltline.sinks.convert import convert_monthly
+from siltline.sinks.convert import conversion_report, convert_monthly
 from siltline.sources import files
 
 
-def _by_status(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("o_orderstatus").agg(
-        F.count("*").alias("n_orders"), money_sum(F.col("o_totalprice")).alias("revenue")
-    )
-
-
 def scan_single_file(spark, sf):
-    return _by_status(files.scan_file(spark, f"{sf}/orders.parquet"))
+    return files.scan_file(spark, f"{sf}/orders.parquet")
 
 
 def scan_file_list(spark, sf):
     paths = files.scan_tree(spark, monthly_orders(spark, sf)).inputFiles()
-    return _by_status(files.scan_files(spark, sorted(paths)))
+    return files.scan_files(spark, sorted(paths))
 
 
 def scan_glob(spark, sf):
-    return _by_status(files.scan_monthly(spark, monthly_orders(spark, sf), "orders"))
+    return files.scan_monthly(spark, monthly_orders(spark, sf), "orders")
 
 
 def scan_recursive(spark, sf):
-    return _by_status(files.scan_tree(spark, monthly_orders(spark, sf), "*.parquet"))
+    return files.scan_tree(spark, monthly_orders(spark, sf), "*.parquet")
 
 
 def month_from_path(spark, sf):
@@ -46,13 +40,47 @@ def compact_files(spark, sf):
     root = monthly_orders(spark, sf)
     path = scratch.new_path(spark, "compacted")
     scan = files.scan_tree(spark, root)
-    return _by_status(layouts.compact(spark, scan, files.total_bytes(spark, root), path))
+    return layouts.compact(spark, scan, files.total_bytes(spark, root), path)
+
+
+def compaction_report(spark, sf):
+    """Rows of each month's files that are compacted, and of all under a NULL month."""
+    report = layouts.compaction_report(files.scan_tree(spark, monthly_orders(spark, sf)))
+    month = F.regexp_extract("path", r"_tripdata_(\d{4}-\d{2})", 1)
+    rows = report.select(F.when(F.col("path").isNotNull(), month).alias("month"), "n_rows")
+    return rows.groupBy("month").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def _two_layouts(spark, sf):
+    """Orders in two folders, of which one lacks the priority."""
+    root, orders = scratch.new_path(spark, "two-layouts"), table(spark, sf, "orders")
+    early = F.col("o_orderkey") % 2 == 0
+    orders.filter(early).drop("o_orderpriority").write.parquet(f"{root}/old")
+    orders.filter(~early).write.parquet(f"{root}/new")
+    return root
+
+
+def compact_merged(spark, sf):
+    root = _two_layouts(spark, sf)
+    scan = files.scan_tree(spark, root, merge=True)
+    path = scratch.new_path(spark, "compacted")
+    return layouts.compact(spark, scan, files.total_bytes(spark, root), path)
 
 
 def convert_format(spark, sf):
-    return _by_status(
-        convert_monthly(spark, monthly_orders(spark, sf), scratch.new_path(spark, "converted"))
-    )
+    return convert_monthly(spark, monthly_orders(spark, sf), scratch.new_path(spark, "converted"))
+
+
+def conversion_status(spark, sf):
+    """What a conversion of the first half of each year has done, and one of the rest would do."""
+    root, target = monthly_orders(spark, sf), scratch.new_path(spark, "converted")
+    half = scratch.new_path(spark, "half")
+    orders = table(spark, sf, "orders").filter(F.month("o_orderdate") <= 6)
+    month = C.month_label(C.month_start(F.col("o_orderdate")))
+    name = F.concat(F.lit("orders_tripdata_"), month, F.lit(".parquet"))
+    layouts.write_partitioned(orders.withColumn("file", name), half, ["file"])
+    convert_monthly(spark, half, target)
+    return conversion_report(spark, root, target).select("kind", "year", "month", "status")
 
 
 def write_if_absent(spark, sf):
@@ -60,13 +88,13 @@ def write_if_absent(spark, sf):
     orders, path = table(spark, sf, "orders"), scratch.new_path(spark, "absent")
     layouts.write_if_absent(orders, path)
     layouts.write_if_absent(orders.filter(F.lit(False)), path)
-    return _by_status(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def raw_landing(spark, sf):
     raw = scratch.new_path(spark, "raw")
     path = layouts.land_raw(spark, monthly_orders(spark, sf), raw, "orders")
-    return _by_status(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def clustered_fact(spark, sf):
@@ -85,7 +113,7 @@ def _yearly_frames(spark, sf):
 
 
 def concat_frames(spark, sf):
-    return _by_status(combine.concat(_yearly_frames(spark, sf)))
+    return combine.concat(_yearly_frames(spark, sf))
 
 
 def concat_filtered(spark, sf):
@@ -120,7 +148,7 @@ def method_totals(spark, sf):
 
 
 def pivot_matrix(spark, sf):
-    return runstats.pivot_methods(run_stats(spark, sf), ["F", "O"])
+    return runstats.pivot_methods(run_stats(spark, sf))
 
 
 QUERIES = {
@@ -132,7 +160,10 @@ QUERIES = {
         scan_recursive,
         month_from_path,
         compact_files,
+        compact_merged,
+        compaction_report,
         convert_format,
+        conversion_status,
         write_if_absent,
         raw_landing,
         clustered_fact,
@@ -145,9 +176,6 @@ QUERIES = {
     )
 }
 
-_BY_STATUS = """
-    SELECT o_orderstatus, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue
-    FROM orders GROUP BY 1"""
 _RUNS = """
     SELECT l_returnflag AS analysis, l_linestatus AS method,
            round(avg(CASE WHEN l_discount < 0.095 THEN l_quantity END), 6) AS avg_time_seconds,
@@ -158,12 +186,31 @@ _RUNS = """
 
 ORACLES = {
     **{
-        name: _BY_STATUS
+        name: "SELECT * FROM orders"
         for name in (
             "scan_single_file", "scan_file_list", "scan_glob", "scan_recursive", "compact_files",
-            "convert_format", "write_if_absent", "raw_landing", "concat_frames",
+            "write_if_absent", "raw_landing", "concat_frames",
         )
     },
+    "compact_merged": """
+        SELECT * REPLACE (CASE WHEN o_orderkey % 2 <> 0 THEN o_orderpriority END AS o_orderpriority)
+        FROM orders""",
+    "compaction_report": """
+        SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_rows
+        FROM orders GROUP BY ROLLUP (1)""",
+    "convert_format": """
+        SELECT *, 'orders' AS file_kind, cast(year(o_orderdate) AS integer) AS file_year,
+               cast(month(o_orderdate) AS integer) AS file_month
+        FROM orders""",
+    "conversion_status": """
+        WITH years AS (SELECT DISTINCT cast(year(o_orderdate) AS integer) AS year FROM orders),
+        done AS (
+            SELECT DISTINCT year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders
+            WHERE month(o_orderdate) <= 6)
+        SELECT 'orders' AS kind, years.year, m.month::INTEGER AS month,
+               CASE WHEN done.year IS NULL THEN 'missing' ELSE 'converted' END AS status
+        FROM years CROSS JOIN range(1, 13) m(month)
+        LEFT JOIN done ON done.year = years.year AND done.month = m.month""",
     "month_from_path": """
         SELECT cast(month(o_orderdate) AS integer) AS month, count(*) AS n_orders
         FROM orders GROUP BY 1""",

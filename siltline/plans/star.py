@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siltline.functions import calendar as C
 from siltline.operators.dimensions import require_valid, revenue_by_attributes
 from siltline.operators.keys import number_by_file
-from siltline.sinks.layouts import append_chunked, write_clustered
+from siltline.sinks.layouts import append_chunked, finished, write_clustered
 
 # Raw trip columns and their names in the star fact.
 FACT_COLUMNS = {
@@ -33,27 +33,10 @@ FACT_COLUMNS = {
 FACT_INTS = (
     "vendor_id", "rate_code_id", "payment_type", "passenger_count", "pulocation_id", "dolocation_id",
 )
-# Default row cap and chunk of the fact load.
-LOAD_LIMIT = 1_000_000
+# Fixed value: rows in a file of the fact load.
 LOAD_CHUNK = 100_000
 
 
-def _of_first_days(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, time: str, days: int
-) -> DataFrame:
-    """The facts up to the last of the first ``days`` days with a known dimension row.
-
-    Each of these days gives a row of revenue, so the first ``days`` rows in order of
-    day come from them; later facts need not be grouped, nor read where the files are
-    clustered by time.  Facts without a time form a day that comes first.
-    """
-    ids = dim.select(F.col(dim_key).alias("known_id"))
-    known = fact.join(ids, F.col(fact_key) == F.col("known_id"), "left_semi")
-    first = known.select(C.day(F.col(time)).alias("day")).distinct().orderBy("day").limit(days)
-    end = first.agg(F.date_add(F.max("day"), 1).cast("timestamp_ntz"))
-    return fact.filter(F.col(time).isNull() | (F.col(time) < end.scalar()))
-
-
 def daily_revenue(
     fact: DataFrame,
     dim: DataFrame,
@@ -65,8 +48,6 @@ def daily_revenue(
     limit: int | None = 100,
 ) -> DataFrame:
     """Revenue per pickup day and vendor, in that order."""
-    if limit is not None:
-        fact = _of_first_days(fact, dim, fact_key, dim_key, time, limit)
     revenue = revenue_by_attributes(
         fact, dim, fact_key, dim_key, {description: "vendor"}, amount, C.day(F.col(time))
     )
@@ -106,7 +87,7 @@ def star_fact(
     scan: DataFrame,
     columns: Mapping[str, str] = FACT_COLUMNS,
     ints: tuple[str, ...] = FACT_INTS,
-    limit: int | None = LOAD_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Fact rows with a dense trip_id, from a scan of the raw files.
 
@@ -150,9 +131,15 @@ def load_capped(
     spark: SparkSession,
     scan: DataFrame,
     path: str,
-    limit: int | None = LOAD_LIMIT,
+    limit: int | None = None,
     chunk: int = LOAD_CHUNK,
 ) -> DataFrame:
-    """Append the first ``limit`` rows in file order, in files of ``chunk`` rows."""
-    append_chunked(number_by_file(scan, "trip_id", limit=limit), path, chunk)
+    """Append the first ``limit`` rows in file order, in files of ``chunk`` rows.
+
+    The numbers go on from the highest that was loaded before.
+    """
+    first = 1
+    if finished(spark, path):
+        first += spark.read.parquet(path).agg(F.coalesce(F.max("trip_id"), F.lit(0))).first()[0]
+    append_chunked(number_by_file(scan, "trip_id", first, limit), path, chunk)
     return spark.read.parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltline import scratch
+from siltline.functions.numeric import money_sum
 from siltline.operators import dimensions, keys
 from siltline.plans import lake, star, synthetic
 from siltline.plans.inputs import table
@@ -14,6 +15,7 @@ from siltline.sources import catalogs, dims, files
 
 # The payment dimension of the mix query; flag N has no row in it.
 MIX_DIM = [("A", "Accepted"), ("R", "Returned")]
+CAP = 1_000  # of the capped load
 UNTIL = "2025-01-01 00:00:00"
 
 
@@ -104,10 +106,17 @@ def star_dim_load(spark, sf):
 
 def capped_load(spark, sf):
     path = scratch.new_path(spark, "capped")
-    rows = star.load_capped(spark, table(spark, sf, "orders"), path)
+    rows = star.load_capped(spark, table(spark, sf, "orders"), path, CAP, CAP // 4)
     return rows.select("trip_id", "o_orderkey", "o_totalprice")
 
 
+def second_load(spark, sf):
+    """Two loads of the orders: the numbers of the second go on from those of the first."""
+    path, orders = scratch.new_path(spark, "loads"), table(spark, sf, "orders")
+    star.load_capped(spark, orders, path, CAP)
+    return star.load_capped(spark, orders, path).select("trip_id", "o_orderkey")
+
+
 def dense_surrogate_key(spark, sf):
     orders = table(spark, sf, "orders")
     size = files.scan_bytes(orders)
@@ -157,6 +166,19 @@ def dim_upsert(spark, sf):
     return upsert.upsert_table(spark, name, source, ["id"], "seq")
 
 
+def partitioned_upsert(spark, sf):
+    """Customers by nation, updated from the orders of the first nations; the last order wins."""
+    name = f"{lake.new_schema(spark)}.customers"
+    catalogs.register_existing(spark, name, _partitioned_users(spark, sf), partitioned=True)
+    nations = _users(spark, sf).filter("client_id < 5").select("id", "client_id")
+    source = table(spark, sf, "orders").join(nations, F.col("o_custkey") == F.col("id")).select(
+        "id", F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("salary"),
+        "client_id", F.col("o_orderkey").alias("seq"),
+    )
+    rows = upsert.upsert_table(spark, name, source, ["client_id", "id"], "seq")
+    return rows.select("id", "name", "salary", "client_id")
+
+
 def dim_constraint_check(spark, sf):
     rows = table(spark, sf, "orders").select(
         F.nullif("o_custkey", F.lit(1)).alias("id"),
@@ -197,7 +219,7 @@ def _partitioned_users(spark, sf):
 def partitioned_write(spark, sf):
     users = spark.read.parquet(_partitioned_users(spark, sf))
     return users.groupBy("client_id").agg(
-        F.count("*").alias("n_users"), F.round(F.sum("salary"), 2).alias("salaries")
+        F.count("*").alias("n_users"), money_sum(F.col("salary")).alias("salaries")
     )
 
 
@@ -231,10 +253,12 @@ QUERIES = {
         star_fact_build,
         star_dim_load,
         capped_load,
+        second_load,
         dense_surrogate_key,
         raw_to_silver,
         zone_dim_load,
         dim_upsert,
+        partitioned_upsert,
         dim_constraint_check,
         users_preview,
         user_company_join,
@@ -288,7 +312,12 @@ ORACLES = {
     "star_dim_load": "SELECT c_custkey AS id, c_name AS description FROM customer",
     "capped_load": """
         SELECT row_number() OVER (ORDER BY o_orderkey) AS trip_id, o_orderkey, o_totalprice
-        FROM orders ORDER BY 1 LIMIT 1000000""",
+        FROM orders ORDER BY 1 LIMIT 1000""",
+    "second_load": """
+        WITH o AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS n, o_orderkey FROM orders)
+        SELECT n AS trip_id, o_orderkey FROM o WHERE n <= 1000
+        UNION ALL
+        SELECT n + least(1000, (SELECT count(*) FROM o)) AS trip_id, o_orderkey FROM o""",
     "dense_surrogate_key": """
         SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS trip_id,
                o_orderkey, o_orderdate
@@ -306,6 +335,15 @@ ORACLES = {
         SELECT coalesce(s.id, t.s_suppkey) AS id,
                CASE WHEN s.id IS NULL THEN t.s_name ELSE s.description END AS description
         FROM supplier t FULL OUTER JOIN s ON s.id = t.s_suppkey""",
+    "partitioned_upsert": """
+        WITH s AS (
+            SELECT o_custkey AS id, arg_max(o_orderpriority, o_orderkey) AS name,
+                   arg_max(o_totalprice, o_orderkey) AS salary
+            FROM orders GROUP BY 1)
+        SELECT c_custkey AS id, CASE WHEN c_nationkey < 5 THEN coalesce(s.name, c_name) ELSE c_name END AS name,
+               CASE WHEN c_nationkey < 5 THEN coalesce(s.salary, c_acctbal) ELSE c_acctbal END AS salary,
+               c_nationkey AS client_id
+        FROM customer LEFT JOIN s ON s.id = c_custkey""",
     "dim_constraint_check": """
         WITH r AS (SELECT nullif(o_custkey, 1) AS id, nullif(o_orderstatus, 'P') AS description
                    FROM orders)

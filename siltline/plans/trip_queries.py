@@ -58,7 +58,7 @@ def sample_distinct_keys(spark, sf):
 
 def key_set_lookup(spark, sf):
     lines = table(spark, sf, "lineitem")
-    return keys.count_in_key_set(lines, "l_partkey", keys.sample_keys(lines, "l_partkey", 50), 50)
+    return keys.count_in_key_set(lines, "l_partkey", keys.sample_keys(lines, "l_partkey", 50))
 
 
 QUERIES = {

@@ -14,18 +14,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siltline.sources import files
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
-# Input bytes per range of a clustered write; part files sort by name up to MAX_RANGES.
+# Input bytes per range of a clustered write.
 RANGE_BYTES = 256 * 1024 * 1024
-MAX_RANGES = 99_999
 
 
-def _mode(overwrite: bool) -> str:
-    return "overwrite" if overwrite else "ignore"
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has come to its end."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write unless something is there already; an existing output is left alone."""
-    df.write.mode("ignore").format(fmt).save(path)
+    """Write unless a finished output is there already; an unfinished one is written anew."""
+    if not finished(df.sparkSession, path):
+        df.write.mode("overwrite").format(fmt).save(path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet") -> None:
@@ -51,7 +53,7 @@ def write_clustered(
     session's shuffle partitions are used unless ``source_bytes`` asks for more.
     """
     order = [*by, *[c for c in unique if c not in by]]
-    wanted = min(-(-source_bytes // RANGE_BYTES), MAX_RANGES)
+    wanted = -(-source_bytes // RANGE_BYTES)
     if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         ranged = df.repartitionByRange(wanted, *order)
     else:
@@ -59,10 +61,12 @@ def write_clustered(
     ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
-def land_raw(spark: SparkSession, source: str, raw_root: str, name: str, fmt: str = "parquet") -> str:
+def land_raw(
+    spark: SparkSession, source: str, raw_root: str, name: str, fmt: str = "parquet", merge: bool = False
+) -> str:
     """Bring the rows of all source files to ``raw_root/name``, unchanged and unshuffled."""
     target = f"{raw_root}/{name}"
-    files.scan_tree(spark, source, fmt=fmt).write.mode("overwrite").parquet(target)
+    files.scan_tree(spark, source, fmt=fmt, merge=merge).write.mode("overwrite").parquet(target)
     return target
 
 
@@ -88,7 +92,8 @@ def compact(
     until a file reaches ``target_bytes``.
     """
     n_files = max(1, -(-source_bytes // target_bytes))
-    scan.coalesce(n_files).write.mode(_mode(overwrite)).parquet(path)
+    if overwrite or not finished(spark, path):
+        scan.coalesce(n_files).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,11 +30,30 @@ def upsert_table(
 ) -> DataFrame:
     """Upsert into a registered Parquet table.
 
-    The result is written to a new location and published by moving the table
-    there; files that a reader may have open are never overwritten.
+    A table without partitions is written to a new location beside the one it has, and
+    published by moving it there; files that a reader may have open are never overwritten.
+    Of a partitioned table only the partitions that the source touches are rewritten.  Its
+    partition columns must be among the keys: then no row changes its partition.
     """
-    path = scratch.new_path(spark, name.replace(".", "_"))
-    upserted(spark.table(name), source, keys, seq).write.parquet(path)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    target = spark.table(name)
+    details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    location = details["Location"]
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if by:
+        if not set(by) <= set(keys):
+            raise ValueError(f"partition columns {by} of {name} are not all among the keys {list(keys)}")
+        touched = target.join(source.select(*by).distinct(), by, "left_semi")
+        path = scratch.new_path(spark, name.replace(".", "_"))
+        rows = upserted(touched, source, keys, seq)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
+        rows.select(*typed).write.parquet(path)
+        writer = spark.read.schema(target.schema).parquet(path).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(location)
+        spark.catalog.recoverPartitions(name)
+    else:
+        place = re.sub(r"(--[0-9a-f]{12})?/*$", "", location)
+        path = f"{place}--{uuid.uuid4().hex[:12]}"
+        upserted(target, source, keys, seq).write.parquet(path)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)
     return spark.table(name)

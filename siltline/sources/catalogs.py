@@ -57,9 +57,18 @@ def ensure_schema(spark: SparkSession, schema: str, location: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
 
 
+def _forget(spark: SparkSession, name: str) -> None:
+    """Drop the entry of an external table; a managed one, whose files would go, is refused."""
+    if spark.catalog.tableExists(name):
+        details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if details.get("Type") != "EXTERNAL":
+            raise ValueError(f"{name} is a managed table: its files would be deleted")
+        spark.sql(f"DROP TABLE {name}")
+
+
 def register_external(spark: SparkSession, name: str, columns: str, location: str) -> DataFrame:
     """Declare a table with the given columns over files that already exist."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _forget(spark, name)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{location}'")
     return spark.table(name)
 
@@ -68,7 +77,7 @@ def register_existing(
     spark: SparkSession, name: str, location: str, partitioned: bool = False
 ) -> DataFrame:
     """Register existing files as a table; the schema comes from the files."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _forget(spark, name)
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -11,35 +11,83 @@ def scan_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(path)
 
 
-def scan_files(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
+def _load(spark: SparkSession, paths, fmt: str, merge: bool, options: dict) -> DataFrame:
+    """One scan over files, which must have the same columns unless they are to be merged.
+
+    Spark takes the columns of many files from one of them and drops what others have more.
+    The footers are therefore compared; with ``merge`` a scan has the columns of all files,
+    NULL where a file lacks one.
+    """
+    scan = spark.read.format(fmt).options(**options).load(paths)
+    if fmt not in ("parquet", "orc"):
+        return scan
+    merged = spark.read.format(fmt).options(**options).option("mergeSchema", True).load(paths)
+    if merge:
+        return merged
+    lost = sorted(set(merged.columns) - set(scan.columns))
+    if lost:
+        raise ValueError(f"only some of the files have the columns {lost}; ask for them to be merged")
+    return scan
+
+
+def scan_files(
+    spark: SparkSession, paths: Sequence[str], fmt: str = "parquet", merge: bool = False
+) -> DataFrame:
     """One scan over an explicit list of files."""
     if not paths:
         raise ValueError("no files to scan")
-    return spark.read.format(fmt).load(list(paths))
+    return _load(spark, list(paths), fmt, merge, {})
 
 
 def scan_tree(
-    spark: SparkSession, root: str, name_glob: str | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    name_glob: str | None = None,
+    fmt: str = "parquet",
+    merge: bool = False,
 ) -> DataFrame:
     """Every file below ``root``, directory names ignored, optionally by file name."""
-    reader = spark.read.format(fmt).option("recursiveFileLookup", True)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(root)
+    options = {"recursiveFileLookup": "true"} | ({"pathGlobFilter": name_glob} if name_glob else {})
+    return _load(spark, root, fmt, merge, options)
 
 
 def scan_monthly(
-    spark: SparkSession, root: str, kind: str, year: int | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    year: int | None = None,
+    fmt: str = "parquet",
+    merge: bool = False,
 ) -> DataFrame:
-    """The monthly files of one kind, of one year or of all years."""
+    """The monthly files of one kind, of one year or of all years.
+
+    A directory of such a name, also as the partition ``file`` of a table, counts as a file.
+    """
     months = f"{year}-*" if year else "*-*"
-    return spark.read.format(fmt).load(f"{root}/*{kind}_tripdata_{months}")
+    return _load(spark, f"{root}/{{,file=}}{kind}_tripdata_{months}", fmt, merge, {})
 
 
 def file_path() -> Column:
     return F.col("_metadata.file_path")
 
 
+def file_order(path: Column | str) -> Column:
+    """Text that sorts paths by directory, then number of a part file, then name."""
+    number = F.lpad(F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1), 12, "0")
+    return F.concat(F.regexp_extract(path, "^(.*/)", 1), number, path)
+
+
+def kind_in_path(path: Column) -> Column:
+    """Kind of a monthly file; NULL where the name is no monthly file's."""
+    text = F.regexp_extract(path, r"(?:^|/)(?:file=)?([^/=]+)_tripdata_\d{4}-\d{2}\.", 1)
+    return F.when(text != "", text)
+
+
+def year_in_path(path: Column) -> Column:
+    text = F.regexp_extract(path, r"_tripdata_(\d{4})-\d{2}\.", 1)
+    return F.when(text != "", text.cast("int"))
+
+
 def month_in_path(path: Column) -> Column:
     """Month number a monthly file carries in its name; NULL without one."""
     text = F.regexp_extract(path, r"_tripdata_\d{4}-(\d{2})\.", 1)
@@ -66,6 +114,5 @@ def total_bytes(spark: SparkSession, root: str) -> int:
 
 
 def scan_bytes(scan: DataFrame) -> int:
-    """Size of the files of a file scan."""
-    sizes = scan.select(file_path().alias("path"), F.col("_metadata.file_size").alias("length"))
-    return sizes.distinct().agg(F.sum("length")).first()[0] or 0
+    """Size of the files of a file scan, as listed when it was planned."""
+    return int(scan._jdf.queryExecution().analyzed().stats().sizeInBytes())

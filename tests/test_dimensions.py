@@ -3,10 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from siltline.functions.numeric import money_sum
 from siltline.operators import dimensions
 from siltline.plans import lake, star
 from siltline.sinks import upsert
-from siltline.sources import catalogs
+from siltline.sources import catalogs, files
 from tests.plan import plan
 
 
@@ -106,6 +107,53 @@ def test_federation_reads_three_part_names(spark, sf):
     assert spark.sql(f"SELECT count(*) FROM {name} WHERE n_nationkey = 1").first()[0] == 1
 
 
+def test_a_managed_table_is_not_replaced(spark, path):
+    name = f"{lake.new_schema(spark)}.kept"
+    catalogs.create_managed(spark, name, "id bigint")
+    spark.range(5).write.insertInto(name)
+    spark.range(2).write.parquet(path + "/t")
+    for register in (lambda: catalogs.register_existing(spark, name, path + "/t"),
+                     lambda: catalogs.register_external(spark, name, "id bigint", path + "/t")):
+        with pytest.raises(ValueError):
+            register()
+    assert spark.table(name).count() == 5
+    other = f"{lake.new_schema(spark)}.outside"
+    for _ in range(2):
+        assert catalogs.register_existing(spark, other, path + "/t").count() == 2
+
+
+def test_an_upsert_stays_beside_its_table(spark, path):
+    spark.range(3).selectExpr("id", "'old' AS description").write.parquet(path + "/t")
+    name = f"{lake.new_schema(spark)}.t"
+    catalogs.register_existing(spark, name, path + "/t")
+    for k in (2, 3):
+        source = spark.createDataFrame([(k, f"new{k}", 1)], "id long, description string, seq int")
+        upsert.upsert_table(spark, name, source, ["id"], "seq")
+    place = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}["Location"]
+    assert place.rpartition("--")[0].endswith(path + "/t")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(0, "old"), (1, "old"), (2, "new2"), (3, "new3")]
+
+
+def test_an_upsert_rewrites_the_partitions_it_touches(spark, path):
+    spark.range(10).selectExpr("id", "'old' AS d", "id % 3 AS p").write.partitionBy("p").parquet(path + "/t")
+    name = f"{lake.new_schema(spark)}.t"
+    catalogs.register_existing(spark, name, path + "/t", partitioned=True)
+    before = {f.path for f in files.file_sizes(spark, path + "/t").collect()}
+    source = spark.createDataFrame([(1, "new", 1, 1), (50, "new", 1, 1), (51, "new", 7, 1)], "id long, d string, p long, seq int")
+    rows = upsert.upsert_table(spark, name, source, ["id", "p"], "seq")
+    assert rows.count() == 12 and rows.where("d = 'new'").count() == 3
+    after = {f.path for f in files.file_sizes(spark, path + "/t").collect()}
+    assert {f for f in before if "p=1/" not in f} <= after
+    with pytest.raises(ValueError):
+        upsert.upsert_table(spark, name, source, ["id"], "seq")
+
+
+def test_money_does_not_depend_on_the_partitioning(spark):
+    amounts = spark.range(0, 300_000, 1, 7).select((F.col("id") * 333.3301 + 1e7).alias("x"))
+    sums = {tuple(amounts.repartition(n).agg(money_sum(F.col("x"))).first()) for n in (1, 3, 11)}
+    assert len(sums) == 1
+
+
 def test_registered_partitions_are_found(spark, path):
     spark.range(10).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(path + "/t")
     name = f"{lake.new_schema(spark)}.t"

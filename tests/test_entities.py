@@ -127,6 +127,9 @@ def test_wide_state_list_and_get(log):
     assert S.get_entity(state, "u9", "Other").count() == 1
     assert S.get_entity(state, "u9", "AirQualityObserved").count() == 0
     assert S.get_entity(state, "u3").count() == 0
+    assert [r.entity_id for r in S.list_entities(state, tenant="air", after="u1", limit=1).collect()] == ["u2"]
+    assert {r.tenant for r in S.get_entity(state, "u1").collect()} == {"air", "other"}
+    assert {r.tenant for r in S.get_entity(state, "u1", tenant="other").collect()} == {"other"}
 
 
 def test_subscription(log):

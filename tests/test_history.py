@@ -133,5 +133,8 @@ def test_run_statistics(spark):
     assert sorted(map(tuple, runstats.method_totals(stats).collect())) == [
         ("x", 2.0, 2.0), ("y", 3.5, 7.0),
     ]
+    with pytest.raises(ValueError):
+        runstats.pivot_methods(stats, ["x"])
+    assert runstats.pivot_methods(stats).columns == ["analysis", "x", "y"]
     pivot = runstats.pivot_methods(stats, ["x", "y"])
     assert sorted(map(tuple, pivot.collect())) == [("q1", 2.0, 2.0), ("q2", None, 5.0), ("q3", None, None)]

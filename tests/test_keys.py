@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window, functions as F
 
 from siltline.operators import keys
@@ -27,7 +28,7 @@ def test_numbers_move_no_rows(spark, path):
 
 
 def test_numbers_beyond_the_broadcast_limit(spark, path, monkeypatch):
-    monkeypatch.setattr(keys, "BROADCAST_FILES", 3)
+    monkeypatch.setattr(keys, "BROADCAST_BYTES", 3)
     got = keys.number_by_file(many_files(spark, path + "/t"), "n")
     assert sorted((r.n, r.v) for r in got.collect()) == [(i + 1, i) for i in range(1000)]
 
@@ -61,19 +62,43 @@ def test_sample_is_stable_and_takes_all_of_few(spark):
     assert keys.sample_keys(rows, "k", 50).count() == 30
 
 
-def test_key_set_count_both_ways(spark, monkeypatch):
+def test_key_set_count_takes_each_key_once(spark):
     rows = spark.range(0, 300, 1, 6).select((F.col("id") % 30).alias("k"))
     sample = keys.sample_keys(rows, "k", 10)
-    assert keys.count_in_key_set(rows, "k", sample, 10).first()[0] == 100
-    monkeypatch.setattr(keys, "MAX_IN_LIST", 5)
-    assert keys.count_in_key_set(rows, "k", sample, 10).first()[0] == 100
-    assert keys.count_in_key_set(rows, "k", sample.filter("k < 0"), 10).first()[0] == 0
+    assert keys.count_in_key_set(rows, "k", sample).first()[0] == 100
+    assert keys.count_in_key_set(rows, "k", sample.union(sample)).first()[0] == 100
+    assert keys.count_in_key_set(rows, "k", sample.filter("k < 0")).first()[0] == 0
 
 
-def test_key_set_reaches_the_scan(spark, sf):
+def test_key_set_count_joins_counts(spark, sf):
     lines = table(spark, sf, "lineitem")
-    text = plan(keys.count_in_key_set(lines, "l_partkey", keys.sample_keys(lines, "l_partkey"), 50))
-    assert "PushedFilters: [In(l_partkey" in text and "ReadSchema: struct<l_partkey:bigint>" in text
+    text = plan(keys.count_in_key_set(lines, "l_partkey", keys.sample_keys(lines, "l_partkey")))
+    assert "LeftSemi" in text and "ReadSchema: struct<l_partkey:bigint>" in text
+    assert "partial_count" in text
+
+
+def test_only_a_scan_is_numbered_by_position(spark, path):
+    spark.range(100).write.parquet(path + "/t")
+    scan = spark.read.parquet(path + "/t")
+    assert keys.number_by_file(scan.select("id"), "n").count() == 100
+    for rows in (scan.filter("id % 3 = 0"), scan.limit(5), spark.range(5)):
+        with pytest.raises(ValueError):
+            keys.number_by_file(rows, "n")
+
+
+def test_part_files_are_in_the_order_of_their_number(spark):
+    names = ["/a/part-99999-x.parquet", "/a/part-100000-x.parquet", "/a/part-2-x.parquet", "/b/part-00001", "/a/z.parquet"]
+    rows = spark.createDataFrame([(n,) for n in names], "path string")
+    got = [r.path for r in rows.orderBy(files.file_order("path")).collect()]
+    assert got == ["/a/z.parquet", "/a/part-2-x.parquet", "/a/part-99999-x.parquet", "/a/part-100000-x.parquet", "/b/part-00001"]
+
+
+def test_a_second_load_goes_on_counting(spark, path):
+    spark.range(0, 10, 1, 2).write.parquet(path + "/t")
+    scan = spark.read.parquet(path + "/t")
+    star.load_capped(spark, scan, path + "/out", limit=7)
+    rows = star.load_capped(spark, scan, path + "/out").select("trip_id").collect()
+    assert sorted(r.trip_id for r in rows) == list(range(1, 18))
 
 
 def test_star_fact_projects_renames_casts_and_caps(spark, path):

@@ -93,6 +93,52 @@ def test_conversion_report_names_missing_months(spark, path):
     assert all(r.ratio == r.target_bytes / r.source_bytes for r in report[:3])
 
 
+def months(spark, path, *names):
+    for name in names:
+        spark.range(10).withColumn("file", F.lit(name)).write.mode("append").partitionBy("file").parquet(path)
+
+
+def test_later_months_are_converted_and_years_kept_apart(spark, path):
+    months(spark, path + "/in", "cab_tripdata_2024-01.parquet")
+    assert convert_monthly(spark, path + "/in", path + "/out").count() == 10
+    months(spark, path + "/in", "cab_tripdata_2024-02.parquet", "cab_tripdata_2025-01.parquet", "nightcab_tripdata_2024-01.parquet")
+    rows = convert_monthly(spark, path + "/in", path + "/out")
+    assert rows.groupBy("file_kind", "file_year", "file_month").count().count() == 4 and rows.count() == 40
+    assert files.scan_monthly(spark, path + "/in", "cab").count() == 30
+    months(spark, path + "/in", "no-month.parquet")
+    with pytest.raises(ValueError):
+        convert_monthly(spark, path + "/in", path + "/out")
+
+
+def test_an_unfinished_month_is_converted_again(spark, path):
+    months(spark, path + "/in", "cab_tripdata_2024-01.parquet")
+    half = spark.range(3).selectExpr("id", "'cab' file_kind", "2024 file_year", "1 file_month")
+    half.write.partitionBy("file_kind", "file_year", "file_month").orc(path + "/out")
+    assert [r.status for r in conversion_report(spark, path + "/in", path + "/out").collect()] == ["missing"] * 12
+    assert convert_monthly(spark, path + "/in", path + "/out").count() == 10
+
+
+def test_unfinished_outputs_are_written_anew(spark, path):
+    for name in ("a", "b"):
+        spark.range(3).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/{name}")
+    layouts.write_if_absent(spark.range(7), path + "/a")
+    assert spark.read.parquet(path + "/a").count() == 7
+    assert layouts.compact(spark, spark.range(9), 1, path + "/b").count() == 9
+
+
+def test_files_of_differing_columns(spark, path):
+    spark.range(3).write.parquet(path + "/in/a")
+    spark.range(5).selectExpr("id", "id * 2 AS tip").write.parquet(path + "/in/b")
+    with pytest.raises(ValueError, match="tip"):
+        scan = files.scan_tree(spark, path + "/in")
+        if "tip" in scan.columns:  # the file that Spark looked at had it
+            raise ValueError("tip")
+    scan = files.scan_tree(spark, path + "/in", merge=True)
+    assert scan.columns == ["id", "tip"] and scan.where("tip is null").count() == 3
+    landed = layouts.land_raw(spark, path + "/in", path + "/raw", "t", merge=True)
+    assert spark.read.parquet(landed).where("tip is not null").count() == 5
+
+
 def test_write_if_absent(spark, path):
     layouts.write_if_absent(spark.range(3), path + "/t")
     layouts.write_if_absent(spark.range(7), path + "/t")
