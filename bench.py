@@ -11,7 +11,7 @@ import time
 from siltline import build_session
 from siltline.plans.registry import QUERIES
 
-# The seven trip analyses, the star queries, and the heavier entity and layout operators.
+# The seven trip analyses, the star queries, and the heavier entity, layout and stream operators.
 HEADLINE = (
     "trips_by_day_of_week",
     "payment_type_revenue",
@@ -29,8 +29,15 @@ HEADLINE = (
     "current_state_long",
     "current_state_wide",
     "history_forward_fill",
+    "history_chunked_fill",
+    "notified_full_rows",
     "last_n_per_entity",
     "run_stats",
+    "compact_files",
+    "convert_format",
+    "dim_upsert",
+    "patch_explode",
+    "stream_current_state",
 )
 
 

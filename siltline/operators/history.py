@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rows of one entity that may be sorted in one task.
 ROWS_PER_CHUNK = 4_000_000
-MAX_CHUNKS = 10_000
+# Rows of the sample that the borders of chunks are taken from, for each chunk.
+CUT_SAMPLE = 200
 # Up to this n, the rows kept per entity and scan task can be ranked in one round.
 SINGLE_ROUND_N = 32
 
@@ -92,10 +93,16 @@ def entity_history(
     return rows.orderBy(time, seq)
 
 
-def _with_chunk(history: DataFrame, seq: str, chunks: int) -> DataFrame:
-    """Add ``_chunk``, a number that grows with seq and splits the rows about evenly."""
+def _with_chunk(history: DataFrame, seq: str, n_rows: int, chunks: int) -> DataFrame:
+    """Add ``_chunk``, a number that grows with seq and splits the rows about evenly.
+
+    The cuts come from a sample by hash of about ``CUT_SAMPLE`` rows for each chunk, so
+    they are the same on every run and the sketch stays small however many tasks scan.
+    """
+    every = max(1, n_rows // (CUT_SAMPLE * chunks))
+    sample = history.filter(F.pmod(F.xxhash64(seq), F.lit(every)) == 0)
     points = [i / chunks for i in range(1, chunks)]
-    cuts = history.agg(F.percentile_approx(seq, points, 10 * chunks)).first()[0]
+    cuts = sample.agg(F.percentile_approx(seq, points, 10 * chunks)).first()[0] or []
     splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     return Bucketizer(splits=splits, inputCol=seq, outputCol="_chunk").transform(history)
 
@@ -124,15 +131,12 @@ def forward_fill(
         )
         return rows.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
-    n_rows = history.count()
-    largest = n_rows
-    if n_rows > rows_per_chunk:
-        sizes = history.groupBy(*keys).agg(F.count("*").alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0]
-    if largest <= rows_per_chunk:
+    sizes = history.groupBy(*keys).agg(F.count("*").alias("n"))
+    n_rows, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    if not n_rows or largest <= rows_per_chunk:
         return filled(history, keys, [F.asc(seq)])
 
-    rows = _with_chunk(history, seq, min(MAX_CHUNKS, -(-n_rows // rows_per_chunk)))
+    rows = _with_chunk(history, seq, n_rows, -(-n_rows // rows_per_chunk))
     ends = rows.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in columns]
     )

@@ -9,7 +9,7 @@ from siltline.functions import attributes as A
 from siltline.functions import calendar as C
 from siltline.operators import history as H
 from siltline.operators import state as S
-from siltline.operators.subscriptions import Subscription, notifications
+from siltline.operators.subscriptions import Subscription, full_notifications, notifications
 from siltline.plans import inputs
 from siltline.plans.inputs import ENTITY_TYPE, EVENT_TYPES, table
 from siltline.sinks.layouts import write_partitioned
@@ -143,6 +143,17 @@ def subscription_filter(spark, sf):
     return _numbers(notifications(inputs.patches(spark, sf), WATCH))
 
 
+def notified_full_rows(spark, sf):
+    """Notifications with all attributes, after un-notified signups and deletes by errors."""
+    return _numbers(full_notifications(inputs.patches(spark, sf), WATCH))
+
+
+def history_chunked_fill(spark, sf):
+    """As history_forward_fill, with the entities cut into small chunks."""
+    rows = inputs.history(spark, sf)
+    return H.forward_fill(rows, P.ENTITY, "patch_id", EVENT_TYPES, rows_per_chunk=20)
+
+
 def tenant_partition(spark, sf):
     """Rows per tenant and history table, from a table partitioned by tenant."""
     path = scratch.new_path(spark, "tenants")
@@ -195,6 +206,8 @@ QUERIES = {
         history_page,
         entity_series,
         subscription_filter,
+        notified_full_rows,
+        history_chunked_fill,
         tenant_partition,
         stream_current_state,
         stream_update_count,
@@ -206,6 +219,15 @@ _WHO = "'t' || (user_id % 3) AS tenant, 'user-' || user_id AS entity_id"
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+0000'"
 _CELLS = ", ".join(f"CASE WHEN event_type = '{n}' THEN value END AS \"{n}\"" for n in EVENT_TYPES)
 _HISTORY = f"SELECT {_WHO}, event_id AS patch_id, ts AS time_index, {_CELLS} FROM events"
+_FILLED = (
+    "SELECT tenant, entity_id, patch_id, time_index, "
+    + ", ".join(
+        f'last_value("{n}" IGNORE NULLS) OVER (PARTITION BY tenant, entity_id ORDER BY patch_id '
+        f'ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "{n}"'
+        for n in EVENT_TYPES
+    )
+    + f" FROM ({_HISTORY})"
+)
 _NOTIFIED = f"""
     SELECT {_WHO}, event_id AS patch_id, ts AS time_index, {_CELLS}, {_ISO} AS "dateObserved"
     FROM events WHERE event_type IN ('click', 'purchase', 'view')"""
@@ -270,13 +292,8 @@ ORACLES = {
         FROM ({_HISTORY}) WHERE entity_id = '{SERIES_ENTITY}' AND tenant = '{SERIES_TENANT}'
             AND time_index BETWEEN '{FROM}' AND '{TO}'
         ORDER BY time_index DESC, patch_id DESC LIMIT 5""",
-    "history_forward_fill": "SELECT tenant, entity_id, patch_id, time_index, "
-    + ", ".join(
-        f'last_value("{n}" IGNORE NULLS) OVER (PARTITION BY tenant, entity_id ORDER BY patch_id '
-        f'ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "{n}"'
-        for n in EVENT_TYPES
-    )
-    + f" FROM ({_HISTORY})",
+    "history_forward_fill": _FILLED,
+    "history_chunked_fill": _FILLED,
     "last_n_per_entity": f"""
         SELECT tenant, entity_id, patch_id, time_index FROM ({_HISTORY})
         QUALIFY row_number() OVER (PARTITION BY tenant, entity_id
@@ -289,6 +306,18 @@ ORACLES = {
         SELECT time_index AS time, click FROM ({_HISTORY})
         WHERE entity_id = '{SERIES_ENTITY}' AND tenant = '{SERIES_TENANT}' ORDER BY time_index, patch_id""",
     "subscription_filter": f"SELECT *, '{ENTITY_TYPE}' AS entity_type FROM ({_NOTIFIED})",
+    "notified_full_rows": f"""
+        WITH lives AS (
+            SELECT *, max(CASE WHEN event_type = 'error' THEN event_id END) OVER (
+                PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS life
+            FROM events),
+        cells AS (
+            SELECT {_WHO}, event_id AS patch_id, ts AS time_index, '{ENTITY_TYPE}' AS entity_type, event_type AS kind,
+                   {", ".join(f"""last_value(CASE WHEN event_type = '{n}' AND event_type <> 'error' THEN value END IGNORE NULLS) OVER w AS "{n}" """ for n in EVENT_TYPES)},
+                   last_value(CASE WHEN event_type <> 'error' THEN {_ISO} END IGNORE NULLS) OVER w AS "dateObserved"
+            FROM lives
+            WINDOW w AS (PARTITION BY user_id, life ORDER BY event_id ROWS UNBOUNDED PRECEDING))
+        SELECT * EXCLUDE (kind) FROM cells WHERE kind IN ('click', 'purchase', 'view')""",
     "tenant_partition": f"""
         SELECT tenant, 'mt' || tenant || '.et{ENTITY_TYPE.lower()}' AS table_name,
                count(*) AS n_rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siltline.functions import attributes as A
 from siltline.functions import calendar as C
 from siltline.operators import state as S
-from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, notifications
+from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, full_notifications, notifications
 from siltline.sources import patches as P
 from siltline.streaming import feeds
 
@@ -149,6 +149,23 @@ def test_id_pattern_matches_the_whole_id(spark):
     assert [r.entity_id for r in notifications(log, watch).collect()] == ["u1"]
 
 
+@pytest.mark.parametrize("chunk", [1000, 2])
+def test_full_notifications_know_every_patch_of_the_life(spark, chunk):
+    old, new = ({"type": "Text", "value": v} for v in ("old", "new"))
+    log = [
+        patch(1, "u1", "create", CO=number(1), address=old), patch(2, "u1", address=new), patch(3, "u1", O3=number(3)),
+        patch(4, "u1", "delete", CO=number(9)), patch(5, "u1", "create", O3=number(5)), patch(6, "u1", CO=number(6)),
+        patch(3, "u1", CO=number(7), tenant="other"), patch(8, "u2", address=old), patch(9, "u2", O3=number(9)),
+    ]
+    frame = spark.createDataFrame(log, P.PATCH_SCHEMA).repartition(3)
+    rows = full_notifications(frame, Subscription("AirQualityObserved"), chunk).collect()
+    got = {(r.tenant, r.entity_id, r.patch_id): (r.CO, r.O3, r.address) for r in rows}
+    assert got == {
+        ("air", "u1", 1): ("1", None, "old"), ("air", "u1", 3): ("1", "3", "new"), ("air", "u1", 5): (None, "5", None),
+        ("air", "u1", 6): ("6", "5", None), ("other", "u1", 3): ("7", None, None), ("air", "u2", 9): (None, "9", "old"),
+    }
+
+
 def test_history_table_names(log):
     name = A.history_table_name(F.col("tenant"), F.col("entity_type"))
     assert log.select(name).first()[0] == "mtair.etairqualityobserved"

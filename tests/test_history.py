@@ -60,7 +60,7 @@ def test_forward_fill_of_nothing(df):
 def test_forward_fill_splits_a_hot_entity(df):
     text = plan(H.forward_fill(df, ["entity"], "seq", ["a"], 150))
     assert "_chunk" in text and "_chunk" not in plan(H.forward_fill(df, ["entity"], "seq", ["a"], 2000))
-    chunked = H._with_chunk(df, "seq", 20)
+    chunked = H._with_chunk(df, "seq", df.count(), 20)
     sizes = chunked.groupBy("entity", "_chunk").count().agg(F.max("count")).first()[0]
     assert sizes < 150  # of about 1,000 rows of the entity
 
