@@ -111,7 +111,79 @@ def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_rules.assess(docs, ["doc_id"]).select("doc_id", "quality.*")
+    found = quality_rules.assess(docs, ["doc_id"]).select("doc_id", "quality.*")
+    distances = ("char_distance", "word_distance")
+    return found.withColumns({c: F.round(c, 6) for c in distances})
+
+
+_CLASSES = ("a-z", "A-Z", "0-9", r"\x20\x09-\x0D", r"#*$%&|<>", r".,;:!?'\"()\-")
+_COUNTS = ", ".join(
+    "length(t) - length(regexp_replace(t, '[{}]', '', 'g'))".format(c.replace("'", "''")) for c in _CLASSES
+)
+_LISTS = " ".join(
+    f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in quality_rules.COMMON_WORDS.items()
+)
+
+
+def _js(a: str, b: str) -> str:
+    """Jensen-Shannon distance of two lists of counts in SQL."""
+    pairs = f"list_zip(list_transform({a}, lambda x: x / list_sum({a})), list_transform({b}, lambda x: x / list_sum({b})))"
+    term = "CASE WHEN z[{0}] > 0 THEN z[{0}] * log2(2 * z[{0}] / (z[1] + z[2])) / 2 ELSE 0 END"
+    sums = f"list_sum(list_transform({pairs}, lambda z: {term.format(1)} + {term.format(2)}))"
+    return f"CASE WHEN list_sum({a}) > 0 AND list_sum({b}) > 0 THEN sqrt(greatest({sums}, 0)) END"
+
+
+QUALITY_DIVERGENCE_SQL = rf"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+            CASE WHEN lang IN ('de', 'en', 'es', 'fr') THEN lang ELSE 'other' END AS language
+        FROM documents
+    ), counted AS (
+        SELECT doc_id, language, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, length(t) AS n, [{_COUNTS}] AS c,
+            regexp_split_to_array(lower(t), '[^\p{{L}}]+') AS plain, CASE language {_LISTS} END AS common,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM texts
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS g
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM counted)
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) CROSS JOIN range(8) r(k)
+        WHERE n > 1 GROUP BY doc_id
+    ), hits AS (
+        SELECT *, len(words) AS n_words, list_append(c, n - list_sum(c)) AS chars,
+            list_transform(common, lambda x: len(list_filter(plain, lambda y: y = x))) AS h
+        FROM counted
+    ), shaped AS (
+        SELECT *, CASE WHEN h IS NOT NULL THEN list_append(h, greatest(n_words - list_sum(h), 0)) END AS bins FROM hits
+    ), shares AS (
+        SELECT language, 'c' AS kind, unnest(range(1, len(chars) + 1)) AS k,
+            unnest(list_transform(chars, lambda x: floor(x * 1000000 / greatest(list_sum(chars), 1)))) AS share
+        FROM shaped WHERE n_words >= {quality_rules.CHAR_GUARD}
+        UNION ALL
+        SELECT language, 'b', unnest(range(1, len(bins) + 1)),
+            unnest(list_transform(bins, lambda x: floor(x * 1000000 / greatest(list_sum(bins), 1))))
+        FROM shaped WHERE n_words >= {quality_rules.CHAR_GUARD} AND bins IS NOT NULL
+    ), sums AS (
+        SELECT language, kind, k, sum(share) AS share FROM shares GROUP BY ALL
+    ), refs AS (
+        SELECT language, list(share ORDER BY k) FILTER (kind = 'c') AS rc, list(share ORDER BY k) FILTER (kind = 'b') AS rb
+        FROM sums GROUP BY language
+    ), judged AS (
+        SELECT doc_id, n_words, n - c[4] AS word_chars, c[5] AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words, {_js('chars', 'rc')} AS cd, {_js('bins', 'rb')} AS bd
+        FROM shaped LEFT JOIN refs USING (language) LEFT JOIN repeated USING (doc_id)
+    ), based AS (
+        SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
+        FROM judged
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+        round(cd, 6) AS char_distance, round(bd, 6) AS word_distance, base_failed,
+        NOT base_failed
+            AND NOT (n_words >= {quality_rules.CHAR_GUARD} AND coalesce(cd, 0) > {quality_rules.MAX_CHAR_DISTANCE})
+            AND NOT (n_words >= {quality_rules.WORD_GUARD} AND coalesce(bd, 0) > {quality_rules.MAX_WORD_DISTANCE}) AS kept
+    FROM based
+"""
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,5 +259,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_lm_stupid_backoff": LM_STUPID_BACKOFF_SQL,
     "op4_warc_archive": WARC_ARCHIVE_SQL,
+    "op5_quality_divergence": QUALITY_DIVERGENCE_SQL,
     "op7_chat_snapshots": CHAT_SNAPSHOTS_SQL,
 }
