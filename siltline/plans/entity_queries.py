@@ -314,7 +314,9 @@ ORACLES = {
         cells AS (
             SELECT {_WHO}, event_id AS patch_id, ts AS time_index, '{ENTITY_TYPE}' AS entity_type, event_type AS kind,
                    {", ".join(f"""last_value(CASE WHEN event_type = '{n}' AND event_type <> 'error' THEN value END IGNORE NULLS) OVER w AS "{n}" """ for n in EVENT_TYPES)},
-                   last_value(CASE WHEN event_type <> 'error' THEN {_ISO} END IGNORE NULLS) OVER w AS "dateObserved"
+                   last_value(CASE WHEN event_type <> 'error' THEN {_ISO} END IGNORE NULLS) OVER w AS "dateObserved",
+                   last_value(CASE WHEN event_type = 'signup' THEN ts END IGNORE NULLS) OVER w AS date_created,
+                   ts AS date_modified
             FROM lives
             WINDOW w AS (PARTITION BY user_id, life ORDER BY event_id ROWS UNBOUNDED PRECEDING))
         SELECT * EXCLUDE (kind) FROM cells WHERE kind IN ('click', 'purchase', 'view')""",

@@ -27,7 +27,14 @@ def patch_stream(
     )
 
 
-def _start_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def _trigger(every: str | None) -> dict:
+    """All that is there and no more, or again and again after an interval."""
+    return {"availableNow": True} if every is None else {"processingTime": every}
+
+
+def _start_changes(
+    changes: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Write each batch's changed rows to a partition of its own.
 
     A batch that is replayed after a failure overwrites the partition it wrote before.
@@ -44,20 +51,22 @@ def _start_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQ
             changes.writeStream.outputMode("update")
             .foreachBatch(publish)
             .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**_trigger(every))
             .start()
         )
     finally:
         spark.conf.set(PROVIDER, provider)
 
 
-def start_state(patches: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Maintain the last value per entity and attribute.
+def start_state(
+    patches: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Maintain the last value per entity and attribute; ``every`` keeps the stream running.
 
     The state store holds one row per entity and attribute; a batch writes only the
     rows it changed.
     """
-    return _start_changes(latest_attrs(explode_attrs(patches)), path, checkpoint)
+    return _start_changes(latest_attrs(explode_attrs(patches)), path, checkpoint, every)
 
 
 def _changes(spark: SparkSession, path: str, base: str | None, after: int) -> DataFrame:
@@ -90,14 +99,16 @@ def compact_state(
     return max(after, batches)
 
 
-def start_update_count(patches: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_update_count(
+    patches: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Maintain the number of updates per entity.
 
     A built-in streaming count: partial sums are made before the shuffle, and no
     Python runs in the executors.
     """
     counts = patches.groupBy("tenant", "entity_id").agg(F.count("*").alias("n_updates"))
-    return _start_changes(counts, path, checkpoint)
+    return _start_changes(counts, path, checkpoint, every)
 
 
 def read_update_count(spark: SparkSession, path: str) -> DataFrame:
@@ -107,7 +118,11 @@ def read_update_count(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start_history(
-    patches: DataFrame, subscription: Subscription, path: str, checkpoint: str
+    patches: DataFrame,
+    subscription: Subscription,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Append one row per notification, by tenant.  Stateless, each row exactly once."""
     return (
@@ -117,6 +132,6 @@ def start_history(
         .partitionBy("tenant")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )

@@ -160,6 +160,10 @@ def test_full_notifications_know_every_patch_of_the_life(spark, chunk):
     frame = spark.createDataFrame(log, P.PATCH_SCHEMA).repartition(3)
     rows = full_notifications(frame, Subscription("AirQualityObserved"), chunk).collect()
     got = {(r.tenant, r.entity_id, r.patch_id): (r.CO, r.O3, r.address) for r in rows}
+    created = {(r.tenant, r.entity_id, r.patch_id): r.date_created for r in rows}
+    assert created["air", "u1", 3] == T0 + dt.timedelta(minutes=1) and created["air", "u2", 9] is None
+    assert created["air", "u1", 6] == T0 + dt.timedelta(minutes=5)
+    assert all(r.date_modified == r.time_index for r in rows)
     assert got == {
         ("air", "u1", 1): ("1", None, "old"), ("air", "u1", 3): ("1", "3", "new"), ("air", "u1", 5): (None, "5", None),
         ("air", "u1", 6): ("6", "5", None), ("other", "u1", 3): ("7", None, None), ("air", "u2", 9): (None, "9", "old"),
