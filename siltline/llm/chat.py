@@ -59,7 +59,8 @@ def prefixes(turns: DataFrame) -> DataFrame:
     zero = F.lit(0).cast(_WIDE)
     parts = parts.select(
         "conv", "part",
-        F.coalesce(F.sum("hash").over(before), zero).alias("hash_before"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("hash").over(before), zero).alias("hash_before"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
     )
     within = Window.partitionBy("conv", "part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     rolled = places.select("conv", "part", "place", F.sum("hash").over(within).alias("hash"), F.sum("n").over(within).alias("n"))
@@ -86,7 +87,8 @@ def rendered(log: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     kept = maximal(log, conv_id, turn, role, text).select("conv")
     turns = turns.join(kept, "conv", "left_semi")
     said = F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(f"{END}\n"))
-    parts = turns.groupBy("conv", "part").agg(F.array_sort(F.collect_set(F.struct("place", "role", "text", said.alias("said")))).alias("turns"))
+    ordered = F.array_sort(F.collect_set(F.struct("place", "role", "text", said.alias("said"))))
+    parts = turns.groupBy("conv", "part").agg(ordered.alias("turns"))
     number = F.row_number().over(Window.partitionBy("conv").orderBy("at")) - 1
     numbers = turns.select("conv", F.col("part").alias("at")).distinct().withColumn("number", number.cast("bigint"))
     parts = parts.join(numbers.select(F.col("conv"), F.col("at").alias("part"), "number"), ["conv", "part"])

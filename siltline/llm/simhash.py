@@ -10,8 +10,8 @@ allows, under all values near it; what shares a value is verified by comparing a
 
 * Equal fingerprints are one before anything is joined, however many documents have them.
 * A value under which more than ``LIMIT`` entries meet is cut again: the bits outside the part
-  are split into r + 1 parts, one of which must agree.  This is repeated; where less than
-  ``r + 1`` bits are left, all entries with the same value differ in r bits at most.
+  are split into r + 1 parts, one of which must agree.  This is repeated until r bits are left:
+  then only as many entries can meet as there are numbers that near.
 * Under a value only the links of a spanning forest are returned, so a group of near copies
   costs about one row for each member and value, not one for each pair.
 * Components are found by rounds of star contraction, each written to the shared folder.
@@ -207,7 +207,6 @@ def _cut(rows: DataFrame, radius: int) -> DataFrame:
     """The entries of full values again, under radius + 1 parts of the bits not yet fixed."""
 
     def parts(batches):
-
         for batch in batches:
             out = []
             rest = batch["rest"].to_numpy()
@@ -250,7 +249,6 @@ def _linked(radius: int):
     """Function for mapInPandas: from values with their entries to links."""
 
     def run(batches):
-
         for batch in batches:
             found = []
             for fps, own in zip(batch["fps"], batch["owns"]):
@@ -272,9 +270,10 @@ def links(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFr
     rows = _under_values(prints, allocate(n, ones, correlation, radius))
     found = []
     while True:
-        # At most n * values / limit values are full.
-        full = rows.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("value")
-        full = stored(full, "full-values")
+        # At most n * values / limit values are full.  With hardly a bit left to cut by, a value
+        # holds no more entries than there are numbers that near.
+        full = rows.groupBy("value").agg(F.count("*").alias("n"), F.max(F.bit_count("rest")).alias("bits"))
+        full = stored(full.where((F.col("n") > limit) & (F.col("bits") > radius)).select("value"), "full-values")
         some = not full.isEmpty()
         light = rows.join(full, "value", "left_anti") if some else rows
         grouped = light.groupBy("value").agg(
@@ -284,16 +283,7 @@ def links(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFr
         found.append(grouped.select("fps", "owns").mapInPandas(_linked(radius), "a bigint, b bigint"))
         if not some:
             break
-        rows = rows.join(full, "value", "left_semi")
-        done = F.bit_count("rest") <= radius
-        # With so few bits left all entries of a value are near each other: link them to one.
-        alike = rows.where(done)
-        first = alike.where("own").groupBy("value").agg(F.min("fp").alias("first")).where("first is not null")
-        found.append(
-            alike.join(first, "value").where("first <> fp")
-            .select(F.least("first", "fp").alias("a"), F.greatest("first", "fp").alias("b"))
-        )
-        rows = stored(_cut(rows.where(~done), radius), "cut-values")
+        rows = stored(_cut(rows.join(full, "value", "left_semi"), radius), "cut-values")
     result = found[0]
     for more in found[1:]:
         result = result.union(more)
@@ -314,7 +304,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        own, other = F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.select(F.explode(F.array(own, other)).alias("e"))
         edges = stored(small.select("e.*").where("u <> v").distinct(), "stars")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
