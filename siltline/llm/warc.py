@@ -12,10 +12,12 @@ headers state.  Records that are no segments go on directly; segments are groupe
 identifier of their origin, ordered by number, and accepted if the numbers are complete and the
 total length is the stated one.  Then the transfer framing is decoded.
 
-* Only digests are shuffled to find equal payloads, pre-aggregated, so many copies are no load;
-  what joins the pages is the digests that occur twice.
+* Only digests are shuffled to find equal payloads, pre-aggregated, so many copies are no load.
+  The digests that occur twice are joined to the pages: broadcast up to ``BROADCAST_DIGESTS``
+  (checked), shuffled beyond.
+* Pages are written by the tasks that read them.
 * A group of segments is one record, so it is as long as one page at most.
-* An archive file holds about ``FILE_BYTES`` of pages; a task reads one file at a time.
+* An archive file holds ``FILE_RECORDS`` records at most; a task reads one file at a time.
 
 NULL pages have an empty payload.  A NULL id is larger than all others.  Rows with the same id
 and payload are all responses, and equal rows have equal records.  URLs lose white space and control characters.  Incomplete records
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
-from siltline.llm.tables import stored
+from siltline.llm.tables import side, stored
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -41,7 +43,8 @@ HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-En
 REVISIT_BYTES = 100
 CHUNK_CHARS = 4096
 SEGMENT_CHARS = 16384
-FILE_BYTES = 32 << 20
+FILE_RECORDS = 4096
+BROADCAST_DIGESTS = 200_000
 PAGE_HEADER = "X-Page-Id"
 DATE = "2026-01-01T00:00:00Z"
 
@@ -75,8 +78,8 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     df = pages.select(F.col(page_id).alias("id"), F.col(url).alias("url"), payload.alias("payload"))
     df = df.withColumn("digest", F.sha2(F.encode("payload", "UTF-8"), 256)).withColumn("bytes", F.octet_length("payload"))
     long = df.where(F.col("bytes") >= REVISIT_BYTES).select("id", "digest")
-    first = long.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    df = df.join(first, "digest", "left")
+    first = long.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    df = df.join(side(first.select("digest", "first"), "repeated-digests", F.lit(1), BROADCAST_DIGESTS), "digest", "left")
     df = df.withColumn("revisit", F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")))
     # Derived from the row, so that a task that runs again makes the same records.
     df = df.withColumn("rid", _identifier(F.concat_ws("|", "digest", F.col("id").cast("string"), "url")))
@@ -116,12 +119,9 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
 
 def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
-    """Writes archives to a folder; a file has about ``FILE_BYTES`` of pages."""
+    """Writes archives to a folder; a task writes what it reads, in files of ``FILE_RECORDS``."""
     out = records(pages, page_id, url, html)
-    size = pages.agg(F.coalesce(F.sum(F.octet_length(html).cast("bigint")), F.lit(0))).first()[0]
-    files = max(1, -(-size // FILE_BYTES))
-    out = out.repartition(files)  # evenly, whatever the pages' keys
-    out.write.option("lineSep", END).option("compression", "gzip").text(path)
+    out.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def parse(stream) -> Iterator[tuple]:
@@ -224,7 +224,8 @@ def reassemble(found: DataFrame) -> DataFrame:
     complete = (numbers == F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)))) & length.eqNullSafe(F.col("total"))
     parts = F.transform("all", lambda s: s["block"])
     # Equal rows have equal records: as many as there are first segments.
-    joined = joined.select(*named, parts.alias("parts"), complete.alias("complete"), F.explode(F.array_repeat(F.lit(0), F.greatest("copies", F.lit(1)))).alias("copy")).drop("copy")
+    copies = F.explode(F.array_repeat(F.lit(0), F.greatest("copies", F.lit(1)))).alias("copy")
+    joined = joined.select(*named, parts.alias("parts"), complete.alias("complete"), copies).drop("copy")
     df = whole.unionByName(joined)
     df = df.withColumn("payload", payload_of(F.when(F.col("complete"), F.col("parts"))))
     return df.select(*named, "payload", (F.col("complete") & F.col("payload").isNotNull()).alias("complete"))
