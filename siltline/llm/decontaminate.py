@@ -17,7 +17,7 @@ hide nothing.  Shingles have five words (a shorter text is one shingle).
 Plan: one scan of the documents for step 1, in which the items' shingles are broadcast if there
 are ``BROADCAST_SHINGLES`` at most (checked) and shuffled otherwise; no text is shuffled.  The
 proposed windows are few and are joined back to the texts by digest, so that copies of a text
-are looked at once.
+are looked at once; they are broadcast up to ``BROADCAST_WINDOWS`` (checked) and shuffled beyond.
 
 Items and documents without words match nothing; NULL is such a text.  Repeated rows are all
 contaminated or all clean.  An item id that occurs with two texts stands for both.
@@ -28,11 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siltline.llm import text as T
+from siltline.llm.tables import side
 
 SHINGLE = 5
 RADIUS = 20
 SIMILARITY = 0.8
 BROADCAST_SHINGLES = 500_000  # of 8 bytes and a list of places
+BROADCAST_WINDOWS = 1_000_000  # of 8 bytes; the digest of a text counts as four
 
 
 def _plain_words(text: Column) -> Column:
@@ -138,6 +140,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
     start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("place")["at"], F.col("_n") - F.col("place")["item_words"]))
     windows = windows.select("text_digest", F.col("place")["item_words"].alias("words"), start.alias("start")).distinct()
     windows = windows.groupBy("text_digest").agg(F.collect_list(F.struct("words", "start")).alias("windows"))
+    windows = side(windows, "windows", 4 + F.size("windows"), BROADCAST_WINDOWS)
 
     # Step 2: fingerprints of windows and items, joined by blocks.
     found = texts.join(windows, "text_digest").dropDuplicates(["text_digest"])
@@ -165,7 +168,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **na
     """Struct ``_row`` with the columns of each contaminated document, and the columns of ``leaks``."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("_row"), _digest(F.col(text)).alias("text_digest"))
-    return rows.join(leaks(docs, benchmark, text, **names), "text_digest")
+    found = side(leaks(docs, benchmark, text, **names), "leaks", F.lit(4), BROADCAST_WINDOWS)
+    return rows.join(found, "text_digest")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **names: str) -> DataFrame:
@@ -173,4 +177,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **name
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("_row"), _digest(F.col(text)).alias("text_digest"))
     bad = leaks(docs, benchmark, text, **names).select("text_digest").distinct()
+    bad = side(bad, "contaminated", F.lit(4), BROADCAST_WINDOWS)
     return rows.join(bad, "text_digest", "left_anti").select("_row.*")

@@ -70,6 +70,7 @@ def test_no_broadcast_gives_the_same(spark, monkeypatch, sf):
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
     want = found(docs, items)
     monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert found(docs, items) == want
 
 
