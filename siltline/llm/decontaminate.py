@@ -3,10 +3,11 @@
 Words are lower-cased and lose all that is no letter or digit, so that marks put around words
 hide nothing.  Shingles have five words (a shorter text is one shingle).
 
-1. A window that resembles an item shares a shingle with it, at the same place in both.  The
-   shingles of all documents are joined with those of the items; every match proposes the
-   window that has the item's length and puts the shingle at its place.  Windows that share
-   nothing with any item cannot be verified and are never hashed.
+1. A window can reach ``SIMILARITY`` only if that share of its shingles are the item's, in
+   whatever order: what it lacks of the item weighs 1 at most, and what is foreign weighs 1.  The
+   shingles of all documents are joined with those of the items; for each length of item, the
+   places of the matches are sorted, and every window of that length that holds enough of them is
+   proposed.  The others cannot be verified and are never hashed.
 2. Windows and items get 64-bit fingerprints (bits set in most of their shingles' hashes).  The
    fingerprints are cut into ``RADIUS + 1`` blocks; two that differ in ``RADIUS`` bits at most
    agree in one block at least, so a join on length, block and value misses none of them.
@@ -33,7 +34,7 @@ from siltline.llm.tables import side
 SHINGLE = 5
 RADIUS = 20
 SIMILARITY = 0.8
-BROADCAST_SHINGLES = 500_000  # of 8 bytes and a list of places
+BROADCAST_SHINGLES = 500_000  # of 8 bytes and a list of lengths
 BROADCAST_WINDOWS = 1_000_000  # of 8 bytes; the digest of a text counts as four
 
 
@@ -117,6 +118,28 @@ def _similarity(window: Column, item: Column, weights: Column) -> Column:
     return weighed(F.least) / (weighed(F.greatest) + foreign)
 
 
+def _shingles_of(words: str) -> Column:
+    return F.greatest(F.col(words) - (SHINGLE - 1), F.lit(1))
+
+
+def _starts(at: str, n: str, words: str) -> Column:
+    """Starts of the windows of which a share of ``SIMILARITY`` lies at the sorted places ``at``.
+
+    ``least`` places in a row fit into the windows from where the last is still inside to where the
+    first is; of those, the ones up to the place before have been counted with it.
+    """
+    size = F.least(_shingles_of(n), _shingles_of(words))
+    least = F.ceil(SIMILARITY * size - 1e-9).cast("int")
+
+    def starts(first: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(at, i - 1)).otherwise(-1)
+        low = F.greatest(F.get(at, i + least - 1) - size + 1, before + 1)
+        high = F.least(first, _shingles_of(n) - size)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(F.slice(at, F.lit(1), F.greatest(F.size(at) - least + 1, F.lit(0))), starts))
+
+
 def _digest(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
@@ -130,23 +153,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
     items = items_of(benchmark, item_text, item_id)
     weighted = _with_weights(items)
 
-    # Step 1: windows that share a shingle with an item, at its place.
-    places = items.select("item_words", F.posexplode("item_shingles").alias("at", "s"))
-    places = places.groupBy("s").agg(F.collect_set(F.struct("item_words", "at")).alias("places"))
+    # Step 1: windows that hold enough shingles of items of their length, at any place.
+    lengths = items.select("item_words", F.explode("item_shingles").alias("s"))
+    lengths = lengths.groupBy("s").agg(F.collect_set("item_words").alias("lengths"))
     small = items.agg(F.coalesce(F.sum(F.size("item_shingles")), F.lit(0))).first()[0] <= BROADCAST_SHINGLES
     held_back = F.broadcast if small else (lambda df: df)
     said = _with_shingles(texts, "_text").select("text_digest", "_n", F.posexplode(T.elements("_s")).alias("p", "s"))
-    windows = said.join(held_back(places), "s").select("text_digest", "_n", "p", F.explode("places").alias("place"))
-    start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("place")["at"], F.col("_n") - F.col("place")["item_words"]))
-    windows = windows.select("text_digest", F.col("place")["item_words"].alias("words"), start.alias("start")).distinct()
+    matches = said.join(held_back(lengths), "s").select("text_digest", "_n", "p", F.explode("lengths").alias("words"))
+    matches = matches.groupBy("text_digest", "_n", "words").agg(F.sort_array(F.collect_set("p")).alias("at"))
+    windows = matches.select("text_digest", "words", F.explode(_starts("at", "_n", "words")).alias("start"))
     windows = windows.groupBy("text_digest").agg(F.collect_list(F.struct("words", "start")).alias("windows"))
     windows = side(windows, "windows", 4 + F.size("windows"), BROADCAST_WINDOWS)
 
     # Step 2: fingerprints of windows and items, joined by blocks.
     found = texts.join(windows, "text_digest").dropDuplicates(["text_digest"])
     found = _with_shingles(found, "_text").select("text_digest", "_s", F.inline("windows"))
-    size = F.greatest(F.col("words") - (SHINGLE - 1), F.lit(1))
-    found = found.select("text_digest", "words", "start", F.slice("_s", F.col("start") + 1, size).alias("window"))
+    found = found.select("text_digest", "words", "start", F.slice("_s", F.col("start") + 1, _shingles_of("words")).alias("window"))
     found = found.withColumn("fp", fingerprint(F.col("window")))
     probes = found.select("*", F.inline(_blocks("fp")))
     held = weighted.select("key", "item_words", "item_fp", F.inline(_blocks("item_fp")).alias("b", "v"))

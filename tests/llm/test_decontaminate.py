@@ -89,3 +89,33 @@ def test_fingerprints_and_blocks(spark):
             assert block.bits == (row.fp & (1 << 64) - 1) >> at & (1 << size) - 1
             at += size
         assert at == 64 and len(row.b) == decontaminate.RADIUS + 1
+
+
+def test_items_in_another_order_or_changed_often(spark):
+    r = random.Random(8)
+    made = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    items = [made(n) for n in (40, 45, 59, 90, 90)]
+    items[4] = items[3][:30] + items[4][:60]
+    docs = []
+    for ws in items:
+        half, third = len(ws) // 2, len(ws) // 3
+        for t in (
+            ws[half:] + ws[:half], ws[third:] + ws[:third], ws[2 * third :] + ws[third : 2 * third] + ws[:third],
+            ["new", *ws[half:], *ws[:half]], ws[:half] + ["new"] + ws[half:-1], ws[1:half] + ws[half + 1 :],
+            ws[:third] + made(1) + ws[third + 1 : 2 * third] + made(2) + ws[2 * third + 2 :], ws[half:] + made(3) + ws[:half],
+        ):
+            docs.append((len(docs), " ".join(made(60) + t + made(60))))
+            docs.append((len(docs), " ".join(t)))
+    items = [(k, " ".join(ws)) for k, ws in enumerate(items)]
+    want = brute.leaks(docs, items)
+    assert {(0, 0), (16, 1), (32, 2)} <= set(want)
+    frame, table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    same(found(frame, table), want)
+
+
+def test_every_window_that_resembles_an_item(spark):
+    words = [f"w{k}" for k in range(200)]
+    frame = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words))], "doc_id long, text string")
+    table = spark.createDataFrame([(7, " ".join(words[80:125]))], "item_id long, text string")
+    starts = [x.start for x in decontaminate.leaks(frame, table).collect()]
+    assert sorted(starts) == list(range(76, 85))  # 41 shingles: 37 of 45 are 0.82, 36 of 46 are not enough
