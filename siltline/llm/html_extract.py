@@ -4,11 +4,14 @@ The standard library's parser reads a page as a stream of events.  Each block of
 block-level tags is a line; its ratio is the number of its characters to the number of tags in
 and before it.  The ratios are smoothed by a Gaussian, so that a short paragraph among long ones
 counts with them, and clustered by a threshold: lines above it are content.  Content lines vote,
-by their length, for the elements they stand in; the region is an article or main element if one
-holds content, else the smallest element that holds nearly all of it.  Of the region every line
-is kept, whatever its own ratio: nothing is capped.  Parts that are no text of the page, by
-element, role, or the words of class and id (menus, headers, footers, sidebars, notices, adverts,
-forms, comments), are left out before; headings in the header of an article stay.
+by their length, for the elements they stand in.  The region is all articles with content if they
+hold nearly all of it, else main elements that do; failing both, main elements, then articles, of
+which the largest holds as much as all that is outside of them; else the smallest element that
+holds nearly all.  Of the region every line is kept, whatever its own ratio: nothing is capped.
+Parts that are no text of the page, by element, role, or the words of class and id (menus,
+headers, footers, sidebars, notices, adverts, forms, comments), are left out before; headings in
+the header of an article stay.  The words of class and id do not count for an element that holds
+most of the page's text, nor where all text is in elements so named.
 
 A line has its white space turned into single spaces; lines are joined by line feeds.  A line
 break within a block is white space.  A tag or comment that the end of the page cuts off is no
@@ -66,10 +69,12 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "skipped", "header", "article", "votes")
+    __slots__ = ("tag", "parent", "skipped", "header", "article", "aside", "named", "chars", "votes")
 
-    def __init__(self, tag: str, parent: "_Element | None", skipped: bool, header: bool):
+    def __init__(self, tag: str, parent: "_Element | None", skipped: bool, header: bool, named: bool = False):
         self.tag, self.parent, self.skipped, self.header, self.votes = tag, parent, skipped, header, 0.0
+        self.aside, self.chars = False, 0  # an article or main with such a name; characters, of named elements
+        self.named = self if named else parent.named if parent is not None else None  # the nearest with such a name
         self.article = tag in ("article", "main") or parent is not None and parent.article
 
 
@@ -104,20 +109,24 @@ class Blocks(HTMLParser):
             self.parts.append("\n")
             return
         if tag not in BLOCK and tag not in NO_TEXT:
-            if tag not in VOID and attrs and not self.at.skipped and _left_out(tag, attrs):
-                self.open(tag, True, False)
+            if tag not in VOID and attrs and not self.at.skipped:
+                skipped, named = _left_out(tag, attrs), _named(tag, attrs)
+                if skipped or named:
+                    self.open(tag, skipped, False, named)
             return
         self.end_line()
         if tag in VOID:
             return
         self.imply_ends(tag)
         header = tag == "header" or _names(attrs) & HEADER_NAMES != frozenset()
-        self.open(tag, tag in NO_TEXT or _left_out(tag, attrs), header and tag not in HEADINGS)
+        skipped = tag in NO_TEXT or _left_out(tag, attrs)
+        self.open(tag, skipped, header and tag not in HEADINGS, _named(tag, attrs))
+        self.at.aside = tag in ("article", "main") and not NAMES.isdisjoint(_names(attrs))
 
-    def open(self, tag: str, skipped: bool, header: bool) -> None:
+    def open(self, tag: str, skipped: bool, header: bool, named: bool) -> None:
         self.end_line()
         at = self.at
-        self.at = _Element(tag, at, at.skipped or skipped, at.header or header)
+        self.at = _Element(tag, at, at.skipped or skipped, at.header or header, named)
 
     def imply_ends(self, tag: str) -> None:
         """Closes what a block-level start tag ends: paragraphs, items, cells."""
@@ -155,9 +164,37 @@ def _left_out(tag: str, attrs) -> bool:
     values = dict(attrs)
     if "hidden" in values or values.get("aria-hidden") == "true" or (values.get("role") or "").lower() in ROLES:
         return True
-    if "display:none" in (values.get("style") or "").replace(" ", "").lower():
-        return True
-    return not NAMES.isdisjoint(_names(attrs))
+    return "display:none" in (values.get("style") or "").replace(" ", "").lower()
+
+
+def _named(tag: str, attrs) -> bool:
+    """Whether class or id name what is not the article."""
+    return bool(attrs) and tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(_names(attrs))
+
+
+def _text_lines(lines: list[tuple[str, int, _Element]]) -> list[tuple[str, int, _Element]]:
+    """Lines outside of named elements; those that hold most of the text do not count as named."""
+    whole = 0
+    for text, _, element in lines:
+        if _shown(element):
+            whole += len(text)
+            for node in _named_path(element):
+                node.chars += len(text)
+    kept, tags = [], 0
+    for text, n, element in lines:
+        if all(2 * node.chars > whole for node in _named_path(element)):
+            kept.append((text, tags + n, element))
+            tags = 0
+        else:
+            tags += n
+    kept = [x for x in kept if _shown(x[2])]
+    return kept or [x for x in lines if _shown(x[2])]
+
+
+def _named_path(element: _Element | None):
+    while element is not None and element.named is not None:
+        yield element.named
+        element = element.named.parent
 
 
 def _smoothed(ratios: list[float]) -> list[float]:
@@ -179,7 +216,7 @@ def _shown(element: _Element) -> bool:
 
 def main_text(html: str | None) -> str:
     """The article of a page."""
-    lines = [x for x in Blocks().read(html or "") if _shown(x[2])]
+    lines = _text_lines(Blocks().read(html or ""))
     if not lines:
         return ""
     smooth = _smoothed([len(text) / max(tags, 1) for text, tags, _ in lines])
@@ -196,29 +233,31 @@ def main_text(html: str | None) -> str:
                     children.setdefault(node.parent, set()).add(node)
                 node = node.parent
     region = _region(lines, children, whole)
-    return "\n".join(text for text, _, element in lines if _inside(element, region))
+    return "\n".join(text for text, _, element in lines if any(e in region for e in _path(element)))
 
 
-def _region(lines, children: dict[_Element, set[_Element]], whole: float) -> _Element:
-    """The element that holds the content."""
-    named = {}
+def _region(lines, children: dict[_Element, set[_Element]], whole: float) -> set[_Element]:
+    """The elements that hold the content."""
+    outer: dict[str, set[_Element]] = {"article": set(), "main": set()}
     for _, _, element in lines:
-        node = element
-        while node is not None:
-            if node.tag in ("article", "main"):
-                named[node] = None
-            node = node.parent
+        last = {}
+        for node in _path(element):
+            if node.tag in outer and node.votes > 0 and not node.aside:
+                last[node.tag] = node
+        for tag, node in last.items():
+            outer[tag].add(node)
+    held = {tag: sum(n.votes for n in found) for tag, found in outer.items()}
     for tag in ("article", "main"):
-        found = [n for n in named if n.tag == tag]
-        if found:
-            best = max(found, key=lambda n: n.votes)
-            if best.votes > 0:
-                return best
+        if outer[tag] and held[tag] >= NEARLY_ALL * whole:
+            return outer[tag]
+    for tag in ("main", "article"):
+        if outer[tag] and max(n.votes for n in outer[tag]) >= whole - held[tag]:
+            return outer[tag]
     at = next(e for e in _path(lines[0][2]) if e.parent is None)
     while True:
         inner = [c for c in children.get(at, ()) if c.tag in CONTAINERS and c.votes >= NEARLY_ALL * whole]
         if not inner:
-            return at
+            return {at}
         at = inner[0]
 
 
@@ -228,10 +267,6 @@ def _path(element: _Element | None):
         element = element.parent
 
 
-def _inside(element: _Element, region: _Element) -> bool:
-    return any(e is region for e in _path(element))
-
-
 @F.pandas_udf(StringType())
 def _extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for pages in batches:

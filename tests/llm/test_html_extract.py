@@ -60,3 +60,32 @@ def test_column(spark):
     got = pages.select(html_extract.extract(F.col("html")).alias("text")).collect()
     assert sorted(r.text for r in got) == ["", "", CONTENT, CONTENT]
     assert pages.where("false").select(html_extract.extract(F.col("html"))).count() == 0
+
+
+LONG = "<p>" + "long text of the page, word by word " * 20
+
+
+def lines_of(page):
+    return main_text(page).split("\n")
+
+
+def test_teasers_do_not_replace_the_text():
+    teasers = "".join(f"<article><h3>Teaser {k}</h3><p>{'a few words to read on ' * 4}</article>" for k in range(3))
+    assert lines_of(f"<main><div><h1>Title</h1>{LONG * 3}</div>{teasers}</main>")[:4] == ["Title", *[LONG[3:].strip()] * 3]
+    assert lines_of(f"<div><h1>Title</h1>{LONG * 3}</div>{teasers}").count(LONG[3:].strip()) == 3
+
+
+def test_article_in_several_parts():
+    page = "".join(f"<article><h2>Part {k}</h2>{LONG}</article><p>between</p>" for k in range(4))
+    assert lines_of(f"<div>{page}</div>") == [x for k in range(4) for x in (f"Part {k}", LONG[3:].strip())]
+    page = f"<article>{LONG}{LONG}</article><article class=comment><p>{'nice words ' * 8}</article>"
+    assert lines_of(page) == [LONG[3:].strip()] * 2
+
+
+@pytest.mark.parametrize("name", ["content-with-sidebar", "comments-open", "widget", "banner-page", "share", "skip"])
+def test_named_wrappers_of_the_page(name):
+    side = "<div class=sidebar><p>side text</div>"
+    want = ["Title", *[LONG[3:].strip()] * 2]
+    assert lines_of(f"<div class='{name}'><h1>Title</h1>{LONG * 2}</p>{side}</div><p class=ad>Buy") == want
+    assert lines_of(f"<span id={name}><h1>Title</h1>{LONG * 2}</span>") == want
+    assert main_text(f"<p class={name}>One</p><p class={name}>Two</p>") == "One\nTwo"
