@@ -20,6 +20,9 @@ are ``BROADCAST_SHINGLES`` at most (checked) and shuffled otherwise; no text is
 proposed windows are few and are joined back to the texts by digest, so that copies of a text
 are looked at once; they are broadcast up to ``BROADCAST_WINDOWS`` (checked) and shuffled beyond.
 
+An item of under five words is one shingle of all its words and is found only in texts that have
+just those words; within longer texts such items are not searched.
+
 Items and documents without words match nothing; NULL is such a text.  Repeated rows are all
 contaminated or all clean.  An item id that occurs with two texts stands for both.
 """
