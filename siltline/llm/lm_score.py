@@ -14,7 +14,9 @@ joined to the n-grams of the chunk's documents and summed for each document.
 * A frequent n-gram is one entry for each chunk, however often it occurs, so no partition is hot.
 * Chunks and partitions hold about ``CHUNK_BYTES`` of text and what is counted in as much; their
   numbers grow with the corpus.  Nothing is kept for the whole corpus on the driver.
-* N-grams are known by 64-bit hashes.
+* Rows that repeat id and text all fall to one chunk.  If they fill a good part of it, they are
+  one row there, which counts as often as it occurs, and its score is joined to all of them.
+* N-grams, and rows that repeat, are known by 64-bit hashes.
 
 Words are runs without white space; A-Z count as a-z.  NULL is an empty text; texts without words
 score 0.  Repeated rows are parts of the corpus like any other, and each is scored.
@@ -27,10 +29,14 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from siltline.llm.tables import side, stored
+
 ORDER = 2
 LEAST = 2
 BACKOFF = 0.4
 CHUNK_BYTES = 16 << 20
+ROW_BYTES = 64  # of a row besides its text
+BROADCAST_ROWS = 1_000_000  # of 8 bytes, or of a score
 MILLION = 1_000_000
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -71,10 +77,18 @@ class Chunk:
             self.hashes.append(longer)
             self.whole.append(within >= k)
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted hashes of the n-grams, and how often the chunk has each."""
+    def distinct(self, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the n-grams, and how often the chunk has each.
+
+        times: how often each text counts, if not once.
+        """
         found = np.concatenate([h[w] for h, w in zip(self.hashes, self.whole)])
-        return np.unique(found, return_counts=True)
+        if times is None:
+            return np.unique(found, return_counts=True)
+        each = np.repeat(times, self.sizes)
+        hashes, place = np.unique(found, return_inverse=True)
+        weights = np.concatenate([each[w] for w in self.whole])
+        return hashes, np.bincount(place, weights=weights, minlength=len(hashes)).astype(np.int64)
 
 
 def _partition(hashes: np.ndarray, partitions: int) -> np.ndarray:
@@ -85,13 +99,15 @@ def _partition(hashes: np.ndarray, partitions: int) -> np.ndarray:
 
 def _asked(order: int, partitions: int):
     def run(docs: pd.DataFrame) -> pd.DataFrame:
-        hashes, counts = Chunk(docs["text"], order).distinct()
+        times = docs["times"].clip(lower=1).to_numpy() if "times" in docs else None
+        hashes, counts = Chunk(docs["text"], order).distinct(times)
+        counts = counts.astype(np.int32 if counts.max(initial=0) < 1 << 31 else np.int64)
         ends = _partition(hashes, partitions)
         chunk = int(docs["chunk"].iloc[0])
         rows, begin = [], 0
         for part, end in enumerate(ends.tolist()):
             if end > begin:
-                rows.append((part, chunk, hashes[begin:end].tobytes(), counts[begin:end].astype(np.int32).tobytes()))
+                rows.append((part, chunk, hashes[begin:end].tobytes(), counts[begin:end].tobytes()))
             begin = end
         return pd.DataFrame(rows, columns=["part", "chunk", "hashes", "counts"])
 
@@ -101,7 +117,7 @@ def _asked(order: int, partitions: int):
 def _answered(asked: pd.DataFrame) -> pd.DataFrame:
     """Totals over all chunks for what each has asked for."""
     hashes = [np.frombuffer(h, np.uint64) for h in asked["hashes"]]
-    counts = [np.frombuffer(c, np.int32) for c in asked["counts"]]
+    counts = [np.frombuffer(c, np.int32 if len(c) < len(h) else np.int64) for h, c in zip(asked["hashes"], asked["counts"])]
     _, place = np.unique(np.concatenate(hashes), return_inverse=True)
     totals = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)[place]
     ends = np.cumsum([len(h) for h in hashes])[:-1]
@@ -161,13 +177,32 @@ def score(
     size = docs.agg(F.sum(F.octet_length(text).cast("bigint")), F.sum(words.cast("bigint"))).first()
     chunks = max(1, -(-(size[0] or 0) // chunk_bytes))
     n_words = size[1] or 0
-    chunk = F.pmod(F.xxhash64(doc_id, text), F.lit(chunks)).cast("int").alias("chunk")
-    dealt = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), chunk)
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("copy"))
+    full = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + ROW_BYTES) > chunk_bytes // 4
+    often = docs.groupBy("copy").agg(F.count("*").alias("n"), full.alias("full")).where("n > 1 AND full").select("copy")
+    often = side(often, "repeated-rows", F.lit(1), BROADCAST_ROWS)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    columns = f"doc_id {kind}, n_words bigint, n_backoff bigint, micro_log10 bigint"
+    if often.isEmpty():
+        return _score(docs.drop("copy"), F.xxhash64("doc_id", "text"), chunks, order, least, backoff, n_words, columns)
+
+    # times: 0 for a row that stands for itself
+    once = docs.join(often, "copy", "left_semi").groupBy("copy", "doc_id", "text").agg(F.count("*").alias("times"))
+    rows = docs.join(often, "copy", "left_anti").withColumn("times", F.lit(0).cast("bigint")).unionByName(once)
+    found = _score(rows, F.col("copy"), chunks, order, least, backoff, n_words, columns + ", copy bigint, times bigint")
+    found = stored(found, "scores")
+    shared = side(found.where("times > 0").drop("doc_id", "times"), "repeated-scores", F.lit(1), BROADCAST_ROWS)
+    every = docs.select("doc_id", "copy").join(shared, "copy").drop("copy")
+    return found.where("times = 0").drop("copy", "times").unionByName(every)
+
+
+def _score(rows: DataFrame, key, chunks: int, order: int, least: int, backoff: float, n_words: int, columns: str) -> DataFrame:
+    """Scores of rows that are dealt into chunks by ``key``."""
+    dealt = rows.withColumn("chunk", F.pmod(key, F.lit(chunks)).cast("int"))
     asked = dealt.groupBy("chunk").applyInPandas(
         _asked(order, chunks), "part int, chunk int, hashes binary, counts binary"
     )
     answers = asked.groupBy("part").applyInPandas(_answered, "chunk int, part int, totals binary")
-    kind = docs.schema[doc_id].dataType.simpleString()
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        _scored(order, least, backoff, n_words), f"doc_id {kind}, n_words bigint, n_backoff bigint, micro_log10 bigint"
+        _scored(order, least, backoff, n_words), columns
     )

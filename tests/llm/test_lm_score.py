@@ -50,3 +50,28 @@ def test_edge_cases(spark):
         got = sorted(map(tuple, lm_score.score(docs, chunk_bytes=size).collect()), key=key)
         assert got == sorted(brute(rows, 2), key=key)
     assert lm_score.score(docs.where("false")).count() == 0
+
+
+def test_rows_that_repeat_are_one_in_their_chunk(spark, monkeypatch):
+    rows = [(1, "a b c a b")] * 400 + [(None, "c a")] * 300 + [(2, "a b d"), (2, "a b d"), (3, None), (4, "d d c a")] + [(5, "")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    most = []
+
+    def scored(frame, *rest):
+        most.append(max(r["count"] for r in frame.groupBy("doc_id", "text").count().collect()))
+        return score(frame, *rest)
+
+    score = lm_score._score
+    monkeypatch.setattr(lm_score, "_score", scored)
+    key = lambda r: (r[0] is not None, *[x or 0 for x in r])
+    got = lm_score.score(docs, chunk_bytes=4000)
+    assert got.columns == ["doc_id", "n_words", "n_backoff", "micro_log10"]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(brute(rows, 2), key=key)
+    assert most == [2]  # the small group stays as it is
+
+
+def test_counts_beyond_32_bits():
+    docs = lm_score.pd.DataFrame({"doc_id": [1, 2], "text": ["a b", "b"], "chunk": [0, 0], "times": [3 << 31, 0]})
+    asked = lm_score._asked(2, 1)(docs)
+    totals = lm_score.np.frombuffer(lm_score._answered(asked)["totals"][0], "<i8")
+    assert sorted(totals.tolist()) == [3 << 31, 3 << 31, (3 << 31) + 1]
