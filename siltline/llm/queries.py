@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import scratch
-from siltline.llm import bpe, chat, decontaminate, html_extract, line_crf, lm_score, quality_rules, secrets, simhash, warc
+from siltline.llm import bpe, chat, decontaminate, html_extract, line_crf, lm_score, piece_bpe, quality_rules
+from siltline.llm import secrets, simhash, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -243,6 +245,17 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def piece_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = piece_bpe.encode(docs, "text", public_tokenizers.path(PIECES), "ids", "decoded")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        piece_bpe.digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": byte_bpe,
     "op2_lm_stupid_backoff": lm_stupid_backoff,
@@ -254,6 +267,7 @@ QUERIES = {
     "op8_line_crf_quality": line_crf_quality,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_html_main_text": html_main_text,
+    "op12_sentencepiece": piece_bpe_ids,
 }
 
 ORACLES: dict[str, str] = {

@@ -5,6 +5,7 @@ import hashlib
 
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
 
 import corpus_pipeline
@@ -39,6 +40,18 @@ def test_byte_bpe_query(spark, sf, encoding):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_sentencepiece_query(spark, sf):
+    theirs = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.PIECES))
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.piece_bpe_ids(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = theirs.encode(texts[r.doc_id], add_eos=True)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(theirs.decode(ids).encode()).hexdigest()
+
+
 def test_secret_scan_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.secret_scan(spark, sf).collect():
