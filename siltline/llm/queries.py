@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import scratch
 from siltline.llm import bpe, chat, decontaminate, html_extract, line_crf, lm_score, piece_bpe, quality_rules
-from siltline.llm import secrets, simhash, warc
+from siltline.llm import secrets, simhash, spelling, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -256,6 +256,10 @@ def piece_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_byte_bpe": byte_bpe,
     "op2_lm_stupid_backoff": lm_stupid_backoff,
@@ -268,6 +272,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_html_main_text": html_main_text,
     "op12_sentencepiece": piece_bpe_ids,
+    "op13_spelling_variants": spelling_variants,
 }
 
 ORACLES: dict[str, str] = {

@@ -11,7 +11,7 @@ import tiktoken
 import corpus_pipeline
 from siltline.llm import queries
 from tests import oracle
-from tests.llm import brute
+from tests.llm import brute, test_spelling
 
 PATH = public_tokenizers.path(corpus_pipeline.VOCABULARY)
 
@@ -52,6 +52,12 @@ def test_sentencepiece_query(spark, sf):
         assert r.decoded_sha256 == hashlib.sha256(theirs.decode(ids).encode()).hexdigest()
 
 
+def test_spelling_query(spark, sf):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = queries.spelling_variants(spark, sf).select("word", "form", "root", "n", "n_near", "form_n").collect()
+    assert {tuple(r) for r in rows} == test_spelling.brute(docs) and len(rows) == len(set(rows))
+
+
 def test_secret_scan_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.secret_scan(spark, sf).collect():

@@ -1,0 +1,115 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from siltline.llm import spelling
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_words(docs):
+    n = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            n[run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 7 and k >= 2}
+
+
+def edits(word):
+    """All strings of word with one character missing, and the place."""
+    return {(word[:i] + word[i + 1 :], i) for i in range(len(word))}
+
+
+def brute_pairs(words):
+    """By definition: a pair is one deletion apart, or equal but for the character at one place."""
+    holes = {}
+    for w in words:
+        for rest, i in edits(w):
+            holes.setdefault((rest, i), set()).add(w)
+    pairs = {frozenset((a, b)) for some in holes.values() for a in some for b in some if a != b}
+    pairs |= {frozenset((w, rest)) for w in words for rest, _ in edits(w) if rest in words}
+    return pairs
+
+
+def brute(docs):
+    n = brute_words(docs)
+    near = {w: set() for w in n}
+    for a, b in map(tuple, brute_pairs(set(n))):
+        near[a].add(b)
+        near[b].add(a)
+    forms = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-n[o], o), default=None)
+        if best is not None and n[best] >= 10 * n[w]:
+            forms[w] = best
+
+    def root(w):
+        while w in forms:
+            w = forms[w]
+        return w
+
+    return {(w, forms.get(w), root(w), n[w], len(near[w]), n.get(forms.get(w))) for w in n}
+
+
+def made_docs(seed, alphabet, n_words, n_docs):
+    r = random.Random(seed)
+    base = ["".join(r.choice(alphabet) for _ in range(r.randint(6, 11))) for _ in range(n_words)]
+    pool = list(base)
+    for w in base:
+        i = r.randrange(len(w))
+        pool += [w[:i] + w[i + 1 :], w[:i] + r.choice(alphabet) + w[i + 1 :], w[:i] + r.choice(alphabet) + w[i:]]
+    weights = [1 / (1 + k % 40) ** 2 for k in range(len(pool))]
+    return [(d, " ".join(w.capitalize() if r.random() < 0.1 else w for w in r.choices(pool, weights, k=120))) for d in range(n_docs)]
+
+
+@pytest.mark.parametrize("alphabet, limit", [("abc", spelling.LIMIT), ("aeioustrénñßàÀ×", 60)])
+def test_equals_brute_force(spark, alphabet, limit):
+    docs = made_docs(3, alphabet, 120, 60)
+    docs += [(None, "Abcdefgh abcdefgh ABCDEFGX"), (1000, None), (1001, ""), docs[0], docs[0]]
+    docs += [(1002, f"{'a' * 60}b {'a' * 61} {'a' * 59}b " * 40)]
+    docs += [(1003, "qqqqqqqqqq " * 900 + "qqqqqqqqq " * 80 + "qqqqqqqq " * 7)]
+    table = spark.createDataFrame([(*d, "w") for d in docs], "doc_id long, text string, word string")
+    rows = spelling.variants(table, limit=limit).collect()
+    assert len(rows) == len(set(rows))
+    want = brute(docs)
+    assert {tuple(r) for r in rows} == want
+    assert any(form for _, form, *_ in want) and any(root != form for w, form, root, *_ in want if form)
+
+
+def test_cut_nodes_find_every_pair(spark):
+    """Nodes cut by many groups, and streams of searches past the words of a node."""
+    r = random.Random(5)
+    words = sorted({"".join(r.choice("enir") for _ in range(r.randint(7, 9))) for _ in range(1500)})
+    table = spark.createDataFrame([(w, 2) for w in words], "word string, n long")
+    pairs = [(r.a, r.b) for r in spelling.near_words(table, limit=50).collect()]
+    assert len(pairs) == len(set(map(frozenset, pairs)))
+    assert set(map(frozenset, pairs)) == brute_pairs(set(words))
+
+
+def test_one_apart():
+    r = random.Random(7)
+    words = ["".join(r.choice("ab") for _ in range(r.randint(1, 6))).encode() for _ in range(300)]
+    rows = spelling.Rows(words)
+    a, b = np.array([(i, j) for i in range(300) for j in range(300)]).T
+    fast = spelling._near(rows.matrix[a], rows.matrix[b], rows.lengths[a], rows.lengths[b])
+    for i, j, got in zip(a, b, fast):
+        x, y = words[i], words[j]
+        replaced = len(x) == len(y) and sum(p != q for p, q in zip(x, y)) == 1
+        inserted = len(y) == len(x) + 1 and any(y[:k] + y[k + 1 :] == x for k in range(len(y)))
+        assert bool(got) == spelling.one_apart(x, y) == (replaced or inserted)
+
+
+def test_no_words(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert spelling.variants(empty).count() == 0
+    short = spark.createDataFrame([(1, "a few short ones"), (2, None)], "doc_id long, text string")
+    assert spelling.variants(short).count() == 0
