@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline import scratch
 from siltline.llm import bpe, chat, decontaminate, html_extract, line_crf, lm_score, piece_bpe, quality_rules
-from siltline.llm import secrets, simhash, spelling, warc
+from siltline.llm import secrets, simhash, spelling, turn_repair, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -245,6 +245,19 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation of the log; those of which no row is left have nothing to repair."""
+    log = _table(spark, sf_dir, "conversations")
+    found = turn_repair.report(turn_repair.damaged(log))
+    lost = log.select(F.col("conv_id").alias("conv")).distinct().withColumn("repaired_sha256", F.sha2(F.lit(""), 256))
+    found = found.unionByName(lost.join(found, lost.conv.eqNullSafe(found.conv), "left_anti"), allowMissingColumns=True)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        F.col("conv").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), "repaired_sha256",
+    )
+
+
 def piece_bpe_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = piece_bpe.encode(docs, "text", public_tokenizers.path(PIECES), "ids", "decoded")
@@ -271,6 +284,7 @@ QUERIES = {
     "op8_line_crf_quality": line_crf_quality,
     "op9_simhash_near_dedup": simhash_near_dedup,
     "op10_html_main_text": html_main_text,
+    "op11_conversation_repair": conversation_repair,
     "op12_sentencepiece": piece_bpe_ids,
     "op13_spelling_variants": spelling_variants,
 }

@@ -41,9 +41,9 @@ GROUPS = (*"enirtsahoucldmgpbvfkzwyxjq", "àáâãäåæ", "èéêëçð", "ìí
 HEAD = 6
 MOST = 7  # counts beyond it are one
 LIMIT = 100_000  # words of a node
-BUCKET = 4  # words of a leaf
+BUCKET = 8  # words of a leaf
 BROADCAST_NODES = 1_000_000  # numbers of heavy nodes, 8 bytes each before their hash table
-FRONT = 200_000  # steps of a search that are taken together
+FRONT = 50_000  # steps of a search, or pairs, that are taken together
 WIDE = 48  # characters of words that are compared as rows of a matrix
 
 _RUN = r"[A-Za-zÀ-ÿ]"
@@ -229,6 +229,19 @@ def _spread(at: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[t
         yield at[leaf], starts[leaf] + number - (ends[leaf] - sizes[leaf])
 
 
+def _gathered(pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Small pieces put together."""
+    held, size = [], 0
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece[0])
+        if size >= FRONT:
+            yield tuple(np.concatenate(column) for column in zip(*held))
+            held, size = [], 0
+    if size:
+        yield tuple(np.concatenate(column) for column in zip(*held))
+
+
 def one_apart(a: bytes, b: bytes) -> bool:
     """Whether ``b`` is ``a`` with one character replaced or inserted."""
     if not 0 <= len(b) - len(a) <= 1 or a == b:
@@ -259,12 +272,17 @@ class Rows:
     def __init__(self, words: list[bytes]):
         self.words = words
         self.lengths = np.array([len(w) for w in words], np.int64)
-        self.matrix = np.array([w[:WIDE] for w in words], f"S{WIDE}").view(np.uint8).reshape(len(words), WIDE)
+        wide = min(WIDE, int(self.lengths.max(initial=1)))
+        self.matrix = np.array([w[:wide] for w in words], f"S{wide}").view(np.uint8).reshape(len(words), wide)
         self.vectors = _vectors(words)
+        # Of two words an edit apart that have six characters, the first or the last three are the same.
+        self.head = np.array([int.from_bytes(w[:3]) for w in words], np.int32)
+        self.tail = np.array([int.from_bytes(w[-3:]) for w in words], np.int32)
 
     def verified(self, a: np.ndarray, b: np.ndarray, longer: np.ndarray) -> np.ndarray:
         """Of pairs of places, which differ by one edit; pairs of one length count once."""
-        fits = self.lengths[b] - self.lengths[a] == longer
+        fits = (self.head[a] == self.head[b]) | (self.tail[a] == self.tail[b]) | (self.lengths[a] < 6)
+        fits &= self.lengths[b] - self.lengths[a] == longer
         a, b, longer, kept = a[fits], b[fits], longer[fits], np.flatnonzero(fits)
         good = _near(self.matrix[a], self.matrix[b], self.lengths[a], self.lengths[b])
         for i in np.flatnonzero(self.lengths[b] > WIDE).tolist():
@@ -291,17 +309,13 @@ def _searched(limit: int):
         at = at[trie.order]
         roots = np.full(int(number.max()) + 1, -1)
         roots[list(trie.roots)] = list(trie.roots.values())
-        for ask, word in trie.reached(np.where(asks, roots[number], -1), held.vectors, longer):
+        words = rows.column("word").combine_chunks()
+        for ask, word in _gathered(trie.reached(np.where(asks, roots[number], -1), held.vectors, longer)):
             word = at[word]
             good = held.verified(ask, word, longer[ask])
             a, b = ask[good], word[good]
-            texts_of = rows.column("word")
             yield pa.RecordBatch.from_arrays(
-                [
-                    texts_of.take(pa.array(a)).combine_chunks(), pa.array(n[a]),
-                    texts_of.take(pa.array(b)).combine_chunks(), pa.array(n[b]),
-                ],
-                ["a", "n_a", "b", "n_b"],
+                [words.take(pa.array(a)), pa.array(n[a]), words.take(pa.array(b)), pa.array(n[b])], ["a", "n_a", "b", "n_b"]
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

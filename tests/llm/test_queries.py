@@ -11,7 +11,7 @@ import tiktoken
 import corpus_pipeline
 from siltline.llm import queries
 from tests import oracle
-from tests.llm import brute, test_spelling
+from tests.llm import brute, test_spelling, test_turn_repair
 
 PATH = public_tokenizers.path(corpus_pipeline.VOCABULARY)
 
@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, sf, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_byte_bpe_query(spark, sf, encoding):
@@ -58,6 +58,12 @@ def test_spelling_query(spark, sf):
     assert {tuple(r) for r in rows} == test_spelling.brute(docs) and len(rows) == len(set(rows))
 
 
+def test_conversation_repair_query(spark, sf):
+    log = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows = queries.conversation_repair(spark, sf).select(*test_turn_repair.COLUMNS).collect()
+    assert sorted(map(tuple, rows)) == sorted(test_turn_repair.brute(log))
+
+
 def test_secret_scan_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.secret_scan(spark, sf).collect():
