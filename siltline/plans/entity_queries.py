@@ -14,7 +14,7 @@ from siltline.plans import inputs
 from siltline.plans.inputs import ENTITY_TYPE, EVENT_TYPES, table
 from siltline.sinks.layouts import write_partitioned
 from siltline.sources import patches as P
-from siltline.streaming import feeds
+from siltline.streaming import entities, feeds
 
 FROM, TO = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
 SERIES_USER, SERIES_ENTITY, SERIES_TENANT = 7, "user-7", "t1"
@@ -187,6 +187,21 @@ def history_append(spark, sf):
     return _numbers(spark.read.parquet(path)).drop("entity_type")
 
 
+def stream_full_rows(spark, sf):
+    """As notified_full_rows, from a stream that holds the last values of each entity."""
+    path, checkpoint = scratch.new_path(spark, "full-rows"), scratch.new_path(spark, "full-rows-checkpoint")
+    entities.start_notifications(_stream(spark, sf), WATCH, path, checkpoint).awaitTermination()
+    return _numbers(spark.read.parquet(path)).drop("batch_id")
+
+
+def stream_live_state(spark, sf):
+    """As stream_current_state, with a state that ends when its entity is deleted."""
+    path, checkpoint = scratch.new_path(spark, "live"), scratch.new_path(spark, "live-checkpoint")
+    entities.start_live_state(_stream(spark, sf), path, checkpoint).awaitTermination()
+    rows = feeds.read_state(spark, path)
+    return rows.select("tenant", "entity_id", "attr", "value", "patch_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -212,6 +227,8 @@ QUERIES = {
         stream_current_state,
         stream_update_count,
         history_append,
+        stream_full_rows,
+        stream_live_state,
     )
 }
 
@@ -325,8 +342,10 @@ ORACLES = {
                count(*) AS n_rows
         FROM (SELECT {_WHO} FROM events) GROUP BY 1""",
     "stream_current_state": _STATE_AFTER_DELETES,
+    "stream_live_state": _STATE_AFTER_DELETES,
     "stream_update_count": f"""
         SELECT tenant, entity_id, count(*) AS n_updates FROM (SELECT {_WHO} FROM events)
         GROUP BY 1, 2""",
     "history_append": _NOTIFIED,
 }
+ORACLES["stream_full_rows"] = ORACLES["notified_full_rows"]

@@ -14,6 +14,7 @@ from siltline.operators.subscriptions import Subscription, notifications
 from siltline.sources.patches import PATCH_SCHEMA, explode_attrs
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -32,7 +33,7 @@ def _trigger(every: str | None) -> dict:
     return {"availableNow": True} if every is None else {"processingTime": every}
 
 
-def _start_changes(
+def start_changes(
     changes: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Write each batch's changed rows to a partition of its own.
@@ -43,10 +44,14 @@ def _start_changes(
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    # Where state expires by time, Spark would run empty batches without end; it expires at the next
+    # batch with rows as well.
+    settings = {PROVIDER: ROCKSDB, EMPTY_BATCHES: "false"}
     spark = changes.sparkSession
-    provider = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         return (
             changes.writeStream.outputMode("update")
             .foreachBatch(publish)
@@ -55,7 +60,8 @@ def _start_changes(
             .start()
         )
     finally:
-        spark.conf.set(PROVIDER, provider)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def start_state(
@@ -66,7 +72,7 @@ def start_state(
     The state store holds one row per entity and attribute; a batch writes only the
     rows it changed.
     """
-    return _start_changes(latest_attrs(explode_attrs(patches)), path, checkpoint, every)
+    return start_changes(latest_attrs(explode_attrs(patches)), path, checkpoint, every)
 
 
 def _changes(spark: SparkSession, path: str, base: str | None, after: int) -> DataFrame:
@@ -108,7 +114,7 @@ def start_update_count(
     Python runs in the executors.
     """
     counts = patches.groupBy("tenant", "entity_id").agg(F.count("*").alias("n_updates"))
-    return _start_changes(counts, path, checkpoint, every)
+    return start_changes(counts, path, checkpoint, every)
 
 
 def read_update_count(spark: SparkSession, path: str) -> DataFrame:
