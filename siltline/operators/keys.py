@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -51,6 +52,30 @@ def number_by_file(
     return rows.select((number + first).cast("bigint").alias(name), *scan.columns)
 
 
+def number_files(
+    scans: Sequence[DataFrame], name: str = "trip_id", first: int = 1, limit: int | None = None
+) -> list[DataFrame]:
+    """As ``number_by_file``, over the files of several scans together, whose columns may differ."""
+    for scan in scans:
+        _require_scan(scan)
+    sizes = reduce(DataFrame.unionByName, [files.rows_per_file(scan) for scan in scans])
+    before = Window.orderBy(files.file_order("path")).rowsBetween(Window.unboundedPreceding, -1)
+    start = sizes.select("path", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("rows_before"))
+    if limit is not None:
+        start = start.filter(F.col("rows_before") < limit)
+        last = start.agg(F.max(files.file_order("path"))).first()[0]
+        scans = [scan.filter(files.file_order(files.file_path()) <= F.lit(last)) for scan in scans]
+    if sum(len(scan.inputFiles()) for scan in scans) * OFFSET_BYTES <= BROADCAST_BYTES:
+        start = F.broadcast(start)
+    numbered = []
+    for scan in scans:
+        rows = _with_position(scan).join(start, "path")
+        number = F.col("rows_before") + F.col("position")
+        rows = rows if limit is None else rows.filter(number < limit)
+        numbered.append(rows.select((number + first).cast("bigint").alias(name), *scan.columns))
+    return numbered
+
+
 def _require_scan(scan: DataFrame) -> None:
     node = scan._jdf.queryExecution().analyzed()
     while node.nodeName() in ("Project", "SubqueryAlias"):

@@ -9,7 +9,7 @@ from siltline.functions import attributes as A
 from siltline.functions import calendar as C
 from siltline.operators import history as H
 from siltline.operators import state as S
-from siltline.operators.subscriptions import Subscription, full_notifications, notifications
+from siltline.operators.subscriptions import Subscription, full_notifications, notifications, notified_subscriptions
 from siltline.plans import inputs
 from siltline.plans.inputs import ENTITY_TYPE, EVENT_TYPES, table
 from siltline.sinks.layouts import write_partitioned
@@ -143,6 +143,28 @@ def subscription_filter(spark, sf):
     return _numbers(notifications(inputs.patches(spark, sf), WATCH))
 
 
+def _subscriptions(spark, sf):
+    """A subscription for each customer: two event types, one for each nation but the first."""
+    names = F.array(*[F.lit(n) for n in EVENT_TYPES])
+    first, second = (F.element_at(names, (F.pmod(F.col("c_nationkey") + k, F.lit(5)) + 1).cast("int")) for k in (0, 1))
+    every = F.when(F.col("c_nationkey") == 0, F.array(F.lit("source"))).otherwise(F.array().cast("array<string>"))
+    ending = F.lpad((F.col("c_custkey") % 100).cast("string"), 2, "0")
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("sub_id"), F.lit(ENTITY_TYPE).alias("entity_type"),
+        F.concat(F.lit("user-[0-9]*"), ending).alias("id_pattern"),
+        F.concat(F.array(first, second), every).alias("condition_attrs"),
+        F.array(first, F.lit("source")).alias("notify_attrs"),
+    )
+
+
+def subscription_table(spark, sf):
+    """Notifications of as many subscriptions as there are customers, in one plan."""
+    subs = _subscriptions(spark, sf)
+    rows = notified_subscriptions(inputs.patches(spark, sf), subs)
+    number = F.coalesce(*[F.col("attrs")[n] for n in EVENT_TYPES]).try_cast("double")
+    return rows.select("sub_id", "tenant", "entity_id", "patch_id", F.size("attrs").alias("n_attrs"), number.alias("number"))
+
+
 def notified_full_rows(spark, sf):
     """Notifications with all attributes, after un-notified signups and deletes by errors."""
     return _numbers(full_notifications(inputs.patches(spark, sf), WATCH))
@@ -228,6 +250,7 @@ QUERIES = {
         stream_update_count,
         history_append,
         stream_full_rows,
+        subscription_table,
         stream_live_state,
     )
 }
@@ -337,6 +360,17 @@ ORACLES = {
             FROM lives
             WINDOW w AS (PARTITION BY user_id, life ORDER BY event_id ROWS UNBOUNDED PRECEDING))
         SELECT * EXCLUDE (kind) FROM cells WHERE kind IN ('click', 'purchase', 'view')""",
+    "subscription_table": f"""
+        WITH subs AS (
+            SELECT c_custkey AS sub_id, {list(EVENT_TYPES)}[c_nationkey % 5 + 1] AS a,
+                   {list(EVENT_TYPES)}[(c_nationkey + 1) % 5 + 1] AS b, c_nationkey = 0 AS every,
+                   lpad(cast(c_custkey % 100 AS varchar), 2, '0') AS ending
+            FROM customer)
+        SELECT sub_id, tenant, entity_id, event_id AS patch_id,
+               cast(CASE WHEN event_type = a THEN 2 ELSE 1 END AS integer) AS n_attrs,
+               CASE WHEN event_type = a THEN value END AS number
+        FROM subs JOIN (SELECT *, {_WHO} FROM events WHERE event_type <> 'error') e
+            ON regexp_full_match(entity_id, 'user-[0-9]*' || ending) AND (every OR event_type IN (a, b))""",
     "tenant_partition": f"""
         SELECT tenant, 'mt' || tenant || '.et{ENTITY_TYPE.lower()}' AS table_name,
                count(*) AS n_rows

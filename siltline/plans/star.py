@@ -6,14 +6,16 @@ The same three queries serve one store and federation: they take DataFrames, and
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltline.functions import calendar as C
 from siltline.operators.dimensions import require_valid, revenue_by_attributes
-from siltline.operators.keys import number_by_file
+from siltline.operators.keys import number_by_file, number_files
 from siltline.sinks.layouts import append_chunked, finished, write_clustered
+from siltline.sources import files
 
 # Raw trip columns and their names in the star fact.
 FACT_COLUMNS = {
@@ -103,6 +105,29 @@ def star_fact(
     return named.withColumns({c: F.col(c).cast("int") for c in ints if c in named.columns})
 
 
+def star_fact_of_files(
+    spark: SparkSession,
+    paths: Sequence[str],
+    columns: Mapping[str, str] = FACT_COLUMNS,
+    ints: tuple[str, ...] = FACT_INTS,
+    first: int = 1,
+    limit: int | None = None,
+) -> DataFrame:
+    """Fact rows with a dense trip_id from files that need not have the same columns.
+
+    Each file gives the wanted columns that it has, NULL for the others; one that has none of them
+    is skipped and its rows are not numbered.  There is one scan for each set of columns, and the
+    numbers go on from file to file in the order of their names.
+    """
+    groups = files.by_columns(spark, paths, tuple(columns))
+    scans = [spark.read.parquet(*some).select([c for c, _ in present]) for present, some in groups.items() if present]
+    if not scans:
+        raise ValueError("the raw files have none of the fact columns")
+    named = [rows.withColumnsRenamed(dict(columns)) for rows in number_files(scans, "trip_id", first, limit)]
+    named = [rows.withColumns({c: F.col(c).cast("int") for c in ints if c in rows.columns}) for rows in named]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 def load_star_fact(
     spark: SparkSession,
     fact: DataFrame,

@@ -10,7 +10,7 @@ from siltline.operators import dimensions, keys
 from siltline.plans import lake, star, synthetic
 from siltline.plans.inputs import table
 from siltline.sinks import upsert
-from siltline.sinks.layouts import land_raw, write_partitioned
+from siltline.sinks.layouts import land_raw, write_clustered, write_partitioned
 from siltline.sources import catalogs, dims, files
 
 # The payment dimension of the mix query; flag N has no row in it.
@@ -96,6 +96,19 @@ def star_fact_build(spark, sf):
     return star.load_star_fact(spark, fact, path, ("pickup_datetime", "vendor_id"), size)
 
 
+def star_fact_layouts(spark, sf):
+    """Orders in three layouts, of which the second has none of the wanted columns and the third lacks one."""
+    names = {"o_custkey": "vendor_id", "o_orderstatus": "payment_type", "o_totalprice": "total_amount"}
+    root, orders = scratch.new_path(spark, "layouts"), table(spark, sf, "orders")
+    kept = (["o_orderkey", *names], ["o_orderkey", "o_orderpriority"], ["o_orderkey", "o_custkey", "o_totalprice"])
+    for k, columns in enumerate(kept):
+        rows = orders.filter(F.col("o_orderkey") % 3 == k).select(columns)
+        write_clustered(rows, f"{root}/layout-{k}", ["o_orderkey"])
+    paths = sorted(r.path for r in files.file_sizes(spark, root).collect())
+    fact = star.star_fact_of_files(spark, paths, names, ints=("vendor_id",))
+    return fact.select("trip_id", *names.values())
+
+
 def star_dim_load(spark, sf):
     customers = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("description")
@@ -179,6 +192,22 @@ def partitioned_upsert(spark, sf):
     return rows.select("id", "name", "salary", "client_id")
 
 
+def null_partition_upsert(spark, sf):
+    """Customers by a nation that may be NULL, updated from the orders of the first nations and of none."""
+    name, root = f"{lake.new_schema(spark)}.customers", scratch.new_path(spark, "null-partitions")
+    nation = F.when(F.col("client_id") != 2, F.col("client_id")).alias("client_id")
+    users = _users(spark, sf).select("id", "name", "salary", nation)
+    write_partitioned(users, root, ["client_id"])
+    catalogs.register_existing(spark, name, root, partitioned=True)
+    few = users.filter("client_id < 5 OR client_id IS NULL").select("id", "client_id")
+    source = table(spark, sf, "orders").join(few, F.col("o_custkey") == F.col("id")).select(
+        "id", F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("salary"),
+        "client_id", F.col("o_orderkey").alias("seq"),
+    )
+    rows = upsert.upsert_table(spark, name, source, ["client_id", "id"], "seq")
+    return rows.select("id", "name", "salary", "client_id")
+
+
 def dim_constraint_check(spark, sf):
     rows = table(spark, sf, "orders").select(
         F.nullif("o_custkey", F.lit(1)).alias("id"),
@@ -251,6 +280,7 @@ QUERIES = {
         federated_zone_revenue,
         federated_payment_mix,
         star_fact_build,
+        star_fact_layouts,
         star_dim_load,
         capped_load,
         second_load,
@@ -259,6 +289,7 @@ QUERIES = {
         zone_dim_load,
         dim_upsert,
         partitioned_upsert,
+        null_partition_upsert,
         dim_constraint_check,
         users_preview,
         user_company_join,
@@ -344,6 +375,21 @@ ORACLES = {
                CASE WHEN c_nationkey < 5 THEN coalesce(s.salary, c_acctbal) ELSE c_acctbal END AS salary,
                c_nationkey AS client_id
         FROM customer LEFT JOIN s ON s.id = c_custkey""",
+    "null_partition_upsert": """
+        WITH s AS (
+            SELECT o_custkey AS id, arg_max(o_orderpriority, o_orderkey) AS name,
+                   arg_max(o_totalprice, o_orderkey) AS salary
+            FROM orders GROUP BY 1)
+        SELECT c_custkey AS id, CASE WHEN c_nationkey < 5 THEN coalesce(s.name, c_name) ELSE c_name END AS name,
+               CASE WHEN c_nationkey < 5 THEN coalesce(s.salary, c_acctbal) ELSE c_acctbal END AS salary,
+               nullif(c_nationkey, 2) AS client_id
+        FROM customer LEFT JOIN s ON s.id = c_custkey""",
+    "star_fact_layouts": """
+        SELECT row_number() OVER (ORDER BY o_orderkey % 3, o_orderkey) AS trip_id,
+               cast(o_custkey AS integer) AS vendor_id,
+               CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS payment_type,
+               o_totalprice AS total_amount
+        FROM orders WHERE o_orderkey % 3 <> 1""",
     "dim_constraint_check": """
         WITH r AS (SELECT nullif(o_custkey, 1) AS id, nullif(o_orderstatus, 'P') AS description
                    FROM orders)

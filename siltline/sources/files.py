@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+LOOKS = 16  # footers that are read at a time
+
 
 def scan_file(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
@@ -67,6 +70,25 @@ def scan_monthly(
     return _load(spark, f"{root}/{{,file=}}{kind}_tripdata_{months}", fmt, merge, {})
 
 
+def by_columns(
+    spark: SparkSession, paths: Sequence[str], wanted: Sequence[str], fmt: str = "parquet"
+) -> dict[tuple[tuple[str, str], ...], list[str]]:
+    """The files by which of the wanted columns they have, and of which type.
+
+    Only footers are read, by the executors; a file is a small job, ``LOOKS`` of which run at a time.
+    """
+
+    def present(path: str) -> tuple[tuple[str, str], ...]:
+        schema = spark.read.format(fmt).load(path).schema
+        return tuple((f.name, f.dataType.simpleString()) for f in schema if f.name in wanted)
+
+    found: dict[tuple[tuple[str, str], ...], list[str]] = {}
+    with ThreadPoolExecutor(LOOKS) as pool:
+        for path, columns in zip(paths, pool.map(present, paths)):
+            found.setdefault(columns, []).append(path)
+    return found
+
+
 def file_path() -> Column:
     return F.col("_metadata.file_path")
 

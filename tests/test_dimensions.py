@@ -148,6 +148,73 @@ def test_an_upsert_rewrites_the_partitions_it_touches(spark, path):
         upsert.upsert_table(spark, name, source, ["id"], "seq")
 
 
+def partitioned(spark, path):
+    rows = [(k, "old", None if k % 3 == 0 else f"p'{k % 3}") for k in range(9)]
+    spark.createDataFrame(rows, "id long, d string, p string").write.partitionBy("p").parquet(path + "/t")
+    name = f"{lake.new_schema(spark)}.t"
+    catalogs.register_existing(spark, name, path + "/t", partitioned=True)
+    return name, {(k, d, p) for k, d, p in rows}
+
+
+def test_an_upsert_keeps_the_rows_of_a_null_partition(spark, path):
+    name, rows = partitioned(spark, path)
+    for n in range(2):
+        new = [(0, f"new{n}", None, 1), (77, f"new{n}", None, 1), (None, f"new{n}", "p'1", 1), (78, f"new{n}", "q", 1)]
+        source = spark.createDataFrame(new, "id long, d string, p string, seq int")
+        got = upsert.upsert_table(spark, name, source, ["id", "p"], "seq").collect()
+        want = {r for r in rows if r[0] != 0} | {r[:3] for r in new}
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert spark.table(name).where("p is null").count() == 4
+
+
+def test_an_upsert_that_dies_leaves_whole_partitions(spark, path, monkeypatch):
+    name, rows = partitioned(spark, path)
+    new = [(0, "new", None, 1), (1, "new", "p'1", 1), (2, "new", "p'2", 1)]
+    source = spark.createDataFrame(new, "id long, d string, p string, seq int")
+    bad = source.withColumn("d", F.when(F.col("id") == 2, F.raise_error(F.lit("dies"))).otherwise(F.col("d")))
+    with pytest.raises(Exception, match="dies"):
+        upsert.upsert_table(spark, name, bad, ["id", "p"], "seq")
+    assert {tuple(r) for r in spark.table(name).collect()} == rows
+    publish, calls = upsert._publish, []
+
+    def once(*args):
+        calls.append(args)
+        if len(calls) > 1:
+            raise RuntimeError("dies")
+        publish(*args)
+
+    monkeypatch.setattr(upsert, "_publish", once)
+    with pytest.raises(RuntimeError):
+        upsert.upsert_table(spark, name, source, ["id", "p"], "seq")
+    spark.catalog.refreshTable(name)
+    got = {tuple(r) for r in spark.table(name).collect()}
+    assert len(got) == 9 and len(got - rows) == 1
+    monkeypatch.undo()
+    got = {tuple(r) for r in upsert.upsert_table(spark, name, source, ["id", "p"], "seq").collect()}
+    assert got == {r for r in rows if r[0] > 2} | {r[:3] for r in new}
+
+
+def test_columns_are_judged_file_by_file(spark, path):
+    def put(number, rows, columns):
+        spark.createDataFrame(rows, columns).coalesce(1).write.parquet(f"{path}/in/{number}")
+
+    put(1, [(1, 1.0, "x"), (2, 2.0, "y")], "VendorID long, total_amount double, note string")
+    put(2, [("only",), ("notes",)], "note string")
+    put(3, [(3.0,), (4.0,)], "total_amount double")
+    put(4, [(None, 5.0, "z"), (6, 6.0, "z")], "VendorID long, total_amount double, note string")
+    put(5, [(7, 7.0)], "VendorID int, total_amount double")
+    paths = sorted(r.path for r in files.file_sizes(spark, path + "/in").collect())
+    want = [(1, 1, 1.0), (2, 2, 2.0), (3, None, 3.0), (4, None, 4.0), (5, None, 5.0), (6, 6, 6.0), (7, 7, 7.0)]
+    for limit in (None, 0, 3, 5, 100):
+        got = star.star_fact_of_files(spark, paths, limit=limit).select("trip_id", "vendor_id", "total_amount")
+        assert sorted(map(tuple, got.collect())) == want[:limit]
+    assert dict(got.dtypes)["vendor_id"] == "int"
+    again = star.star_fact_of_files(spark, paths[:1], first=100)
+    assert [r.trip_id for r in again.collect()] == [100, 101]
+    with pytest.raises(ValueError):
+        star.star_fact_of_files(spark, [paths[1]])
+
+
 def test_money_does_not_depend_on_the_partitioning(spark):
     amounts = spark.range(0, 300_000, 1, 7).select((F.col("id") * 333.3301 + 1e7).alias("x"))
     sums = {tuple(amounts.repartition(n).agg(money_sum(F.col("x"))).first()) for n in (1, 3, 11)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siltline.functions import attributes as A
 from siltline.functions import calendar as C
 from siltline.operators import state as S
-from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, full_notifications, notifications
+from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, full_notifications, notifications, notified_subscriptions
 from siltline.sources import patches as P
 from siltline.streaming import feeds
 
@@ -143,6 +143,45 @@ def test_subscription(log):
     assert [r.patch_id for r in notifications(log, only).collect()] == [3, 6]
 
 
+@pytest.mark.parametrize("most, salts", [(1 << 26, 1), (0, 1), (0, 7)])
+def test_a_table_of_subscriptions_equals_single_ones(spark, log, most, salts):
+    patterns = [".*", "u[23]", "u1", "u", "[a-z]9"]
+    subs = [
+        Subscription(kind, pattern, conditions, ("CO", "O3", "address", "location"))
+        for kind in ("AirQualityObserved", "Other")
+        for pattern in patterns
+        for conditions in (("CO",), ("CO", "O3", "temperature"), ("O3", "O3", "note"), ("none",))
+    ]
+    rows = [(i, s.entity_type, s.id_pattern, list(s.condition_attrs), list(s.notify_attrs)) for i, s in enumerate(subs)]
+    rows += [(1001, None, ".*", ["CO"], ["CO"]), (1002, "Other", None, ["CO"], ["CO"]), (1003, "Other", ".*", None, ["CO"])]
+    schema = "sub_id int, entity_type string, id_pattern string, condition_attrs array<string>, notify_attrs array<string>"
+    found = notified_subscriptions(log, spark.createDataFrame(rows, schema), most, salts).collect()
+    got = [(r.sub_id, r.tenant, r.entity_id, r.patch_id, r.time_index, {k: v for k, v in r.attrs.items() if v is not None}) for r in found]
+    want = []
+    for i, s in enumerate(subs):
+        for r in notifications(log, s).collect():
+            attrs = {a: r[a] for a in s.notify_attrs if r[a] is not None}
+            want.append((i, r.tenant, r.entity_id, r.patch_id, r.time_index, attrs))
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) > 30
+
+
+def test_a_thousand_subscriptions(spark, log):
+    subs = spark.range(1000).select(
+        F.col("id").alias("sub_id"), F.lit("AirQualityObserved").alias("entity_type"),
+        F.concat(F.lit("u"), (F.col("id") % 4).cast("string")).alias("id_pattern"),
+        F.when(F.col("id") % 2 == 0, F.array(F.lit("CO"))).otherwise(F.array(F.lit("O3"), F.lit("CO"))).alias("condition_attrs"),
+        F.array(F.lit("CO")).alias("notify_attrs"),
+    )
+    got = {(r.id_pattern, r.odd): r.n for r in notified_subscriptions(log, subs).join(subs.select("sub_id", "id_pattern"), "sub_id")
+           .groupBy("id_pattern", (F.col("sub_id") % 2).alias("odd")).agg(F.count("*").alias("n")).collect()}
+    want = {}
+    for k in (1, 2, 3):
+        for odd, conditions in ((0, ("CO",)), (1, ("O3", "CO"))):
+            one = notifications(log, Subscription("AirQualityObserved", f"u{k}", conditions, ("CO",))).count()
+            want[f"u{k}", odd] = one * sum(1 for i in range(1000) if i % 4 == k and i % 2 == odd)
+    assert got == {key: n for key, n in want.items() if n}
+
+
 def test_id_pattern_matches_the_whole_id(spark):
     log = spark.createDataFrame([patch(1, "u1", CO=number(1)), patch(2, "u12", CO=number(1))], P.PATCH_SCHEMA)
     watch = Subscription("AirQualityObserved", id_pattern="u1")
