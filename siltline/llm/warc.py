@@ -8,27 +8,34 @@ Records are text with Spark's text writer, whose line separator is what ends a r
 archives are committed like any other output; they are compressed with gzip.
 
 Reading.  Archives are read by Spark (any store) and parsed record by record, by the lengths the
-headers state.  Records that are no segments go on directly; segments are grouped by the
-identifier of their origin, ordered by number, and accepted if the numbers are complete and the
-total length is the stated one.  Then the transfer framing is decoded.
+headers state.  Segments are grouped by the identifier of their origin, ordered by number, and
+accepted if the numbers are complete and the total length is the stated one.  Then the transfer
+framing is decoded; for records that are no segments in the parser itself.
 
 * Only digests are shuffled to find equal payloads, pre-aggregated, so many copies are no load.
   The digests that occur twice are joined to the pages: broadcast up to ``BROADCAST_DIGESTS``
   (checked), shuffled beyond.
 * Pages are written by the tasks that read them.
 * A group of segments is one record, so it is as long as one page at most.
-* An archive file holds ``FILE_RECORDS`` records at most; a task reads one file at a time.
+* An archive file holds ``FILE_RECORDS`` records at most.  A worker holds a batch of compressed
+  files (64 MB, or one larger file) and decompresses one of them, record by record.
 
 NULL pages have an empty payload.  A NULL id is larger than all others.  Rows with the same id
-and payload are all responses, and equal rows have equal records.  URLs lose white space and control characters.  Incomplete records
-are returned with ``complete`` false and a NULL payload.  An empty table makes an empty archive.
+and payload are all responses, and equal rows have equal records.  URLs lose white space and
+control characters.  An empty table makes an empty archive.  Incomplete records are returned with
+``complete`` false and a NULL payload: those cut off (also by a broken gzip stream, which ends the
+file), without a length, with broken framing or with missing segments.  What stands between records
+is skipped up to the next line that begins one.
 """
 
 import gzip
+import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
@@ -48,10 +55,13 @@ BROADCAST_DIGESTS = 200_000
 PAGE_HEADER = "X-Page-Id"
 DATE = "2026-01-01T00:00:00Z"
 
+GIVEN_ON = 8 << 20  # bytes of blocks that a worker gives on together
+
 RECORD = (
     "record_id string, type string, page_id string, uri string, digest string, "
     "origin string, segment int, total bigint, block binary"
 )
+READ = f"{RECORD}, bytes bigint, read string"
 
 
 def _cut(text: Column, size: int) -> Column:
@@ -124,16 +134,36 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     out.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
+class _Archive:
+    """A stream that ends where it can no longer be read."""
+
+    def __init__(self, content: bytes):
+        plain = io.BytesIO(content)
+        self.stream = gzip.GzipFile(fileobj=plain) if content[:2] == b"\x1f\x8b" else plain
+
+    def _try(self, read, *args) -> bytes:
+        try:
+            return read(*args)
+        except (EOFError, OSError, zlib.error):
+            return b""
+
+    def readline(self) -> bytes:
+        return self._try(self.stream.readline)
+
+    def read(self, size: int) -> bytes:
+        return self._try(self.stream.read, size)
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
 def parse(stream) -> Iterator[tuple]:
-    """Rows of ``RECORD`` for the records of an archive."""
-    while True:
-        first = stream.readline()
-        if not first:
-            return
-        if not first.strip():
-            continue
+    """Rows of ``RECORD`` for the records of an archive; the block is NULL where the record is cut
+    off or states no length.  What stands between records is skipped."""
+    while first := stream.readline():
         if not first.startswith(b"WARC/"):
-            raise ValueError(f"no record begins with {first[:40]!r}")
+            continue
         head = {}
         for line in iter(stream.readline, b""):
             line = line.rstrip(b"\r\n")
@@ -141,40 +171,60 @@ def parse(stream) -> Iterator[tuple]:
                 break
             name, _, value = line.partition(b":")
             head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-        block = stream.read(int(head["content-length"]))
-        segment, total = head.get("warc-segment-number"), head.get("warc-segment-total-length")
+        length = _number(head.get("content-length"))
+        block = stream.read(length) if length is not None else None
+        if block is not None and len(block) < length:
+            block = None
         yield (
             head.get("warc-record-id"), head.get("warc-type"), head.get(PAGE_HEADER.lower()), head.get("warc-target-uri"),
             (head.get("warc-payload-digest") or "").rpartition(":")[2] or None, head.get("warc-segment-origin-id"),
-            int(segment) if segment else None, int(total) if total else None, block,
+            _number(head.get("warc-segment-number")), _number(head.get("warc-segment-total-length")), block,
         )
 
 
-def _parsed(batches):
-    names = [c.split()[0] for c in RECORD.split(", ")]
-    for batch in batches:
-        for content in batch["content"]:
-            stream = io.BytesIO(content)
-            stream = gzip.GzipFile(fileobj=stream) if content[:2] == b"\x1f\x8b" else stream
-            rows, size = [], 0
-            for row in parse(stream):
-                rows.append(row)
-                size += len(row[-1])
-                if size >= 8 << 20:
-                    yield _frame(rows, names)
-                    rows, size = [], 0
-            yield _frame(rows, names)
+def _digested(row: tuple) -> tuple:
+    """A row of ``READ``: a record that is no segment gives length and digest of its payload, not the block."""
+    *head, segment, total, block = row
+    if segment is not None:
+        return *row, None, None
+    payload = None if block is None else _body(block)
+    if payload is None:
+        return *head, segment, total, None, None, None
+    return *head, segment, total, None, len(payload), hashlib.sha256(payload).hexdigest()
+
+
+def _parsed(columns: str, shown=lambda row: row):
+    """Function for mapInArrow: from the contents of archives to rows, a few MB at a time."""
+    names = [c.split()[0] for c in columns.split(", ")]
 
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+        schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in columns.split(", ")])
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), schema.types)], names)
 
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names, dtype=object)
-    return frame.astype({"segment": "Int32", "total": "Int64"})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
+            for content in some.column(0):
+                rows, size = [], 0
+                for row in map(shown, parse(_Archive(content.as_py()))):
+                    rows.append(row)
+                    size += 256 + len(row[8] or b"")
+                    if size >= GIVEN_ON:
+                        yield batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch(rows)
+
+    return run
+
+
+def _contents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("content")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """All records of the archives in a folder, with the columns of ``RECORD``."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(_parsed, RECORD)
+    return _contents(spark, path).mapInArrow(_parsed(RECORD), RECORD)
 
 
 @F.pandas_udf(BinaryType())
@@ -208,7 +258,8 @@ def _body(message: bytes) -> bytes | None:
 def reassemble(found: DataFrame) -> DataFrame:
     """(record_id, type, page_id, uri, digest, payload, complete) of whole records."""
     whole = found.where("segment is null").select(
-        "record_id", "type", "page_id", "uri", "digest", F.array("block").alias("parts"), F.lit(True).alias("complete")
+        "record_id", "type", "page_id", "uri", "digest", F.array("block").alias("parts"),
+        F.col("block").isNotNull().alias("complete"),
     )
     cut = found.where("segment is not null").withColumn("key", F.coalesce("origin", "record_id"))
     is_first = F.col("segment") == 1
@@ -221,7 +272,7 @@ def reassemble(found: DataFrame) -> DataFrame:
     )
     numbers = F.transform("all", lambda s: s["segment"])
     length = F.aggregate("all", F.lit(0).cast("bigint"), lambda n, s: n + F.octet_length(s["block"]))
-    complete = (numbers == F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)))) & length.eqNullSafe(F.col("total"))
+    complete = (numbers == F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)))) & F.coalesce(length == F.col("total"), F.lit(False))
     parts = F.transform("all", lambda s: s["block"])
     # Equal rows have equal records: as many as there are first segments.
     copies = F.explode(F.array_repeat(F.lit(0), F.greatest("copies", F.lit(1)))).alias("copy")
@@ -231,17 +282,20 @@ def reassemble(found: DataFrame) -> DataFrame:
     return df.select(*named, "payload", (F.col("complete") & F.col("payload").isNotNull()).alias("complete"))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """(page_id, uri, payload_bytes, payload_digest, record_type, refers_to, complete) of each page.
 
     Digests and lengths are taken from the payloads as read; a revisit has those of the response
-    with its digest, which is the one with the smallest id.
+    with its digest, which is the one with the smallest id.  Archives are read once: what is no
+    segment leaves the parser as length and digest, segments go on to be put together.
     """
-    df = reassemble(read_records(spark, path)).where(F.col("type").isin("response", "revisit"))
-    df = df.select(
-        F.col("page_id").cast("bigint").alias("page_id"), "uri", "type", "digest", "complete",
-        F.octet_length("payload").cast("bigint").alias("bytes"), F.sha2("payload", 256).alias("read"),
-    )
+    rows = stored(_contents(spark, path).mapInArrow(_parsed(READ, _digested), READ), "archive-records")
+    told = ["page_id", "uri", "type", "digest", "complete", "bytes", "read"]
+    own = rows.where("segment IS NULL").withColumn("complete", F.col("read").isNotNull()).select(told)
+    joined = reassemble(rows.where("segment IS NOT NULL").drop("bytes", "read"))
+    joined = joined.withColumns({"bytes": F.octet_length("payload").cast("bigint"), "read": F.sha2("payload", 256)})
+    df = own.unionByName(joined.select(told)).where(F.col("type").isin("response", "revisit"))
+    df = df.withColumn("page_id", F.col("page_id").cast(id_type))
     df = stored(df, "archive-pages")
     revisits = df.where("type = 'revisit'")
     wanted = revisits.select(F.col("digest").alias("read")).distinct()
@@ -255,6 +309,6 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
     own = df.where("type = 'response'").select(
         "page_id", "uri", F.col("bytes").alias("payload_bytes"), F.col("read").alias("payload_digest"),
-        F.col("type").alias("record_type"), F.lit(None).cast("bigint").alias("refers_to"), "complete",
+        F.col("type").alias("record_type"), F.lit(None).cast(id_type).alias("refers_to"), "complete",
     )
     return own.unionByName(seen)

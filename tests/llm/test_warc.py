@@ -1,6 +1,8 @@
 import gzip
 import hashlib
 import io
+import pathlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -63,6 +65,37 @@ def test_broken_records(spark):
     assert got == {"1": (True, b"abcd"), "2": (False, None), "3": (False, None), "4": (False, None), "5": (True, b"abc")}
 
 
+def record(page, body, length=None, **more):
+    head = {"WARC-Type": "response", "WARC-Record-ID": f"<{page}>", "X-Page-Id": str(page), **more}
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+    if length is not False:
+        head["Content-Length"] = str(len(block) if length is None else length)
+    lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
+    return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_that_are_broken(spark, path):
+    (tmp := pathlib.Path(path) / "w").mkdir()
+    whole = b"".join(record(k, bytes([65 + k]) * 3000 + b"\r\n") for k in range(10, 14))
+    packed = gzip.compress(bytes(random.Random(1).randbytes(20_000)).hex().encode())
+    (tmp / "cut.warc").write_bytes(record(1, b"one") + record(2, b"two", length=5000))
+    (tmp / "none.warc").write_bytes(record(3, b"no length", length=False) + b"junk\r\n" + record(4, b"four"))
+    (tmp / "bad.warc").write_bytes(record(5, b"bad length", length="-7") + record(6, b"six"))
+    (tmp / "junk.warc").write_bytes(b"no archive\r\n" + record(7, b"seven"))
+    (tmp / "gz.warc.gz").write_bytes(gzip.compress(whole)[:-40])
+    (tmp / "gz2.warc.gz").write_bytes(packed[: len(packed) // 2])
+    (tmp / "empty.warc").write_bytes(b"")
+    (tmp / "last.warc").write_bytes(record(8, b"a", **{"WARC-Segment-Number": 1}) + record(9, b"b")[:-10])
+    found = {r.page_id or 0: r for r in warc.read_pages(spark, str(tmp)).collect()}  # 0: cut off in its head
+    assert {k for k in found if 0 < k < 10} == set(range(1, 10)) and {10, 11} <= set(found)
+    assert {k for k, r in found.items() if r.complete and k < 10} == {1, 4, 6, 7}
+    assert all((r.payload_bytes is None) == (r.payload_digest is None) == (not r.complete) for r in found.values())
+    assert found[4].payload_digest == hashlib.sha256(b"four").hexdigest()
+    assert [r[8] for r in warc.parse(warc._Archive(record(1, b"x", length=22)))] == [None]
+    records = {r.page_id: r.block for r in warc.read_records(spark, str(tmp)).collect()}
+    assert records["2"] is None and bytes(records["1"]).endswith(b"one")
+
+
 def test_empty_table(spark, path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(pages, path + "/w")
