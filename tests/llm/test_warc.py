@@ -91,7 +91,7 @@ def test_archives_that_are_broken(spark, path):
     assert {k for k, r in found.items() if r.complete and k < 10} == {1, 4, 6, 7}
     assert all((r.payload_bytes is None) == (r.payload_digest is None) == (not r.complete) for r in found.values())
     assert found[4].payload_digest == hashlib.sha256(b"four").hexdigest()
-    assert [r[8] for r in warc.parse(warc._Archive(record(1, b"x", length=22)))] == [None]
+    assert [r[8] for r in warc.parse(warc._Archive(record(1, b"x", length=50)))] == [None]
     records = {r.page_id: r.block for r in warc.read_records(spark, str(tmp)).collect()}
     assert records["2"] is None and bytes(records["1"]).endswith(b"one")
 
