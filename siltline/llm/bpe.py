@@ -15,16 +15,18 @@ fails the decoding.  Rows are handled on their own, so repeated rows and ties ne
 
 import base64
 import re
-from collections.abc import Iterator
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-ROWS = 512  # that a worker holds at a time
-CACHED = 100_000  # results in each of two generations, of pieces and of parts, in each Python worker
+from siltline.llm.batches import lists, mapped
+
+CACHED = 1 << 18  # results in each of two generations, of pieces and of parts, in each Python worker
 CACHED_CHARS = 48  # longer ones are rare and are encoded anew
 CACHED_PAIRS = 500_000
 SPACED = re.compile(r" (?=\S)")
@@ -41,6 +43,8 @@ class Vocabulary:
         self.pattern = regex.compile(pattern)
         self.ranks = {token.decode("latin-1"): rank for token, rank in ranks.items()}
         self.tokens = {rank: token for token, rank in ranks.items()}
+        last = max(self.tokens, default=-1)
+        self._bytes = pa.array([self.tokens.get(i) for i in range(last + 1)], pa.large_binary())
         self._texts = {rank: token for token, rank in self.ranks.items()}
         self._longest = max(map(len, self.ranks), default=0)
         self._follows: dict[int, bool] = {}
@@ -122,13 +126,13 @@ class Vocabulary:
 
         text = piece.encode().decode("latin-1")
         whole = self.ranks.get(text)
-        return np.array([whole] if whole is not None else self.backtrack(text), "<i4").tobytes()
+        return array("i", [whole] if whole is not None else self.backtrack(text)).tobytes()
 
     def _pieces(self, text: str) -> bytes:
         return b"".join([self._cache_pieces.get(m) for m in self.pattern.findall(text)])
 
-    def encode(self, text: str):
-        """Ids of a text as an array.
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers.
 
         A space before a character that is no white space always begins a match, so the text
         may be cut there and the parts looked up with what they became before.
@@ -137,12 +141,29 @@ class Vocabulary:
         first, *rest = SPACED.split(text) if SPACE_AT_SPACE.search(text) else text.split(" ")
         young, get = self._cache_parts.young, self._cache_parts.get
         parts = [young.get(p) or get(p) for p in rest]
-        return np.frombuffer(self._pieces(first) + b"".join(parts), "<i4")
+        return self._pieces(first) + b"".join(parts)
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text as an array."""
+        return np.frombuffer(self.packed(text), "<i4")
 
     def decode(self, ids) -> bytes:
         ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """Bytes of many lists of ids, joined at once."""
+        flat = ids.flatten()
+        if flat.null_count or len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < len(self._bytes):
+            raise ValueError("an id is NULL or not in the vocabulary")
+        tokens = self._bytes.take(flat)
+        if tokens.null_count:
+            raise ValueError("an id is not in the vocabulary")
+        sizes = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        lines = pa.LargeListArray.from_arrays(pa.array(ends), tokens)
+        return pc.binary_join(lines, pa.scalar(b"", pa.large_binary())).cast(pa.binary())
+
 
 class Cache:
     """Results of a function by key: the latest ones and those that were latest before them."""
@@ -159,8 +180,7 @@ class Cache:
                 if len(key) > CACHED_CHARS:
                     return found
             if len(self.young) >= CACHED:
-                self.old = dict(self.young)
-                self.young.clear()
+                self.old, self.young = self.young, {}
             self.young[key] = found
         return found
 
@@ -178,40 +198,16 @@ def _shared(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(ranks.read())
 
 
-def _mapped(df: DataFrame, column: str, more: dict[str, DataType], make) -> DataFrame:
-    """``df`` with the arrays that ``make`` derives from ``column`` in its place, in small batches.
-
-    Columns of ``df`` that have the name of a new one are replaced by it.
-    """
-    names = [c for c in df.columns if c != column and c not in more]
-    df = df.select(*[F.col(f"`{c}`") for c in [*names, column]])
-    schema = StructType([df.schema[c] for c in names] + [StructField(n, t, False) for n, t in more.items()])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(start, ROWS)
-                arrays = [rows.column(rows.schema.get_field_index(c)) for c in names]
-                arrays += make(rows.column(rows.schema.get_field_index(column)))
-                yield pa.RecordBatch.from_arrays(arrays, [*names, *more])
-
-    return df.mapInArrow(run, schema)
-
-
 def encode(df: DataFrame, text: str, path: str, pattern: str, ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
     """``df`` with its ``text`` replaced by the ids, and by the bytes they decode to if asked for."""
     ranks = _shared(df.sparkSession, path)
 
     def make(texts: pa.Array) -> list[pa.Array]:
         own = vocabulary(ranks.value, pattern)
-        found = [own.encode(t or "") for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-        arrays = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))]
-        if decoded:
-            arrays.append(pa.array([own.decode(x) for x in found], pa.binary()))
-        return arrays
+        found = lists([own.packed(t or "") for t in texts.to_pylist()])
+        return [found, own.decode_all(found)] if decoded else [found]
 
-    return _mapped(df, text, {ids: ArrayType(IntegerType())} | ({decoded: BinaryType()} if decoded else {}), make)
+    return mapped(df, text, {ids: ArrayType(IntegerType())} | ({decoded: BinaryType()} if decoded else {}), make)
 
 
 def decode(df: DataFrame, ids: str, path: str, pattern: str, decoded: str = "decoded") -> DataFrame:
@@ -219,10 +215,9 @@ def decode(df: DataFrame, ids: str, path: str, pattern: str, decoded: str = "dec
     ranks = _shared(df.sparkSession, path)
 
     def make(many: pa.Array) -> list[pa.Array]:
-        own = vocabulary(ranks.value, pattern)
-        return [pa.array([own.decode(x or []) for x in many.to_pylist()], pa.binary())]
+        return [vocabulary(ranks.value, pattern).decode_all(many.cast(pa.list_(pa.int32())))]
 
-    return _mapped(df, ids, {decoded: BinaryType()}, make)
+    return mapped(df, ids, {decoded: BinaryType()}, make)
 
 
 def digest(ids: Column) -> Column:
