@@ -10,7 +10,7 @@ which the largest holds as much as all that is outside of them; else the smalles
 holds nearly all.  Of the region every line is kept, whatever its own ratio: nothing is capped.
 Parts that are no text of the page, by element, role, or the words of class and id (menus,
 headers, footers, sidebars, notices, adverts, forms, comments), are left out before; headings in
-the header of an article stay.  The words of class and id do not count for an element that holds
+the header of an article stay, and headings with such a class or id of their own.  The words of class and id do not count for an element that holds
 most of the page's text, nor where all text is in elements so named.
 
 A line has its white space turned into single spaces; lines are joined by line feeds.  A line
@@ -64,7 +64,7 @@ RADIUS = 2  # lines on each side
 THRESHOLD = 0.5  # of the mean smoothed ratio
 NEARLY_ALL = 0.9
 _WEIGHTS = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-RADIUS, RADIUS + 1)]
-_UNFINISHED = re.compile(r"<(?:[A-Za-z/][^<>]*|!--(?:(?!-->).)*|![^<>]*)\Z", re.S)
+_TAG_BEGINS = re.compile("<[A-Za-z/!]")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -90,7 +90,7 @@ class Blocks(HTMLParser):
         self.tags = 0
 
     def read(self, html: str) -> list[tuple[str, int, _Element]]:
-        self.feed(_UNFINISHED.sub("", html))
+        self.feed(_finished(html))
         self.close()
         self.end_line()
         return self.lines
@@ -153,6 +153,17 @@ class Blocks(HTMLParser):
             self.parts.append(data)
 
 
+def _finished(html: str) -> str:
+    """The page up to a comment or tag that its end cuts off, in time linear in the page."""
+    comment = html.find("<!--", max(html.rfind("-->") - 3, 0))
+    if comment >= 0:
+        return html[:comment]
+    tag = html.rfind("<")
+    if tag >= 0 and html.find(">", tag) < 0 and _TAG_BEGINS.match(html, tag):
+        return html[:tag]
+    return html
+
+
 def _names(attrs) -> frozenset[str]:
     words = [w.lower() for k, v in attrs if k in ("class", "id") and v for w in _NAME_PARTS.findall(v)]
     return frozenset(words)
@@ -168,8 +179,10 @@ def _left_out(tag: str, attrs) -> bool:
 
 
 def _named(tag: str, attrs) -> bool:
-    """Whether class or id name what is not the article."""
-    return bool(attrs) and tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(_names(attrs))
+    """Whether class or id name what is not the article.  A heading's only name its section."""
+    if not attrs or tag in ("html", "body", "article", "main") or tag in HEADINGS:
+        return False
+    return not NAMES.isdisjoint(_names(attrs))
 
 
 def _text_lines(lines: list[tuple[str, int, _Element]]) -> list[tuple[str, int, _Element]]:

@@ -8,8 +8,9 @@ joined by interval: a scope is ``SCOPE`` code points long, scopes begin every ha
 each part belongs to the scopes that its beginning lies in.  Two parts whose beginnings are half
 a scope or less apart share one; two that are a scope or more apart share none.
 
-Plan: one scan, no shuffle; everything happens within the row, in time linear in the text (the
-positions are running sums over the pieces between matches).
+Plan: one scan, no shuffle; everything happens within the row.  Positions are running sums over
+the lengths between matches, taken by parts; masked texts are joined from pieces.  The work grows
+with the text and the matches, but for a share of (matches / 256)^2 / 2 copied numbers.
 
 NULL is an empty text and has no spans.  Positions are code points, ends are exclusive.
 """
@@ -38,6 +39,8 @@ SECRETS = (ASSIGN, HEX, "weak_secret")
 ENDPOINTS = ("endpoint",)
 SCOPE = 600
 MASK = "[SECRET]"
+PART = 256  # numbers that are folded in one go
+PIECE = 1024  # code points of a piece of text
 
 _SPANS = "array<struct<start:int,end:int,kind:int>>"
 
@@ -46,40 +49,67 @@ def _none() -> Column:
     return F.array().cast(_SPANS)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(numbers: Column, fold) -> Column:
+    """For each number the fold of those before it, 0 for the first.
+
+    A fold that gathers an array copies it at each step, so the numbers are folded by parts of
+    ``PART``, and the parts' folds are carried on.
+    """
+
+    def steps(some: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            some,
+            start,
+            lambda acc, n: F.struct(
+                fold(acc["at"], n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+            ),
+            lambda acc: acc["out"],
+        )
+
+    def parts(some: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(some) / PART).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(some, k * PART + 1, F.lit(PART)))
+
+    def whole(some: Column) -> Column:
+        firsts = steps(F.transform(some, lambda part: F.aggregate(part, F.lit(0), fold)), F.lit(0))
+        return F.flatten(F.zip_with(some, firsts, steps))
+
+    return _let(numbers, lambda some: _let(parts(some), whole))
+
+
 def _found(text: Column, pattern: str, kind: int, least: int, value_group: int) -> Column:
     """Spans of the matches, in order, whose value has ``least`` characters at least."""
     regex = F.lit(pattern)
     between = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
     value = F.regexp_extract_all(text, regex, F.lit(value_group)) if value_group else whole
-    pieces = F.zip_with(
-        F.slice(between, F.lit(1), F.size(whole)),
+    matches = F.zip_with(
+        between,
         F.zip_with(whole, value, lambda w, v: F.struct(F.length(w).alias("w"), F.length(v).alias("v"))),
         lambda b, m: F.struct(F.length(b).alias("b"), m["w"].alias("w"), m["v"].alias("v")),
     )
-    start = F.struct(F.lit(0).alias("at"), _none().alias("out"))
-    found = F.aggregate(
-        pieces,
-        start,
-        lambda acc, p: F.struct(
-            (acc["at"] + p["b"] + p["w"]).alias("at"),
-            F.when(
-                p["v"] >= least,
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + p["b"]).alias("start"),
-                            (acc["at"] + p["b"] + p["w"]).alias("end"),
-                            F.lit(kind).alias("kind"),
-                        )
-                    ),
+
+    def placed(some: Column) -> Column:
+        ends = _before(F.transform(some, lambda m: m["b"] + F.coalesce(m["w"], F.lit(0))), lambda at, n: at + n)
+        spans = F.zip_with(
+            some,
+            ends,
+            lambda m, at: F.when(
+                m["v"] >= least,
+                F.struct(
+                    (at + m["b"]).alias("start"), (at + m["b"] + m["w"]).alias("end"), F.lit(kind).alias("kind")
                 ),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), found).otherwise(_none())
+            ),
+        )
+        return F.filter(spans, lambda s: s.isNotNull())
+
+    return F.when(text.rlike(pattern), _let(matches, placed)).otherwise(_none())
 
 
 def _of(spans: Column, kinds: tuple[str, ...]) -> Column:
@@ -94,9 +124,19 @@ def _scopes(spans: Column) -> Column:
     return F.array_distinct(F.concat(numbers, F.transform(numbers, lambda n: n - 1)))
 
 
-def _within(scopes: Column, span: Column) -> Column:
-    first = F.floor(span["start"] / (SCOPE // 2)).cast("int")
-    return F.array_contains(scopes, first) | F.array_contains(scopes, first - 1)
+def _steps(numbers: Column) -> Column:
+    """Powers of two up to the size, the largest first."""
+    largest = F.floor(F.log2(F.greatest(F.size(numbers), F.lit(1)))).cast("int")
+    return F.transform(F.sequence(largest, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+
+
+def _within(scopes: Column, steps: Column, span: Column) -> Column:
+    """Whether the span begins in one of the scopes, which are sorted, by bisection."""
+    last = F.floor(span["start"] / (SCOPE // 2)).cast("int")
+    place = F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(F.get(scopes, at + step - 1) <= last, step).otherwise(0)
+    )
+    return F.coalesce(F.get(scopes, place - 1) >= last - 1, F.lit(False))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -117,8 +157,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumn("_secret_scopes", _scopes(_of(F.col("_all"), SECRETS)))
     df = df.withColumn("_other_scopes", _scopes(_of(F.col("_all"), IDENTIFIERS + ENDPOINTS)))
     # Scopes in which parts that complete each other meet.
-    df = df.withColumn("_met", F.array_intersect("_secret_scopes", "_other_scopes"))
-    linked = F.filter("_weak", lambda s: _within(F.col("_met"), s))
+    df = df.withColumn("_met", F.sort_array(F.array_intersect("_secret_scopes", "_other_scopes")))
+    df = df.withColumn("_steps", _steps(F.col("_met")))
+    linked = F.filter("_weak", lambda s: _within(F.col("_met"), F.col("_steps"), s))
     return df.withColumn("spans", F.when(F.size("_met") > 0, F.array_sort(F.concat("base", linked))).otherwise(F.col("base"))).select(
         "_row", "_text", "base", "spans"
     )
@@ -137,21 +178,30 @@ def described(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with ``MASK`` for each run of spans that overlap or touch."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    parts = F.aggregate(
-        spans,
-        start,
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                (s["start"] > acc["at"]) | (F.size(acc["out"]) == 0),
-                F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))))),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))),
+    """The text with ``MASK`` for each run of spans that overlap or touch.
+
+    The text is cut into pieces of ``PIECE`` code points once, and what stays between the runs is
+    put together from these.
+    """
+
+    def cut(pieces: Column, start: Column, end: Column) -> Column:
+        first, last = (F.floor(at / PIECE).cast("int") for at in (start, end))
+        return F.substring(
+            F.array_join(F.slice(pieces, first + 1, last - first + 1), ""), start % PIECE + 1, end - start
+        )
+
+    def kept(some: Column) -> Column:
+        furthest = _before(F.transform(some, lambda s: s["end"]), lambda at, n: F.greatest(at, n))
+        gaps = F.zip_with(some, furthest, lambda s, at: F.struct(at.alias("start"), s["start"].alias("end")))
+        end = F.struct(F.array_max(F.transform(some, lambda s: s["end"])).alias("start"), F.length(text).alias("end"))
+        gaps = F.filter(gaps, lambda gap, k: (gap["end"] > gap["start"]) | (k == 0))
+        return F.concat(gaps, F.array(end))
+
+    whole = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return _let(
+        whole,
+        lambda pieces: F.array_join(F.transform(kept(spans), lambda gap: cut(pieces, gap["start"], gap["end"])), MASK),
     )
-    return F.array_join(parts, MASK)
 
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:

@@ -1,5 +1,7 @@
 import html as entities
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +91,20 @@ def test_named_wrappers_of_the_page(name):
     assert lines_of(f"<div class='{name}'><h1>Title</h1>{LONG * 2}</p>{side}</div><p class=ad>Buy") == want
     assert lines_of(f"<span id={name}><h1>Title</h1>{LONG * 2}</span>") == want
     assert main_text(f"<p class={name}>One</p><p class={name}>Two</p>") == "One\nTwo"
+
+
+def test_headings_with_names_of_their_own_stay():
+    page = f"<article><h2 id='related-work'>Related work</h2>{LONG}</p><h2 id=login>Login</h2>{LONG}</p></article>"
+    assert lines_of(page) == ["Related work", LONG[3:].strip(), "Login", LONG[3:].strip()]
+    assert lines_of(f"<article>{LONG}</p><div class=related><h3>Related</h3><p>More</div></article>") == [LONG[3:].strip()]
+
+
+def test_cut_of_an_unfinished_end():
+    pattern = re.compile(r"<(?:[A-Za-z/][^<>]*|!--(?:(?!-->).)*|![^<>]*)\Z", re.S)
+    r = random.Random(3)
+    for _ in range(20_000):
+        page = "".join(r.choice(["<", ">", "!", "--", "-", "a", "/", " ", "\n", "<!--", "-->"]) for _ in range(r.randint(0, 12)))
+        assert html_extract._finished(page) == pattern.sub("", page), page
+    begun = time.monotonic()
+    assert main_text("<p>a</p>" + "<!-- b " * 150_000) == "a"
+    assert time.monotonic() - begun < 5
