@@ -10,8 +10,18 @@ UNIT = 10_000
 
 
 def money_units(amount: Column) -> Column:
-    """Amounts as whole numbers of units, whose sums do not depend on the order of addition."""
-    return F.round(amount * UNIT).cast("bigint")
+    """Amounts as whole numbers of units, whose sums do not depend on the order of addition.
+
+    NULL for NaN and infinities.
+    """
+    finite = F.abs(amount.cast("double")) < float("inf")  # NaN is above all numbers
+    return F.when(finite, F.round(amount * UNIT)).cast("bigint")
+
+
+def not_finite(amount: Column) -> Column:
+    """NaN and infinities; NULL for all other amounts."""
+    number = amount.cast("double")
+    return F.when(F.abs(number) >= float("inf"), number)
 
 
 def money_of(units: Column) -> Column:
@@ -20,8 +30,11 @@ def money_of(units: Column) -> Column:
 
 
 def money_sum(amount: Column) -> Column:
-    """Sum to the cent, the same for any order and partitioning."""
-    return money_of(F.sum(money_units(amount)))
+    """Sum to the cent, the same for any order and partitioning.
+
+    It is NaN if an amount is, or if there are infinities of both signs; an infinity else if there is one.
+    """
+    return F.coalesce(F.sum(not_finite(amount)), money_of(F.sum(money_units(amount))))
 
 
 def share_pct(part: Column, whole: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siltline.functions.numeric import money_of, money_units
+from siltline.functions.numeric import money_of, money_units, not_finite
 
 
 def constraint_violations(dim: DataFrame, key: str, not_null: Sequence[str] = ()) -> DataFrame:
@@ -50,10 +50,13 @@ def revenue_by_attributes(
     keys that share them are merged.
     """
     by = [fact_key] if time_key is None else [time_key.alias("time_key"), fact_key]
-    partial = fact.groupBy(*by).agg(F.sum(money_units(F.col(amount))).alias("amount"))
+    partial = fact.groupBy(*by).agg(
+        F.sum(money_units(F.col(amount))).alias("amount"), F.sum(not_finite(F.col(amount))).alias("not_finite")
+    )
     names = dim.select(
         F.col(dim_key).alias("dim_key"), *[F.col(c).alias(n) for c, n in attributes.items()]
     )
     joined = partial.join(names, F.col(fact_key) == F.col("dim_key"))
     group = [*([] if time_key is None else ["time_key"]), *attributes.values()]
-    return joined.groupBy(*group).agg(money_of(F.sum("amount")).alias(revenue))
+    total = F.coalesce(F.sum("not_finite"), money_of(F.sum("amount")))
+    return joined.groupBy(*group).agg(total.alias(revenue))

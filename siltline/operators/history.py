@@ -8,16 +8,23 @@ rows of an entity without ties.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from siltline import scratch
+
 # Rows of one entity that may be sorted in one task.
 ROWS_PER_CHUNK = 4_000_000
 # Rows of the sample that the borders of chunks are taken from, for each chunk.
 CUT_SAMPLE = 200
 # Up to this n, the rows kept per entity and scan task can be ranked in one round.
 SINGLE_ROUND_N = 32
+# The borders of entities are broadcast up to this size; one takes BORDER_BYTES and the text of its keys.
+BROADCAST_BYTES = 64 * 1024 * 1024
+BORDER_BYTES = 128
 
 
 def in_range(
@@ -75,6 +82,45 @@ def last_n(
     )
 
 
+def last_n_by_bucket(
+    history: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, bucket: Column
+) -> DataFrame:
+    """The n newest rows of every entity by ``order`` (latest first, no ties), for a large n.
+
+    ``bucket`` never falls as ``order[0]`` grows: the hour of a time, say, and NULL where that is.
+    Rows are counted per entity and bucket; running sums, newest first, give the bucket that the
+    n-th row is in.  Newer buckets are kept as they are, without a shuffle, and only the rows of that
+    one bucket are ranked.  A task meets the rows of one entity and bucket, and a count for each
+    bucket of an entity, whatever n is.  The borders are written when this is called.
+    """
+    if n < 1:
+        return history.filter(F.lit(False))
+    spark, rows = history.sparkSession, history.withColumn("_bucket", bucket)
+    counts = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+    so_far = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("_bucket"))
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    above = F.col("_so_far") - F.col("_n")
+    path = scratch.new_path(spark, "borders")
+    counts.withColumn("_so_far", F.sum("_n").over(so_far)).filter((above < n) & (F.col("_so_far") >= n)).select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_bucket").alias("_border"), (n - above).alias("_need")
+    ).write.parquet(path)
+    borders = spark.read.parquet(path)
+
+    text = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"_of_{k}").cast("string")), F.lit(0)) for k in keys])
+    size = borders.agg(F.coalesce(F.sum(text + BORDER_BYTES), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        borders = F.broadcast(borders)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    joined = rows.join(borders, same, "left")
+    at, border, need = F.col("_bucket"), F.col("_border"), F.col("_need")
+    newer = need.isNull() | F.coalesce(at > border, at.isNotNull() & border.isNull())
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order]))
+    ranked = joined.filter(need.isNotNull() & at.eqNullSafe(border)).withColumn("_rank", rank)
+    return joined.filter(newer).select(*history.columns).unionByName(
+        ranked.filter(F.col("_rank") <= need).select(*history.columns)
+    )
+
+
 def entity_history(
     history: DataFrame,
     entity: Column,

@@ -14,6 +14,8 @@ from siltline.sources import files
 # The offsets of the files are broadcast up to this size; a file takes about OFFSET_BYTES of it.
 BROADCAST_BYTES = 512 * 1024 * 1024
 OFFSET_BYTES = 400
+# A key set is broadcast up to this size.
+KEY_SET_BYTES = 8 * 1024 * 1024
 
 
 def number_by_file(
@@ -124,8 +126,13 @@ def sample_keys(df: DataFrame, key: str, k: int = 50) -> DataFrame:
 def count_in_key_set(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """How many rows of ``df`` have one of the keys; repeated keys count once.
 
-    Rows are counted per key before the join, so a frequent key is one row there.
+    A key set of up to ``KEY_SET_BYTES`` by Spark's estimate is broadcast and the other rows dropped
+    where they are read.  For a larger one rows are counted per key before the join, so a frequent
+    key is one row there.
     """
+    if int(keys.select(key)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= KEY_SET_BYTES:
+        hits = df.select(key).join(F.broadcast(keys.select(key)), key, "left_semi")
+        return hits.agg(F.count("*").alias("count"))
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
     hits = counts.join(keys.select(key).distinct(), key, "left_semi")
     return hits.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))

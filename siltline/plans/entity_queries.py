@@ -119,6 +119,14 @@ def last_n_per_entity(spark, sf):
     return rows.select("tenant", "entity_id", "patch_id", "time_index")
 
 
+def last_n_bucketed(spark, sf):
+    """The newest 25 events of each tenant and type, by hour."""
+    events = inputs.table(spark, sf, "events").select(
+        inputs.tenant().alias("tenant"), "event_type", "ts", "event_id"
+    )
+    return H.last_n_by_bucket(events, ["tenant", "event_type"], ["ts", "event_id"], 25, F.date_trunc("hour", "ts"))
+
+
 def history_range(spark, sf):
     rows = H.in_range(
         inputs.history(spark, sf), "time_index",
@@ -240,6 +248,7 @@ QUERIES = {
         history_forward_fill,
         last_n_per_entity,
         history_range,
+        last_n_bucketed,
         history_page,
         entity_series,
         subscription_filter,
@@ -338,6 +347,9 @@ ORACLES = {
         SELECT tenant, entity_id, patch_id, time_index FROM ({_HISTORY})
         QUALIFY row_number() OVER (PARTITION BY tenant, entity_id
                                    ORDER BY time_index DESC, patch_id DESC) <= 10""",
+    "last_n_bucketed": """
+        SELECT 't' || (user_id % 3) AS tenant, event_type, ts, event_id FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id % 3, event_type ORDER BY ts DESC, event_id DESC) <= 25""",
     "history_range": f"""
         SELECT tenant, entity_id, patch_id, time_index FROM ({_HISTORY})
         WHERE time_index BETWEEN TIMESTAMP '{FROM}' AND TIMESTAMP '{TO}'""",

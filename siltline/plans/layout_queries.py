@@ -43,6 +43,14 @@ def compact_files(spark, sf):
     return layouts.compact(spark, scan, files.total_bytes(spark, root), path)
 
 
+def compact_by_size(spark, sf):
+    """Two runs over the monthly files; the second one has nothing to write."""
+    root, path = monthly_orders(spark, sf), scratch.new_path(spark, "packed")
+    target = max(1, files.total_bytes(spark, root) // 3)
+    layouts.compact_small(spark, root, path, target)
+    return layouts.compact_small(spark, root, path, target)
+
+
 def compaction_report(spark, sf):
     """Rows of each month's files that are compacted, and of all under a NULL month."""
     report = layouts.compaction_report(files.scan_tree(spark, monthly_orders(spark, sf)))
@@ -161,6 +169,7 @@ QUERIES = {
         month_from_path,
         compact_files,
         compact_merged,
+        compact_by_size,
         compaction_report,
         convert_format,
         conversion_status,
@@ -189,7 +198,7 @@ ORACLES = {
         name: "SELECT * FROM orders"
         for name in (
             "scan_single_file", "scan_file_list", "scan_glob", "scan_recursive", "compact_files",
-            "write_if_absent", "raw_landing", "concat_frames",
+            "write_if_absent", "raw_landing", "concat_frames", "compact_by_size",
         )
     },
     "compact_merged": """

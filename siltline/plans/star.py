@@ -6,6 +6,7 @@ The same three queries serve one store and federation: they take DataFrames, and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -168,3 +169,51 @@ def load_capped(
         first += spark.read.parquet(path).agg(F.coalesce(F.max("trip_id"), F.lit(0))).first()[0]
     append_chunked(number_by_file(scan, "trip_id", first, limit), path, chunk)
     return spark.read.parquet(path)
+
+
+def finished_loads(spark: SparkSession, path: str) -> list[str]:
+    """Names of the loads below ``path`` that have come to their end, in their order."""
+    markers = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/load=*/_SUCCESS")
+    found = markers.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(markers)
+    return sorted(f.getPath().getParent().getName().removeprefix("load=") for f in found or ())
+
+
+def read_loads(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all finished loads, with the name of the ``load``."""
+    loads = [f"{path}/load={name}" for name in finished_loads(spark, path)]
+    name = F.regexp_extract(files.file_path(), r"/load=([^/]+)/[^/]*$", 1)
+    return files.scan_files(spark, loads).withColumn("load", name)
+
+
+def load_batch(
+    spark: SparkSession,
+    scan: DataFrame,
+    path: str,
+    load: str,
+    limit: int | None = None,
+    chunk: int = LOAD_CHUNK,
+) -> DataFrame:
+    """Load the first ``limit`` rows in file order as the load of that name; a load may run again.
+
+    Each load has a folder of its own, which a repeated run replaces; one that died is not read.
+    Loads are in the order of their names, and numbers go on from the loads before.  So a load runs
+    again with the numbers it had, and is refused, before anything is written, if its rows do not
+    fit between those of its neighbours.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", load):
+        raise ValueError(f"{load!r} cannot name a load: letters, digits, dots, dashes and underscores can")
+
+    def numbered(names: list[str], pick) -> int | None:
+        paths = [f"{path}/load={name}" for name in names]
+        return spark.read.parquet(*paths).agg(pick("trip_id")).first()[0] if paths else None
+
+    done = finished_loads(spark, path)
+    first = 1 + (numbered([name for name in done if name < load], F.max) or 0)
+    after = numbered([name for name in done if name > load], F.min)
+    if after is not None:
+        n_rows = scan.count() if limit is None else min(scan.count(), limit)
+        if first + n_rows != after:
+            raise ValueError(f"load {load} has {n_rows} rows, and there are {after - first} numbers before the next one")
+    rows = number_by_file(scan, "trip_id", first, limit)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", chunk).parquet(f"{path}/load={load}")
+    return read_loads(spark, path)

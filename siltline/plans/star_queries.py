@@ -130,6 +130,14 @@ def second_load(spark, sf):
     return star.load_capped(spark, orders, path).select("trip_id", "o_orderkey")
 
 
+def repeated_load(spark, sf):
+    """Three loads of the orders, of which the second one runs twice."""
+    path, orders = scratch.new_path(spark, "loads"), table(spark, sf, "orders")
+    for load, limit in (("a", CAP), ("b", CAP // 2), ("c", None)):
+        star.load_batch(spark, orders, path, load, limit)
+    return star.load_batch(spark, orders, path, "b", CAP // 2).select("load", "trip_id", "o_orderkey")
+
+
 def dense_surrogate_key(spark, sf):
     orders = table(spark, sf, "orders")
     size = files.scan_bytes(orders)
@@ -283,6 +291,7 @@ QUERIES = {
         star_fact_layouts,
         star_dim_load,
         capped_load,
+        repeated_load,
         second_load,
         dense_surrogate_key,
         raw_to_silver,
@@ -349,6 +358,12 @@ ORACLES = {
         SELECT n AS trip_id, o_orderkey FROM o WHERE n <= 1000
         UNION ALL
         SELECT n + least(1000, (SELECT count(*) FROM o)) AS trip_id, o_orderkey FROM o""",
+    "repeated_load": """
+        WITH o AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS n, o_orderkey FROM orders),
+        size AS (SELECT least(1000, count(*)) AS a, least(500, count(*)) AS b FROM o)
+        SELECT 'a' AS load, n AS trip_id, o_orderkey FROM o WHERE n <= 1000
+        UNION ALL SELECT 'b', n + a, o_orderkey FROM o, size WHERE n <= 500
+        UNION ALL SELECT 'c', n + a + b, o_orderkey FROM o, size""",
     "dense_surrogate_key": """
         SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS trip_id,
                o_orderkey, o_orderdate

@@ -27,6 +27,26 @@ def payment_type_revenue(spark, sf):
     return trips.count_and_revenue(lines, "payment_type", "l_extendedprice")
 
 
+def revenue_not_finite(spark, sf):
+    """Revenue by priority, where urgent orders have NaN for some amounts and high ones an infinity."""
+    odd = F.col("o_orderkey") % 2 == 0
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("priority"),
+        F.when(odd & (F.col("o_orderpriority") == "1-URGENT"), float("nan"))
+        .when(odd & (F.col("o_orderpriority") == "2-HIGH"), float("inf"))
+        .otherwise(F.col("o_totalprice"))
+        .alias("amount"),
+    )
+    total = F.col("total_revenue")
+    return trips.count_and_revenue(orders, "priority", "amount").select(
+        "priority",
+        "count",
+        F.isnan(total).alias("is_nan"),
+        (total == float("inf")).alias("is_infinite"),
+        F.when(total < float("inf"), total).alias("total_revenue"),
+    )
+
+
 def passenger_distribution(spark, sf):
     return trips.distribution(_passengers(spark, sf), "passenger_count")
 
@@ -67,6 +87,7 @@ QUERIES = {
         trips_by_day_of_week,
         weekday_ordered,
         payment_type_revenue,
+        revenue_not_finite,
         passenger_distribution,
         passenger_distribution_clean,
         monthly_fee_impact,
@@ -90,6 +111,17 @@ ORACLES = {
         SELECT l_returnflag AS payment_type, count(*) AS count,
                round(sum(l_extendedprice), 2) AS total_revenue
         FROM lineitem GROUP BY 1 ORDER BY 1""",
+    "revenue_not_finite": """
+        WITH sums AS (
+            SELECT o_orderpriority AS priority, count(*) AS count,
+                   round(sum(CASE WHEN o_orderkey % 2 = 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0
+                                  ELSE o_totalprice END), 2) AS total,
+                   bool_or(o_orderkey % 2 = 0 AND o_orderpriority = '1-URGENT') AS is_nan,
+                   bool_or(o_orderkey % 2 = 0 AND o_orderpriority = '2-HIGH') AS is_infinite
+            FROM orders GROUP BY 1)
+        SELECT priority, count, is_nan, is_infinite,
+               CASE WHEN NOT is_nan AND NOT is_infinite THEN total END AS total_revenue
+        FROM sums""",
     "passenger_distribution": """
         SELECT nullif(l_linenumber, 7) AS passenger_count, count(*) AS trip_count
         FROM lineitem GROUP BY 1 ORDER BY 1 NULLS FIRST""",

@@ -7,6 +7,7 @@ too large), clustered writes range-partition on a unique last key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +17,9 @@ from siltline.sources import files
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 # Input bytes per range of a clustered write.
 RANGE_BYTES = 256 * 1024 * 1024
+# Table of the files that are compacted, beside the compacted ones.
+COMPACTED = "_compacted"
+_COMPACTED_TYPES = "run string, path string, length bigint"
 
 
 def finished(spark: SparkSession, path: str) -> bool:
@@ -97,6 +101,73 @@ def compact(
     return spark.read.parquet(path)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _compacted(spark: SparkSession, path: str) -> DataFrame:
+    place, system = _hadoop_path(spark, f"{path}/{COMPACTED}")
+    if not system.exists(place):
+        return spark.createDataFrame([], _COMPACTED_TYPES)
+    return spark.read.schema(_COMPACTED_TYPES).parquet(f"{path}/{COMPACTED}")
+
+
+def _packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    """A session like this one whose scans put whole files into tasks of up to ``target_bytes``."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    session.conf.unset("spark.sql.files.maxPartitionNum")
+    return session
+
+
+def compact_small(
+    spark: SparkSession,
+    root: str,
+    path: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    fmt: str = "parquet",
+    merge: bool = False,
+) -> DataFrame:
+    """Join the small files below ``root`` by size, and read all rows in as few files.
+
+    Files of half the target or more stay where they are and are not read.  The others are packed
+    by Spark's own scan, whole and the largest first, into tasks that write a file each: the sources
+    of a file have the target at most, and all but the last more than half of it.  Nothing is
+    shuffled.  What was compacted is entered in a table beside the new files when they are complete,
+    so a run without new small files, or with less than half a target of them, writes nothing, and
+    what a run that died left behind is not read.  Sources are not deleted; one that was entered and
+    has another size now is refused.  ``path`` must not lie below ``root``.
+    """
+    inner, outer = (str(system.makeQualified(p)) for p, system in (_hadoop_path(spark, x) for x in (path, root)))
+    if f"{inner}/".startswith(f"{outer}/"):
+        raise ValueError("the compacted files would be found among the sources")
+    found = files.file_sizes(spark, root)
+    entered = _compacted(spark, path)
+    known = entered.select("path", F.col("length").alias("entered"))
+    if not found.join(known, "path").where("length <> entered").isEmpty():
+        raise ValueError("a source was changed after it was compacted")
+    rest = found.join(known, "path", "left_anti").collect()  # a row per file
+    small = sorted((r.path, r.length) for r in rest if 2 * r.length < target_bytes)
+    if len(small) > 1 and 2 * sum(length for _, length in small) >= target_bytes:
+        run = uuid.uuid4().hex
+        session = _packing_session(spark, target_bytes)
+        scan = files.scan_files(session, [p for p, _ in small], fmt, merge)
+        scan.write.format(fmt).save(f"{path}/{run}")
+        done = spark.createDataFrame([(run, p, length) for p, length in small], _COMPACTED_TYPES)
+        done.coalesce(1).write.mode("append").parquet(f"{path}/{COMPACTED}")
+        taken = {p for p, _ in small}
+        rest = [r for r in rest if r.path not in taken]
+    runs = sorted(r.run for r in _compacted(spark, path).select("run").distinct().collect())
+    new = [r.path for run in runs for r in files.file_sizes(spark, f"{path}/{run}").select("path").collect()]
+    return files.scan_files(spark, sorted([*[r.path for r in rest], *new]), fmt, merge)
+
+
 def compaction_report(scan: DataFrame) -> DataFrame:
     """Rows of each input file, and of all of them under a NULL path."""
     return (

@@ -274,3 +274,17 @@ def test_a_frequent_key_is_split_when_the_dimension_is_large(spark, path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_money_that_is_no_number(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", 1.25), ("a", None), ("b", nan), ("b", 2.0), ("c", inf), ("c", 1.0), ("d", -inf), ("e", inf), ("e", -inf), ("f", None), ("g", inf), ("g", nan)]
+    fact = spark.createDataFrame([(k, x) for k, x in rows], "k string, x double")
+    dim = spark.createDataFrame([(k, k) for k in "abcdefg"], "id string, name string")
+    want = {"a": "1.25", "b": "NaN", "c": "Infinity", "d": "-Infinity", "e": "NaN", "f": None, "g": "NaN"}
+    sums = fact.groupBy("k").agg(money_sum(F.col("x")).alias("s"))
+    assert {r.k: r.s for r in sums.select("k", F.col("s").cast("string").alias("s")).collect()} == want
+    by = dimensions.revenue_by_attributes(fact, dim, "k", "id", {"name": "name"}, "x")
+    assert {r.name: r.s for r in by.select("name", F.col("total_revenue").cast("string").alias("s")).collect()} == want
+    exact = fact.select(F.lit(3).alias("n"), F.lit("1.10").cast("decimal(10,2)").alias("d"))
+    assert exact.agg(money_sum(F.col("n")), money_sum(F.col("d"))).first()[:] == (36.0, 13.2)

@@ -138,3 +138,39 @@ def test_run_statistics(spark):
     assert runstats.pivot_methods(stats).columns == ["analysis", "x", "y"]
     pivot = runstats.pivot_methods(stats, ["x", "y"])
     assert sorted(map(tuple, pivot.collect())) == [("q1", 2.0, 2.0), ("q2", None, 5.0), ("q3", None, None)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 600, 100_000])
+@pytest.mark.parametrize("unit", ["minute", "hour", "year"])
+def test_last_n_by_bucket(df, data, n, unit):
+    """Also with NULL times, which are the oldest."""
+    rows = [*data, *[("hot", 10**6 + k, None, 0.5, None) for k in range(30)], ("old", 10**7, None, None, None)]
+    more = df.sparkSession.createDataFrame(rows, SCHEMA).repartition(5)
+    got = H.last_n_by_bucket(more, ["entity"], ["time", "seq"], n, F.date_trunc(unit, "time"))
+    per_entity = {}
+    for row in sorted(rows, key=lambda r: (r[2] or dt.datetime.min, r[1]), reverse=True):
+        per_entity.setdefault(row[0], []).append(row)
+    want = [row for some in per_entity.values() for row in some[:n]]
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == sorted(want, key=lambda r: r[1])
+
+
+def test_only_rows_of_one_bucket_are_ranked(spark, path):
+    """A third of 300,000 rows is of one entity; its newest 50,000 are asked for."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("e"), F.col("id") % 1000))
+    time = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    spark.range(0, 300_000, 1, 6).select("id", key.alias("entity"), time.alias("time")).write.parquet(path + "/t")
+    rows = spark.read.parquet(path + "/t")
+    got = H.last_n_by_bucket(rows, ["entity"], ["time", "id"], 50_000, F.date_trunc("minute", "time"))
+    assert got.filter("entity = 'hot'").agg(F.count("*"), F.min("id")).first()[:] == (50_000, 150_000)
+    assert got.filter("entity <> 'hot'").count() == 200_000
+    text = plan(got)
+    assert text.count("Window ") == 1 and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        again = H.last_n_by_bucket(rows, ["entity"], ["time", "id"], 50_000, F.date_trunc("minute", "time"))
+        assert plan(again).count("Exchange hashpartitioning") == 1
+        ranked = again._jdf.queryExecution().optimizedPlan().children().apply(1).children().head()
+        assert "_rank" in ranked.toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -122,3 +124,68 @@ def test_capped_load_writes_chunks(spark, path):
     loaded = star.load_capped(spark, scan, path + "/out", limit=300, chunk=50)
     assert loaded.count() == 300
     assert max(r.n_rows for r in files.rows_per_file(loaded).collect()) <= 50
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("load", "trip_id", "id").collect()))
+
+
+def test_a_load_may_run_again(spark, path):
+    spark.range(0, 10, 1, 2).write.parquet(path + "/t")
+    scan, out = spark.read.parquet(path + "/t"), path + "/out"
+    assert rows_of(star.load_batch(spark, scan, out, "01", limit=7)) == [("01", k + 1, k) for k in range(7)]
+    star.load_batch(spark, scan, out, "02", limit=0)
+    whole = rows_of(star.load_batch(spark, scan, out, "03", chunk=3))
+    assert whole == [*[("01", k + 1, k) for k in range(7)], *[("03", k + 8, k) for k in range(10)]]
+    for name, limit in (("03", None), ("01", 7), ("02", 0)):
+        assert rows_of(star.load_batch(spark, scan, out, name, limit)) == whole
+    for name, limit in (("01", 8), ("01", 6), ("02", 1), ("00", 1)):
+        with pytest.raises(ValueError):
+            star.load_batch(spark, scan, out, name, limit)
+    assert rows_of(star.read_loads(spark, out)) == whole
+    with pytest.raises(ValueError):
+        star.load_batch(spark, scan, out, "a/b")
+
+
+def test_a_load_that_died_is_not_read_and_runs_again(spark, path):
+    spark.range(0, 10, 1, 2).write.parquet(path + "/t")
+    scan, out = spark.read.parquet(path + "/t"), path + "/out"
+    with pytest.raises(ValueError):
+        star.read_loads(spark, out)
+    whole = [rows_of(star.load_batch(spark, scan, out, name)) for name in "abc"][-1]
+    for name in "ab":
+        os.remove(f"{out}/load={name}/_SUCCESS")
+    assert [r[0] for r in rows_of(star.read_loads(spark, out))] == ["c"] * 10
+    with pytest.raises(ValueError):
+        star.load_batch(spark, scan, out, "b")  # its first number is not known without a
+    spark.range(5).write.mode("append").parquet(f"{out}/load=a")  # part of a run that died
+    os.remove(f"{out}/load=a/_SUCCESS")
+    with pytest.raises(ValueError):
+        star.load_batch(spark, scan, out, "a")
+    os.remove(f"{out}/load=c/_SUCCESS")
+    for name in "ab":
+        star.load_batch(spark, scan, out, name)
+    assert rows_of(star.load_batch(spark, scan, out, "c")) == whole
+
+
+def test_a_small_key_set_is_looked_up_where_rows_are_read(spark, path):
+    spark.range(0, 50_000, 1, 4).select((F.col("id") % 700).alias("k"), F.lit("x").alias("y")).write.parquet(path + "/t")
+    rows = spark.read.parquet(path + "/t")
+    wanted = keys.sample_keys(rows, "k", 5)
+    want = rows.filter(F.col("k").isin([r.k for r in wanted.collect()])).count()
+    found = keys.count_in_key_set(rows, "k", wanted)
+    assert found.first()[0] == want and "BroadcastHashJoin" in plan(found)
+    twice = spark.createDataFrame([(1,), (1,), (None,), (10**6,)], "k long")
+    assert keys.count_in_key_set(rows, "k", twice).first()[0] == rows.filter("k = 1").count()
+    assert keys.count_in_key_set(rows, "k", twice.filter("k < 0")).first()[0] == 0
+
+
+def test_both_ways_of_a_key_set_agree(spark, path, monkeypatch):
+    spark.range(0, 9000, 1, 4).select((F.col("id") % 70).alias("k")).write.parquet(path + "/t")
+    rows = spark.read.parquet(path + "/t")
+    asked = rows.filter("k % 3 = 0")
+    small = keys.count_in_key_set(rows, "k", asked).first()[0]
+    monkeypatch.setattr(keys, "KEY_SET_BYTES", 0)
+    large = keys.count_in_key_set(rows, "k", asked)
+    assert large.first()[0] == small == asked.count()
+    assert "LeftSemi" in plan(large)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -268,3 +270,63 @@ def test_jdbc_catalog_settings(spark):
     assert spark.conf.get("spark.sql.catalog.pgtest.driver") == "org.x.Driver"
     assert spark.conf.get("spark.sql.catalog.pgtest.user") == "u"
     assert spark.conf.get("spark.sql.catalog.pgtest") == catalogs.JDBC_CATALOG
+
+
+def file_lengths(spark, root):
+    return {r.path: r.length for r in files.file_sizes(spark, root).collect()}
+
+
+def test_compaction_by_size(spark, path):
+    root, out = path + "/in", path + "/out"
+    for k in range(24):
+        spark.range(1000 * k, 1000 * k + 50 * (k + 1), 1, 1).write.parquet(f"{root}/{k}")
+    spark.range(10**6, 10**6 + 40_000, 1, 1).write.parquet(root + "/large")
+    want = sorted(r.id for r in files.scan_tree(spark, root).collect())
+    sources = file_lengths(spark, root)
+    target = 2 * sorted(sources.values())[-2] + 1000
+    small = [n for n in sources.values() if 2 * n < target]
+    assert len(small) == 24 and sum(small) > 4 * target
+
+    def run():
+        got = layouts.compact_small(spark, root, out, target)
+        assert sorted(r.id for r in got.collect()) == want
+        return got.inputFiles()
+
+    read = run()
+    written = file_lengths(spark, out)
+    n_new = len([p for p in written if layouts.COMPACTED not in p])
+    # All but one new file have more than half the target of sources, and none more than the target.
+    assert sum(small) / target <= n_new <= 2 * sum(small) / target + 1
+    assert len(read) == n_new + 1 and file_lengths(spark, root) == sources
+    groups = spark.read.parquet(f"{out}/{layouts.COMPACTED}").collect()
+    assert {g.path for g in groups} == {p for p, n in sources.items() if 2 * n < target}
+    assert run() == read and file_lengths(spark, out) == written
+
+    spark.range(5000, 5003, 1, 1).write.parquet(root + "/late")  # too little for a file
+    want = sorted([*want, 5000, 5001, 5002])
+    assert len(run()) == len(read) + 1 and file_lengths(spark, out) == written
+    spark.range(7).write.parquet(out + "/died-half-way")
+    run()
+    spark.range(9000, 9000 + 11 * 900, 1, 11).write.parquet(root + "/later")
+    want = sorted([*want, *range(9000, 9000 + 11 * 900)])
+    assert len(run()) < len(read) + 12
+
+
+def test_compaction_refuses_what_it_cannot_tell(spark, path):
+    root, out = path + "/in", path + "/out"
+    spark.range(0, 4000, 1, 8).write.parquet(root)
+    size = sum(file_lengths(spark, root).values())
+    with pytest.raises(ValueError):
+        layouts.compact_small(spark, root, root + "/out", size)
+    assert layouts.compact_small(spark, root, out, size).count() == 4000
+    name = next(iter(file_lengths(spark, root))).removeprefix("file:")
+    name = "/" + name.lstrip("/")
+    spark.range(9, 30, 1, 1).write.parquet(path + "/other")
+    other = next(p for p in os.listdir(path + "/other") if p.endswith(".parquet"))
+    with open(f"{path}/other/{other}", "rb") as new, open(name, "wb") as old:
+        old.write(new.read())
+    crc = os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    with pytest.raises(ValueError):
+        layouts.compact_small(spark, root, out, size)
