@@ -149,6 +149,8 @@ def _with_chunk(history: DataFrame, seq: str, n_rows: int, chunks: int) -> DataF
     sample = history.filter(F.pmod(F.xxhash64(seq), F.lit(every)) == 0)
     points = [i / chunks for i in range(1, chunks)]
     cuts = sample.agg(F.percentile_approx(seq, points, 10 * chunks)).first()[0] or []
+    if not cuts:  # the sample met no row: one chunk
+        return history.withColumn("_chunk", F.lit(0.0))
     splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     return Bucketizer(splits=splits, inputCol=seq, outputCol="_chunk").transform(history)
 

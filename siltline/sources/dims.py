@@ -29,6 +29,7 @@ PAYMENT_TYPES = [
     (6, "Voided trip"),
 ]
 
+# The columns of the zone file, and their names here.
 ZONE_FILE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
 ZONE_COLUMNS = {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
 

@@ -174,3 +174,12 @@ def test_only_rows_of_one_bucket_are_ranked(spark, path):
         assert "_rank" in ranked.toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def test_chunks_without_a_sample(df, data, monkeypatch):
+    """Where no row falls into the sample, all rows are one chunk."""
+    monkeypatch.setattr(H, "CUT_SAMPLE", 1e-9)
+    chunked = H._with_chunk(df, "seq", len(data), 2)
+    assert {r[0] for r in chunked.select("_chunk").distinct().collect()} == {0.0}
+    got = H.forward_fill(df, ["entity"], "seq", ["a", "b"], 1_500)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == filled(data)
