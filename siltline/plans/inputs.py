@@ -105,12 +105,23 @@ def history(spark: SparkSession, sf_dir: str, user: int | None = None) -> DataFr
 
 
 def patch_folder(spark: SparkSession, sf_dir: str, batches: int = 4) -> tuple[str, int]:
-    """Folder with the patches as files to stream, and files per micro-batch."""
+    """Folder with the patches as files to stream, and files per micro-batch.
+
+    A stream takes files in the order of their age, and streams of entities take a patch that comes
+    after newer ones for a late one.  So the patches of a micro-batch are written before those of the
+    next; the tasks of one job end in any order.
+    """
     size = files.total_bytes(spark, f"{sf_dir}/events.parquet")
-    n_files = max(batches, -(-size // PATCH_FILE_BYTES))
+    per_batch = max(1, -(-size // (batches * PATCH_FILE_BYTES)))
 
     def write(path: str) -> None:
-        events = table(spark, sf_dir, "events").repartitionByRange(n_files, "event_id")
-        patches_of(events).write.parquet(path)
-
-    return scratch.write_once(spark, "patches", sf_dir, write), -(-n_files // batches)
+        events = table(spark, sf_dir, "events")
+        shares = [k / batches for k in range(1, batches)]
+        borders = events.agg(F.percentile_approx("event_id", shares)).first()[0] or []
+        number = F.coalesce(F.col("event_id"), F.lit(-(2**63)))
+        for low, high in zip([None, *borders], [*borders, None]):
+            some = events if low is None else events.filter(number > low)
+            some = some if high is None else some.filter(number <= high)
+            patches_of(some).repartition(per_batch).write.mode("append").parquet(path)
+
+    return scratch.write_once(spark, "patches", sf_dir, write), per_batch
