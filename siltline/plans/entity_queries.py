@@ -14,7 +14,7 @@ from siltline.plans import inputs
 from siltline.plans.inputs import ENTITY_TYPE, EVENT_TYPES, table
 from siltline.sinks.layouts import write_partitioned
 from siltline.sources import patches as P
-from siltline.streaming import entities, feeds
+from siltline.streaming import entities, feeds, merges
 
 FROM, TO = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
 SERIES_USER, SERIES_ENTITY, SERIES_TENANT = 7, "user-7", "t1"
@@ -224,6 +224,18 @@ def stream_full_rows(spark, sf):
     return _numbers(spark.read.parquet(path)).drop("batch_id")
 
 
+def stream_merged_rows(spark, sf):
+    """As stream_full_rows; closed batches are merged beside the stream, and those merged are deleted."""
+    path, merged = scratch.new_path(spark, "told"), scratch.new_path(spark, "told-merged")
+    checkpoint = scratch.new_path(spark, "told-checkpoint")
+    stream = entities.start_notifications(_stream(spark, sf), WATCH, path, checkpoint)
+    while not stream.awaitTermination(1):
+        merges.merge_closed(spark, path, merged)
+    merges.merge_closed(spark, path, merged)
+    merges.discard_merged(spark, path, merged)
+    return _numbers(merges.read_merged(spark, path, merged)).drop("batch_id")
+
+
 def stream_live_state(spark, sf):
     """As stream_current_state, with a state that ends when its entity is deleted."""
     path, checkpoint = scratch.new_path(spark, "live"), scratch.new_path(spark, "live-checkpoint")
@@ -259,6 +271,7 @@ QUERIES = {
         stream_update_count,
         history_append,
         stream_full_rows,
+        stream_merged_rows,
         subscription_table,
         stream_live_state,
     )
@@ -394,4 +407,4 @@ ORACLES = {
         GROUP BY 1, 2""",
     "history_append": _NOTIFIED,
 }
-ORACLES["stream_full_rows"] = ORACLES["notified_full_rows"]
+ORACLES["stream_full_rows"] = ORACLES["stream_merged_rows"] = ORACLES["notified_full_rows"]

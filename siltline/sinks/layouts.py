@@ -101,19 +101,20 @@ def compact(
     return spark.read.parquet(path)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _compacted(spark: SparkSession, path: str) -> DataFrame:
-    place, system = _hadoop_path(spark, f"{path}/{COMPACTED}")
+    place, system = hadoop_path(spark, f"{path}/{COMPACTED}")
     if not system.exists(place):
         return spark.createDataFrame([], _COMPACTED_TYPES)
     return spark.read.schema(_COMPACTED_TYPES).parquet(f"{path}/{COMPACTED}")
 
 
-def _packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
     """A session like this one whose scans put whole files into tasks of up to ``target_bytes``."""
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
@@ -144,7 +145,7 @@ def compact_small(
     what a run that died left behind is not read.  Sources are not deleted; one that was entered and
     has another size now is refused.  ``path`` must not lie below ``root``.
     """
-    inner, outer = (str(system.makeQualified(p)) for p, system in (_hadoop_path(spark, x) for x in (path, root)))
+    inner, outer = (str(system.makeQualified(p)) for p, system in (hadoop_path(spark, x) for x in (path, root)))
     if f"{inner}/".startswith(f"{outer}/"):
         raise ValueError("the compacted files would be found among the sources")
     found = files.file_sizes(spark, root)
@@ -156,7 +157,7 @@ def compact_small(
     small = sorted((r.path, r.length) for r in rest if 2 * r.length < target_bytes)
     if len(small) > 1 and 2 * sum(length for _, length in small) >= target_bytes:
         run = uuid.uuid4().hex
-        session = _packing_session(spark, target_bytes)
+        session = packing_session(spark, target_bytes)
         scan = files.scan_files(session, [p for p, _ in small], fmt, merge)
         scan.write.format(fmt).save(f"{path}/{run}")
         done = spark.createDataFrame([(run, p, length) for p, length in small], _COMPACTED_TYPES)
