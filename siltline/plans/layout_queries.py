@@ -8,7 +8,7 @@ from siltline import scratch
 from siltline.functions import calendar as C
 from siltline.operators import combine, keys, runstats
 from siltline.plans.inputs import monthly_orders, table
-from siltline.sinks import layouts
+from siltline.sinks import interleaved, layouts
 from siltline.sinks.convert import conversion_report, convert_monthly
 from siltline.sources import files
 
@@ -113,6 +113,23 @@ def clustered_fact(spark, sf):
     return spark.read.parquet(path)
 
 
+def lookup_interleaved(spark, sf):
+    """Lines of sampled parts, ship days and orders, from a layout that skips by each of the three."""
+    lines, path = table(spark, sf, "lineitem"), scratch.new_path(spark, "interleaved")
+    unique = ["l_orderkey", "l_linenumber"]
+    size = files.total_bytes(spark, f"{sf}/lineitem.parquet")
+    interleaved.write_interleaved(
+        lines, path, ["l_partkey", "l_shipdate"], unique, {"l_orderkey": 100_000}, source_bytes=size
+    )
+    laid = spark.read.parquet(path)
+    counts = []
+    for column in ("l_partkey", "l_shipdate", "l_orderkey"):
+        values = [row[0] for row in keys.sample_keys(lines, column, 20).collect()]
+        found = interleaved.rows_with_values(laid, column, values).groupBy(F.col(column).cast("string").alias("key"))
+        counts.append(found.agg(F.count("*").alias("n_lines")).select(F.lit(column).alias("by"), "key", "n_lines"))
+    return combine.concat(counts)
+
+
 def _yearly_frames(spark, sf):
     root = monthly_orders(spark, sf)
     dates = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year")).distinct()
@@ -176,6 +193,7 @@ QUERIES = {
         write_if_absent,
         raw_landing,
         clustered_fact,
+        lookup_interleaved,
         concat_frames,
         concat_filtered,
         run_stats,
@@ -224,6 +242,15 @@ ORACLES = {
         SELECT cast(month(o_orderdate) AS integer) AS month, count(*) AS n_orders
         FROM orders GROUP BY 1""",
     "clustered_fact": "SELECT * FROM orders",
+    "lookup_interleaved": " UNION ALL ".join(
+        f"""
+        SELECT '{column}' AS by, cast({column} AS varchar) AS key, count(*) AS n_lines
+        FROM lineitem WHERE {column} IN (
+            SELECT {column} FROM (SELECT DISTINCT {column} FROM lineitem)
+            ORDER BY md5(cast({column} AS varchar)), {column} LIMIT 20)
+        GROUP BY 2"""
+        for column in ("l_partkey", "l_shipdate", "l_orderkey")
+    ),
     "concat_filtered": """
         SELECT o_custkey, count(*) AS n_orders FROM orders WHERE o_custkey IN (
             SELECT o_custkey FROM (SELECT DISTINCT o_custkey FROM orders)
