@@ -190,7 +190,7 @@ QUALITY_DIVERGENCE_SQL = rf"""
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs)
+    found = secrets.scan(docs, sliding=True)
 
     def count(kind: str):
         number = secrets.KINDS.index(kind)

@@ -6,7 +6,10 @@ or loosely named secrets, endpoints) are common in clean text.  They are reporte
 parts that complete each other meet: a secret with an identifier or an endpoint.  Parts are
 joined by interval: a scope is ``SCOPE`` code points long, scopes begin every half of that, and
 each part belongs to the scopes that its beginning lies in.  Two parts whose beginnings are half
-a scope or less apart share one; two that are a scope or more apart share none.
+a scope or less apart share one; two that are a scope or more apart share none.  What lies between
+depends on where in the text the parts stand, unless scopes are ``sliding``: then they begin at every
+code point, and two parts share one if their beginnings are less than a scope apart.  Sliding scopes
+report all that the others report.
 
 Plan: one scan, no shuffle; everything happens within the row.  Positions are running sums over
 the lengths between matches, taken by parts; masked texts are joined from pieces.  The work grows
@@ -130,16 +133,54 @@ def _steps(numbers: Column) -> Column:
     return F.transform(F.sequence(largest, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2.0), k).cast("int"))
 
 
+def _up_to(numbers: Column, steps: Column, last: Column) -> Column:
+    """How many of the sorted numbers are ``last`` or less, by bisection."""
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(F.get(numbers, at + step - 1) <= last, step).otherwise(0)
+    )
+
+
 def _within(scopes: Column, steps: Column, span: Column) -> Column:
-    """Whether the span begins in one of the scopes, which are sorted, by bisection."""
+    """Whether the span begins in one of the scopes, which are sorted."""
     last = F.floor(span["start"] / (SCOPE // 2)).cast("int")
-    place = F.aggregate(
-        steps, F.lit(0), lambda at, step: at + F.when(F.get(scopes, at + step - 1) <= last, step).otherwise(0)
-    )
-    return F.coalesce(F.get(scopes, place - 1) >= last - 1, F.lit(False))
+    return F.coalesce(F.get(scopes, _up_to(scopes, steps, last) - 1) >= last - 1, F.lit(False))
+
+
+def _near(starts: Column, steps: Column, span: Column) -> Column:
+    """Whether one of the sorted starts is less than a scope away from that of the span."""
 
+    def beside(n: Column) -> Column:
+        before = span["start"] - F.get(starts, n - 1) < SCOPE
+        return F.coalesce(before, F.lit(False)) | F.coalesce(F.get(starts, n) - span["start"] < SCOPE, F.lit(False))
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
+    return _let(_up_to(starts, steps, span["start"]), beside)
+
+
+def _linked_in_scopes(df: DataFrame) -> DataFrame:
+    """Adds ``_linked``, the weak candidates in scopes in which parts that complete each other meet."""
+    df = df.withColumn("_secret_scopes", _scopes(_of(F.col("_all"), SECRETS)))
+    df = df.withColumn("_other_scopes", _scopes(_of(F.col("_all"), IDENTIFIERS + ENDPOINTS)))
+    df = df.withColumn("_met", F.sort_array(F.array_intersect("_secret_scopes", "_other_scopes")))
+    df = df.withColumn("_steps", _steps(F.col("_met")))
+    return df.withColumn("_linked", F.filter("_weak", lambda s: _within(F.col("_met"), F.col("_steps"), s)))
+
+
+def _linked_sliding(df: DataFrame) -> DataFrame:
+    """Adds ``_linked``, the weak candidates that begin less than a scope from what completes them."""
+
+    def near(kinds: tuple[str, ...], starts: str) -> Column:
+        return F.filter(_of(F.col("_weak"), kinds), lambda s: _near(F.col(starts), F.col(f"{starts}_steps"), s))
+
+    parts = {"_secret_starts": SECRETS, "_other_starts": IDENTIFIERS + ENDPOINTS}
+    for name, kinds in parts.items():
+        starts = F.transform(_of(F.col("_all"), kinds), lambda s: s["start"])
+        df = df.withColumn(name, F.sort_array(F.array_distinct(starts)))
+        df = df.withColumn(f"{name}_steps", _steps(F.col(name)))
+    linked = near(SECRETS, "_other_starts"), near(IDENTIFIERS + ENDPOINTS, "_secret_starts")
+    return df.withColumn("_linked", F.concat(*linked))
+
+
+def scan(docs: DataFrame, text: str = "text", sliding: bool = False) -> DataFrame:
     """Struct ``_row`` with the columns of ``docs``, arrays ``base`` and ``spans`` of all spans.
 
     A span is (start, end, kind), kind being a place in ``KINDS``; arrays are ordered by that.
@@ -154,15 +195,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         df = df.withColumn(f"_{kind}", _found(t, pattern, KINDS.index(kind), 0, 0))
     df = df.withColumn("_weak", F.concat(*[f"_{kind}" for kind in WEAK]))
     df = df.withColumn("_all", F.when(F.size("_weak") > 0, F.concat("base", "_weak")).otherwise(_none()))
-    df = df.withColumn("_secret_scopes", _scopes(_of(F.col("_all"), SECRETS)))
-    df = df.withColumn("_other_scopes", _scopes(_of(F.col("_all"), IDENTIFIERS + ENDPOINTS)))
-    # Scopes in which parts that complete each other meet.
-    df = df.withColumn("_met", F.sort_array(F.array_intersect("_secret_scopes", "_other_scopes")))
-    df = df.withColumn("_steps", _steps(F.col("_met")))
-    linked = F.filter("_weak", lambda s: _within(F.col("_met"), F.col("_steps"), s))
-    return df.withColumn("spans", F.when(F.size("_met") > 0, F.array_sort(F.concat("base", linked))).otherwise(F.col("base"))).select(
-        "_row", "_text", "base", "spans"
-    )
+    df = _linked_sliding(df) if sliding else _linked_in_scopes(df)
+    spans = F.when(F.size("_linked") > 0, F.array_sort(F.concat("base", "_linked"))).otherwise(F.col("base"))
+    return df.withColumn("spans", spans).select("_row", "_text", "base", "spans")
 
 
 def described(spans: Column) -> Column:
@@ -204,9 +239,11 @@ def masked(text: Column, spans: Column) -> Column:
     )
 
 
-def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
+def redact(
+    docs: DataFrame, text: str = "text", length: str | None = "n_chars", sliding: bool = False
+) -> DataFrame:
     """``docs`` with secrets masked, and the column ``length`` set anew where a text changed."""
-    found = scan(docs, text)
+    found = scan(docs, text, sliding)
     some = F.size("spans") > 0
     found = found.withColumn("_masked", F.when(some, masked(F.col("_text"), F.col("spans"))))
     row = {c: F.col("_row")[c] for c in docs.columns}
