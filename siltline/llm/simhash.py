@@ -37,6 +37,7 @@ RADIUS = 3
 SHINGLE = 3
 BITS = 64
 LIMIT = 4096  # entries that are compared with each other in one step
+SALTS = 64  # parts of the neighbours of one node
 MOST_PARTS = 6
 ROW_COST = 300.0  # of putting a fingerprint under a value, in comparisons of two fingerprints
 NO_ID = (1 << 63) - 1
@@ -290,20 +291,31 @@ def links(prints: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFr
     return stored(result.distinct(), "links")
 
 
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """Adds ``m``, the least ``v`` of each ``u``.
+
+    The pairs of one ``u`` are dealt to ``SALTS`` parts, and only a row of each part meets the others:
+    a centre with a third of all neighbours does not come to one task.
+    """
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = dealt.groupBy("u", "part").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m"))
+    least = parts.select("u", "part").join(least, "u")
+    return dealt.join(least, ["u", "part"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, star): the smallest node that is reachable, for all nodes that have a link.
 
     Alternating rounds: every node links its larger neighbours to the smallest of its
-    neighbourhood, then its smaller ones.  Minima are aggregated before the shuffle.
+    neighbourhood, then its smaller ones.  Minima are aggregated before the shuffle and by parts.
     """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        small = _with_least(large)
         own, other = F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.select(F.explode(F.array(own, other)).alias("e"))
         edges = stored(small.select("e.*").where("u <> v").distinct(), "stars")
