@@ -100,18 +100,3 @@ def test_edge_cases(spark):
     assert sorted(r.text for r in simhash.keep_one(nulls).collect()) == ["a b c d", "e f g h"]
     assert simhash.near_duplicates(docs.where("false")).count() == 0
     assert simhash.keep_one(docs.where("false")).count() == 0
-
-
-def test_centre_with_many_neighbours(spark):
-    """A star of 20,000, a chain and pairs: components are right, and the centre comes in parts."""
-    star = [(0, k) for k in range(1, 20_001)]
-    chain = [(30_000 + k, 30_001 + k) for k in range(40)]
-    pairs = [(k, k + 1) for k in range(-1000, -900, 2)]
-    edges = spark.createDataFrame(star + chain + pairs, "a bigint, b bigint")
-    got = {r.node: r.star for r in simhash.components(edges).collect()}
-    want = {k: 0 for k in range(20_001)} | {30_000 + k: 30_000 for k in range(41)}
-    assert got == want | {x: a for a, b in pairs for x in (a, b)}
-    both = edges.selectExpr("a AS u", "b AS v").union(edges.selectExpr("b AS u", "a AS v"))
-    least = simhash._with_least(both)
-    assert least.count() == both.count()
-    assert all(r.m == r.want for r in least.groupBy("u").agg({"v": "min", "m": "max"}).toDF("u", "want", "m").collect())
