@@ -279,15 +279,18 @@ class Rows:
         self.head = np.array([int.from_bytes(w[:3]) for w in words], np.int32)
         self.tail = np.array([int.from_bytes(w[-3:]) for w in words], np.int32)
 
-    def verified(self, a: np.ndarray, b: np.ndarray, longer: np.ndarray) -> np.ndarray:
-        """Of pairs of places, which differ by one edit; pairs of one length count once."""
+    def verified(self, a: np.ndarray, b: np.ndarray, longer: np.ndarray, once: np.ndarray) -> np.ndarray:
+        """Of pairs of places, which differ by one edit.
+
+        Pairs of one length that are reached from both sides, which are all but those of ``once``, count once.
+        """
         fits = (self.head[a] == self.head[b]) | (self.tail[a] == self.tail[b]) | (self.lengths[a] < 6)
         fits &= self.lengths[b] - self.lengths[a] == longer
-        a, b, longer, kept = a[fits], b[fits], longer[fits], np.flatnonzero(fits)
+        a, b, longer, once, kept = a[fits], b[fits], longer[fits], once[fits], np.flatnonzero(fits)
         good = _near(self.matrix[a], self.matrix[b], self.lengths[a], self.lengths[b])
         for i in np.flatnonzero(self.lengths[b] > WIDE).tolist():
             good[i] = one_apart(self.words[a[i]], self.words[b[i]])
-        for i in np.flatnonzero(good & ~longer).tolist():
+        for i in np.flatnonzero(good & ~longer & ~once).tolist():
             good[i] = self.words[a[i]] < self.words[b[i]]
         return kept[good]
 
@@ -312,7 +315,8 @@ def _searched(limit: int):
         words = rows.column("word").combine_chunks()
         for ask, word in _gathered(trie.reached(np.where(asks, roots[number], -1), held.vectors, longer)):
             word = at[word]
-            good = held.verified(ask, word, longer[ask])
+            # Words that stayed do not ask for the words of their node that came after them.
+            good = held.verified(ask, word, longer[ask], own[ask] & ~asks[word])
             a, b = ask[good], word[good]
             yield pa.RecordBatch.from_arrays(
                 [words.take(pa.array(a)), pa.array(n[a]), words.take(pa.array(b)), pa.array(n[b])], ["a", "n_a", "b", "n_b"]

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siltline.llm import spelling
@@ -113,3 +114,22 @@ def test_no_words(spark):
     assert spelling.variants(empty).count() == 0
     short = spark.createDataFrame([(1, "a few short ones"), (2, None)], "doc_id long, text string")
     assert spelling.variants(short).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_words_of_a_node_in_several_batches(seed):
+    """Own words of a node that come after a border are near those before it, and no pair is made twice."""
+    r = random.Random(seed)
+    words = list({"".join(r.choice("ab") for _ in range(7)) for _ in range(90)})
+    r.shuffle(words)
+
+    def batch(some):
+        n = len(some)
+        columns = {"node": [5] * n, "own": [True] * n, "longer": [False] * n, "word": some, "n": [2] * n}
+        return pa.RecordBatch.from_pydict(columns)
+
+    batches = [batch(words[i : i + 10]) for i in range(0, len(words), 10)]
+    found = spelling._searched(20)(iter(batches))
+    pairs = [frozenset(p) for b in found for p in zip(b["a"].to_pylist(), b["b"].to_pylist())]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == brute_pairs(set(words))
