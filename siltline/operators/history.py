@@ -15,11 +15,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siltline import scratch
+from siltline.operators.keys import number_by_key
 
 # Rows of one entity that may be sorted in one task.
 ROWS_PER_CHUNK = 4_000_000
 # Rows of the sample that the borders of chunks are taken from, for each chunk.
 CUT_SAMPLE = 200
+# Up to this many chunks borders are taken from a sample; for more the rows are numbered.
+MOST_CUTS = 1_000
 # Up to this n, the rows kept per entity and scan task can be ranked in one round.
 SINGLE_ROUND_N = 32
 # The borders of entities are broadcast up to this size; one takes BORDER_BYTES and the text of its keys.
@@ -139,6 +142,19 @@ def entity_history(
     return rows.orderBy(time, seq)
 
 
+def _with_rank_chunk(history: DataFrame, keys: Sequence[str], seq: str, rows_per_chunk: int) -> DataFrame:
+    """Add ``_chunk``, a number that grows with seq, of ``rows_per_chunk`` rows each.
+
+    The rows are written once in the order of seq and numbered by file, so nothing that grows with
+    the number of chunks meets in one task or the driver.
+    """
+    short = {c: f"_{i}" for i, c in enumerate(history.columns)}
+    rows = history.withColumnsRenamed(short)
+    rows = number_by_key(history.sparkSession, rows, [short[c] for c in (seq, *keys)], "_rank", first=0)
+    chunk = F.floor(F.col("_rank") / rows_per_chunk).alias("_chunk")
+    return rows.select(*[F.col(new).alias(c) for c, new in short.items()], chunk)
+
+
 def _with_chunk(history: DataFrame, seq: str, n_rows: int, chunks: int) -> DataFrame:
     """Add ``_chunk``, a number that grows with seq and splits the rows about evenly.
 
@@ -168,7 +184,9 @@ def forward_fill(
     Otherwise the rows are cut into chunks of seq; the last values of each chunk are
     aggregated, carried over the chunks and put before the first row of the next one;
     each chunk is then filled on its own.  No task sorts more than a chunk of an
-    entity.  ``seq`` must be a number and not NULL.  Counts the rows when called.
+    entity.  ``seq`` must be a number and not NULL.  Counts the rows when called; for more than
+    ``MOST_CUTS`` chunks it writes them as well, in the order of seq, as a sketch of that many
+    borders would no longer be small.
     """
 
     def filled(rows: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -184,7 +202,11 @@ def forward_fill(
     if not n_rows or largest <= rows_per_chunk:
         return filled(history, keys, [F.asc(seq)])
 
-    rows = _with_chunk(history, seq, n_rows, -(-n_rows // rows_per_chunk))
+    chunks = -(-n_rows // rows_per_chunk)
+    if chunks > MOST_CUTS:
+        rows = _with_rank_chunk(history, keys, seq, rows_per_chunk)
+    else:
+        rows = _with_chunk(history, seq, n_rows, chunks)
     ends = rows.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in columns]
     )

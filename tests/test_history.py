@@ -183,3 +183,17 @@ def test_chunks_without_a_sample(df, data, monkeypatch):
     assert {r[0] for r in chunked.select("_chunk").distinct().collect()} == {0.0}
     got = H.forward_fill(df, ["entity"], "seq", ["a", "b"], 1_500)
     assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == filled(data)
+
+
+def test_many_chunks_are_cut_by_rank(spark, df, data, monkeypatch):
+    """More chunks than a sketch holds borders: exact sizes, and no borders in one task or the driver."""
+    monkeypatch.setattr(H, "MOST_CUTS", 5)
+    monkeypatch.setattr(H, "_with_chunk", None)
+    rows = df.withColumnRenamed("time", "position")  # a name that numbering uses as well
+    got = H.forward_fill(rows, ["entity"], "seq", ["a", "b"], 20)
+    assert got.columns == rows.columns
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == filled(data)
+    sizes = H._with_rank_chunk(df, ["entity"], "seq", 20).groupBy("_chunk").agg(F.count("*"), F.min("seq"), F.max("seq"))
+    sizes = sorted(map(tuple, sizes.collect()))
+    assert [n for _, n, *_ in sizes] == [20] * (len(data) // 20)
+    assert all(a[3] < b[2] for a, b in zip(sizes, sizes[1:]))
