@@ -44,9 +44,10 @@ class LiveEntity(StatefulProcessor):
         self.deleted = handle.getValueState("deleted", "patch_id bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = {k[0]: tuple(v) for k, v in self.values.iterator()} if self.values.exists() else {}
-        born = tuple(self.created.get()) if self.created.exists() else None
-        gone = self.deleted.get()[0] if self.deleted.exists() else None
+        # Each use of the state is a message to the executor, so none is asked or cleared twice.
+        before = {k[0]: tuple(v) for k, v in self.values.iterator()}
+        born, gone = self.created.get(), self.deleted.get()
+        born, gone = born and tuple(born), gone and gone[0]
         cells, created, deleted = dict(before), born, gone
         told = []
         for row in sorted(rows, key=lambda r: r.patch_id):
@@ -69,7 +70,8 @@ class LiveEntity(StatefulProcessor):
 
     def _keep(self, before, cells, born, created, gone, deleted) -> None:
         if not cells:
-            self.values.clear()
+            if before:
+                self.values.clear()
         else:
             for attr in before.keys() - cells.keys():
                 self.values.removeKey((attr,))
@@ -77,7 +79,8 @@ class LiveEntity(StatefulProcessor):
                 if before.get(attr) != cell:
                     self.values.updateValue((attr,), cell)
         if created is None:
-            self.created.clear()
+            if born is not None:
+                self.created.clear()
         elif created != born:
             self.created.update(created)
         if deleted != gone:

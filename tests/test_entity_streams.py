@@ -1,6 +1,7 @@
 """Streams whose state ends with the entity: equal to the batch, after restarts and replays."""
 
 import datetime as dt
+import pathlib
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltline.operators import state as S
 from siltline.operators.subscriptions import Subscription, full_notifications
+from siltline.plans import inputs
 from siltline.sources import patches as P
 from siltline.streaming import entities, feeds
 from tests.test_entities import LIVE, LOG, T0, cells, feed, number, patch
@@ -129,3 +131,24 @@ def test_times_in_another_zone(spark, path, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == {1: (T0 + dt.timedelta(minutes=1),) * 2, 2: (T0 + dt.timedelta(minutes=1), T0 + dt.timedelta(minutes=2))}
     assert spark.read.parquet(path + "/out").select(F.count("*")).first()[0] == 2
+
+
+def test_patch_files_share_the_work_of_a_batch(spark, path, monkeypatch):
+    """24 MB of events are several files in each micro-batch; batches follow each other, NULL first."""
+    events = spark.range(4000).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("event_id"), F.lit(T0).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("click").alias("event_type"),
+        F.col("id").cast("double").alias("value"), F.lit("x").alias("props"),
+    )
+    events.write.parquet(f"{path}/events.parquet")
+    monkeypatch.setattr(inputs.files, "total_bytes", lambda *_: 24 * 1024 * 1024)
+    folder, per_batch = inputs.patch_folder(spark, path)
+    assert per_batch == 3
+    files = [(p.stat().st_mtime_ns, str(p)) for p in pathlib.Path(folder.removeprefix("file://")).glob("*.parquet")]
+    assert len(files) == 4 * per_batch
+    read = lambda some: {r[0] for r in spark.read.parquet(*[f for _, f in some]).select("patch_id").collect()}
+    files.sort()
+    batches = [read(files[i : i + per_batch]) for i in range(0, len(files), per_batch)]
+    assert None in batches[0] and sum(map(len, batches)) == 4000
+    known = [{n for n in b if n is not None} for b in batches]
+    assert all(max(a) < min(b) for a, b in zip(known, known[1:]))
