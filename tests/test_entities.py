@@ -10,6 +10,7 @@ from siltline.operators import state as S
 from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, full_notifications, notifications, notified_subscriptions
 from siltline.sources import patches as P
 from siltline.streaming import feeds
+from tests.plan import plan
 
 T0 = dt.datetime(2025, 1, 1)
 
@@ -182,6 +183,22 @@ def test_a_thousand_subscriptions(spark, log):
     assert got == {key: n for key, n in want.items() if n}
 
 
+def test_patterns_are_compared_with_entities_not_patches(spark):
+    """Few patches that make many notifications are dealt to tasks, and meet no pattern there."""
+    log = spark.createDataFrame([patch(k, f"u{k % 5}", CO=number(k)) for k in range(200)], P.PATCH_SCHEMA).coalesce(1)
+    subs = spark.range(300).select(
+        F.col("id").alias("sub_id"), F.lit("AirQualityObserved").alias("entity_type"),
+        F.concat(F.lit("u[0-9]*"), (F.col("id") % 3).cast("string")).alias("id_pattern"),
+        F.array(F.lit("CO")).alias("condition_attrs"), F.array(F.lit("CO")).alias("notify_attrs"),
+    )
+    found = notified_subscriptions(log, subs, pairs_per_task=1_000)
+    text = plan(found).lower()
+    assert "rlike" not in text and "roundrobinpartitioning(12)" in text
+    got = {(r.sub_id, r.patch_id): r.attrs for r in found.collect()}
+    assert got == {(i, k): {"CO": str(k)} for i in range(300) for k in range(200) if k % 5 == i % 3}
+    assert len(got) == 300 * 40
+
+
 def test_id_pattern_matches_the_whole_id(spark):
     log = spark.createDataFrame([patch(1, "u1", CO=number(1)), patch(2, "u12", CO=number(1))], P.PATCH_SCHEMA)
     watch = Subscription("AirQualityObserved", id_pattern="u1")
