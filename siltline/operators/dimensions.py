@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltline.functions.numeric import money_of, money_units, not_finite
 
 
+# Facts by key and time are nearly as many groups as rows; of these (by Spark's estimate) a task groups so much.
+GROUPED_BYTES = 1024 * 1024
+MOST_TASKS = 20_000
+UNKNOWN_BYTES = 2**62  # Spark estimates at least so much where it does not know the size
+
+
 def constraint_violations(dim: DataFrame, key: str, not_null: Sequence[str] = ()) -> DataFrame:
     """One row: number of rows, duplicate keys, NULL keys and NULLs per required column."""
     per_key = dim.groupBy(key).agg(
@@ -33,6 +39,14 @@ def require_valid(dim: DataFrame, key: str, not_null: Sequence[str] = ()) -> Dat
     return dim
 
 
+def _dealt(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows dealt by their group to tasks of about ``GROUPED_BYTES``, if there are more than run at once."""
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = min(MOST_TASKS, -(-size // GROUPED_BYTES))
+    few = tasks <= rows.sparkSession.sparkContext.defaultParallelism
+    return rows if few or size >= UNKNOWN_BYTES else rows.repartition(tasks, *by)
+
+
 def revenue_by_attributes(
     fact: DataFrame,
     dim: DataFrame,
@@ -47,9 +61,14 @@ def revenue_by_attributes(
 
     The facts are added up per key before the join: the join then sees each key once
     (once per time key), however many facts it has.  Grouping is by the attributes, so
-    keys that share them are merged.
+    keys that share them are merged.  With a time key adding up before the shuffle saves little and
+    holds the groups of a whole split of the scan; so larger facts are dealt by key and time first,
+    to tasks whose number grows with the facts.  The facts of one key and time meet in one task.
     """
-    by = [fact_key] if time_key is None else [time_key.alias("time_key"), fact_key]
+    by = [fact_key]
+    if time_key is not None:
+        by = ["time_key", fact_key]
+        fact = _dealt(fact.select(time_key.alias("time_key"), fact_key, amount), by)
     partial = fact.groupBy(*by).agg(
         F.sum(money_units(F.col(amount))).alias("amount"), F.sum(not_finite(F.col(amount))).alias("not_finite")
     )

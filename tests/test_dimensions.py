@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,3 +289,25 @@ def test_money_that_is_no_number(spark):
     assert {r.name: r.s for r in by.select("name", F.col("total_revenue").cast("string").alias("s")).collect()} == want
     exact = fact.select(F.lit(3).alias("n"), F.lit("1.10").cast("decimal(10,2)").alias("d"))
     assert exact.agg(money_sum(F.col("n")), money_sum(F.col("d"))).first()[:] == (36.0, 13.2)
+
+
+def test_facts_by_day_are_dealt_by_their_size(spark, path, monkeypatch):
+    """A task groups no more as facts grow: none is grouped where it is read, and tasks grow with the size."""
+    names = dim(spark, [(k, f"v{k % 3}") for k in range(50)])
+    tasks = []
+    for n in (20_000, 80_000):
+        rows = spark.range(n).selectExpr(
+            "id % 50 AS id", "timestamp_ntz'2025-01-01' + make_interval(0, 0, 0, cast(id % 40 AS int)) AS time",
+            "cast(xxhash64(id) % 100000 AS double) AS amount",
+        )
+        rows.repartition(4).write.parquet(f"{path}/{n}")
+        fact = spark.read.parquet(f"{path}/{n}")
+        found = []
+        for size in (2**40, 2_000):
+            monkeypatch.setattr(dimensions, "GROUPED_BYTES", size)
+            found.append(star.daily_revenue(fact, names, "id", "id", "description", "time", "amount", None))
+        assert "REPARTITION_BY_NUM" not in plan(found[0])
+        tasks.append(int(re.search(r"hashpartitioning\(time_key#\d+, id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan(found[1]))[1]))
+        whole, dealt = (list(map(tuple, rows.collect())) for rows in found)
+        assert dealt == whole and len(dealt) == 120
+    assert tasks[0] > 8 and tasks[1] > 2 * tasks[0]
