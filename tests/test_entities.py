@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siltline.functions import attributes as A
 from siltline.functions import calendar as C
 from siltline.operators import state as S
+from siltline.operators import subscriptions
 from siltline.operators.subscriptions import NOTIFY_ATTRS, Subscription, full_notifications, notifications, notified_subscriptions
 from siltline.sources import patches as P
 from siltline.streaming import feeds
@@ -199,6 +200,33 @@ def test_patterns_are_compared_with_entities_not_patches(spark):
     assert len(got) == 300 * 40
 
 
+@pytest.mark.parametrize("most, per_list, pairs", [(1 << 26, 4096, 2_000_000), (1 << 26, 7, 500), (0, 7, 500)])
+def test_like_subscriptions_share_what_a_patch_tells_them(spark, monkeypatch, most, per_list, pairs):
+    """What is told is worked out for a list of ids, not for each; NULL and repeated ids are kept."""
+    monkeypatch.setattr(subscriptions, "IDS_PER_LIST", per_list)
+    log = spark.createDataFrame([patch(k, f"u{k % 2}", CO=number(k), O3=number(-k)) for k in range(1, 21)], P.PATCH_SCHEMA)
+    ids = [*range(100), 3, 3, None, None]
+    rows = [(i, "AirQualityObserved", "u1", ["CO", "O3"], ["O3"]) for i in ids]
+    rows += [(i, "AirQualityObserved", "u[0-9]", ["O3"], None) for i in (7, None)]
+    rows += [(500, "AirQualityObserved", None, ["CO"], ["CO"]), (501, "AirQualityObserved", "u1", None, ["CO"])]
+    schema = "sub_id int, entity_type string, id_pattern string, condition_attrs array<string>, notify_attrs array<string>"
+    shown = {"n_attrs": F.size("attrs"), "o3": F.col("attrs")["O3"].try_cast("double")}
+    found = notified_subscriptions(log, spark.createDataFrame(rows, schema), most, 3, pairs, shown)
+    text = plan(found)  # from the last step to the first
+    assert text.index("explode(sub_ids") < text.index("map_filter")
+    want = [(i, k, {"O3": str(-k)}, 1, float(-k)) for i in ids for k in range(1, 21, 2)]
+    want += [(i, k, {}, 0, None) for i in (7, None) for k in range(1, 21)]
+    assert sorted([(r.sub_id, r.patch_id, r.attrs, r.n_attrs, r.o3) for r in found.collect()], key=str) == sorted(want, key=str)
+
+
+def test_no_subscription_and_no_patch(spark, log):
+    schema = "sub_id int, entity_type string, id_pattern string, condition_attrs array<string>, notify_attrs array<string>"
+    one = spark.createDataFrame([(1, "AirQualityObserved", ".*", ["CO"], ["CO"])], schema)
+    assert notified_subscriptions(log, one.filter("false")).count() == 0
+    assert notified_subscriptions(log.filter("false"), one).count() == 0
+    assert notified_subscriptions(log, one).count() == 6
+
+
 def test_id_pattern_matches_the_whole_id(spark):
     log = spark.createDataFrame([patch(1, "u1", CO=number(1)), patch(2, "u12", CO=number(1))], P.PATCH_SCHEMA)
     watch = Subscription("AirQualityObserved", id_pattern="u1")
